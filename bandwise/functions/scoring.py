@@ -46,15 +46,24 @@ def band_key(lo: int, hi: int) -> str:
     return f"{lo}-{hi}"
 
 
-def bands_frame(spark: SparkSession, bands=None) -> DataFrame:
+def bands_frame(spark: SparkSession, bands=None, with_outside: bool = False) -> DataFrame:
     """The band table: band_id, Range (display), bounds ('lo-hi'), lower, upper.
 
-    It has one row per band, so it is broadcast by construction.
+    A literal VALUES relation (a local table scan, no Python worker) with one
+    row per band. ``with_outside`` adds band 0 for values in no band.
     """
     bands = SALES_BANDS if bands is None else bands
     rows = [(i + 1, band_label(lo, hi), band_key(lo, hi), lo, hi) for i, (lo, hi) in enumerate(bands)]
-    return F.broadcast(
-        spark.createDataFrame(rows, "band_id int, Range string, bounds string, lower int, upper int")
+    if with_outside:
+        rows.insert(0, (0, "outside", "outside", None, None))
+
+    def lit(v):
+        return "NULL" if v is None else (str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'")
+
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(
+        f"SELECT CAST(band_id AS INT) AS band_id, Range, bounds, CAST(lower AS INT) AS lower, "
+        f"CAST(upper AS INT) AS upper FROM VALUES {values} AS t(band_id, Range, bounds, lower, upper)"
     )
 
 

@@ -78,14 +78,11 @@ def range_metrics(
     and, with ``with_total``, ``all`` = every input row, in a band or not.
     """
     bands = SALES_BANDS if bands is None else list(bands)
-    per_band = _pairs(scored, label, pred, [band_of(F.col(label), bands).alias("band_id")]).groupBy("band_id").agg(
-        *_metric_parts()
-    )
-    if with_total:
-        # at most len(bands) + 1 rows: the out-of-band rows still count in `all`
-        per_band = per_band.withColumn("all", F.sum("n").over(Window.partitionBy()))
-    table = bands_frame(scored.sparkSession, bands).select("band_id", "Range", "lower", "upper")
-    out = per_band.join(table, "band_id", "right").select(
+    band = F.coalesce(band_of(F.col(label), bands), F.lit(0)) if with_total else band_of(F.col(label), bands)
+    # at most len(bands) + 1 rows: proven small, so it is the broadcast side
+    per_band = _pairs(scored, label, pred, [band.alias("band_id")]).groupBy("band_id").agg(*_metric_parts())
+    table = bands_frame(scored.sparkSession, bands, with_outside=with_total).select("band_id", "Range", "lower", "upper")
+    out = table.join(F.broadcast(per_band), "band_id", "left").select(
         "band_id",
         "Range",
         "lower",
@@ -93,10 +90,10 @@ def range_metrics(
         *[c.alias(k) for k, c in _metrics_from_parts().items()],
         F.coalesce(F.col("n"), F.lit(0)).alias("count"),
         F.coalesce(F.col("n_scored"), F.lit(0)).alias("n_scored"),
-        *(["all"] if with_total else []),
     )
     if with_total:
-        out = out.withColumn("all", F.max("all").over(Window.partitionBy()))
+        # `all` counts every row, band 0 (outside every band) included
+        out = out.withColumn("all", F.sum("count").over(Window.partitionBy())).filter(F.col("band_id") > 0)
     return out
 
 
@@ -136,7 +133,7 @@ def over_under_report(
         .agg(*[F.avg(c).alias(f"avg({c})") for c in averaged], F.count(F.lit(1)).alias("count_of_each_part"))
     )
     table = bands_frame(classified.sparkSession, bands).select("band_id", F.col("bounds").alias("Range"))
-    return per_group.join(table, "band_id").select(
+    return table.join(F.broadcast(per_group), "band_id").select(
         "band_id", "Range", "prediction_type", *[f"avg({c})" for c in averaged], "count_of_each_part"
     )
 

@@ -55,18 +55,19 @@ def weather_latest(
     return w.join(latest, (w["name"] == F.col("_ln")) & (w["date"] == F.col("_ld")), "left_semi")
 
 
-def _bbox(*frames_cols) -> tuple[float, float, float, float, int]:
-    """(min_lat, max_lat, min_lng, max_lng) over several frames and the candidate count."""
-    boxes = []
-    for df, la, lo in frames_cols:
-        boxes.append(
-            df.agg(F.min(la).alias("a"), F.max(la).alias("b"), F.min(lo).alias("c"), F.max(lo).alias("d"), F.count(F.lit(1)).alias("n")).first()
-        )
-    a = min(b["a"] for b in boxes if b["a"] is not None)
-    b_ = max(b["b"] for b in boxes if b["b"] is not None)
-    c = min(b["c"] for b in boxes if b["c"] is not None)
-    d = max(b["d"] for b in boxes if b["d"] is not None)
-    return a, b_, c, d, boxes[-1]["n"]
+def _extent(sto: DataFrame, cands: DataFrame, cand_lat: str, cand_lng: str) -> tuple[float, float, int]:
+    """(span in degrees over stores and candidates, and whether any store exists, candidate count)."""
+    pts = sto.select(F.col("_slat").alias("a"), F.col("_slng").alias("o"), F.lit(0).alias("c")).unionByName(
+        cands.select(F.col(cand_lat).alias("a"), F.col(cand_lng).alias("o"), F.lit(1).alias("c"))
+    )
+    r = pts.agg(
+        F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("o").alias("o0"), F.max("o").alias("o1"),
+        F.sum("c").alias("n_cand"), F.count(F.lit(1)).alias("n"),
+    ).first()
+    if not r["n"]:
+        return 0.0, 0.0, 0
+    span = max(r["a1"] - r["a0"], r["o1"] - r["o0"])
+    return float(span), float(r["n"] - (r["n_cand"] or 0)), int(r["n_cand"] or 0)
 
 
 def _neighbours():
@@ -94,21 +95,20 @@ def nearest_station(
     candidates within its k-th distance were probed. Stores without
     coordinates get no row.
     """
-    spark = stores.sparkSession
     sto = stores.select(
         F.col(store_key).alias("_sk"), F.col(store_lat).alias("_slat"), F.col(store_lng).alias("_slng")
     ).filter(F.col("_slat").isNotNull() & F.col("_slng").isNotNull())
-    cand_cols = [c for c in candidates.columns]
-    cands = candidates.filter(F.col(cand_lat).isNotNull() & F.col(cand_lng).isNotNull())
+    cand_cols = list(candidates.columns)
     # dimension-sized inputs: materialise once in the shared checkpoint folder
-    cands = cands.checkpoint()
+    cands = candidates.filter(F.col(cand_lat).isNotNull() & F.col(cand_lng).isNotNull()).checkpoint()
     sto = sto.checkpoint()
-    lat0, lat1, lng0, lng1, n_cand = _bbox((sto, "_slat", "_slng"), (cands, cand_lat, cand_lng))
-    if n_cand == 0:
+    span, n_sto, n_cand = _extent(sto, cands, cand_lat, cand_lng)
+    if n_cand == 0 or n_sto == 0:
         return _empty_result(sto, cands, store_key)
-    span = max(lat1 - lat0, lng1 - lng0, 1e-9)
+    span = max(span, 1e-9)
     diameter = span * math.sqrt(2)
-    g = cell or max(span / math.sqrt(max(n_cand, 1)), 1e-6)
+    # about 4k candidates per cell on average, so most stores settle in the first round
+    g = cell or max(span * 2.0 * math.sqrt(k / n_cand), 1e-6)
     cands_b = sized_broadcast(cands, SMALL_DIM_ROWS)
 
     settled: list[DataFrame] = []
@@ -127,29 +127,27 @@ def nearest_station(
             "dis_store", planar_distance(F.col("_slat"), F.col("_slng"), F.col(cand_lat), F.col(cand_lng))
         )
         by_store = Window.partitionBy("_sk")
-        ordered = by_store.orderBy("dis_store", *tie_break)
         ranked = pairs.withColumns(
             {
-                "rank": F.row_number().over(ordered),
+                "rank": F.row_number().over(by_store.orderBy("dis_store", *tie_break)),
                 "_closer": F.rank().over(by_store.orderBy("dis_store")) - 1,
                 "_ties": F.count(F.lit(1)).over(Window.partitionBy("_sk", "dis_store")),
+                "_found": F.count(F.lit(1)).over(by_store),
             }
         ).filter(F.col("rank") <= k)
-        kth = ranked.groupBy("_sk").agg(F.max("dis_store").alias("_kd"), F.count(F.lit(1)).alias("_kn"))
-        ok = kth.filter(((F.col("_kn") >= k) & (F.col("_kd") <= g)) | F.lit(final)).select("_sk")
-        done = ranked.join(ok, "_sk", "left_semi")
-        settled.append(
-            done.select(
-                F.col("_sk").alias(store_key),
-                *cand_cols,
-                "dis_store",
-                F.col("rank").cast("int").alias("rank"),
-                (F.col("_closer") + (F.col("_ties") + 1) / 2.0).alias("avg_rank"),
-            )
-        )
+        # settled: k candidates found and the k-th lies within one cell width
+        ranked = ranked.withColumn("_kd", F.max("dis_store").over(by_store))
+        done = ranked.filter((F.lit(final) | ((F.col("_found") >= k) & (F.col("_kd") <= g)))).select(
+            F.col("_sk"),
+            *cand_cols,
+            "dis_store",
+            F.col("rank").cast("int").alias("rank"),
+            (F.col("_closer") + (F.col("_ties") + 1) / 2.0).alias("avg_rank"),
+        ).checkpoint()
+        settled.append(done.withColumnRenamed("_sk", store_key))
         if final:
             break
-        pending = pending.join(ok, "_sk", "left_anti").checkpoint()
+        pending = pending.join(done.select("_sk"), "_sk", "left_anti").checkpoint()
         if pending.isEmpty():
             break
         g *= 2

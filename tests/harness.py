@@ -19,11 +19,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = False
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if len(v.isoformat()) >= 10 and getattr(v, "hour", 0) == 0 else v.isoformat()
     return v
