@@ -78,7 +78,7 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:
-    """Drop rows that are NULL in every column."""
+    """Drop rows that are NULL (or NaN) in every column."""
     return df.na.drop(how="all")
 
 

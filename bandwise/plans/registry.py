@@ -460,7 +460,7 @@ def q_drop_incomplete(spark, sf):
         """SELECT ps.BC2, ps.MC2, ps.Price_Sensitivity FROM sales s
 LEFT JOIN (SELECT Branch AS BC2, MaterialCode AS MC2, f0_ AS Price_Sensitivity FROM price_sensitivity) ps
   ON s.BranchCode = ps.BC2 AND s.MaterialCode = ps.MC2
-WHERE NOT (ps.BC2 IS NULL AND ps.MC2 IS NULL AND ps.Price_Sensitivity IS NULL)""",
+WHERE NOT (ps.BC2 IS NULL AND ps.MC2 IS NULL AND (ps.Price_Sensitivity IS NULL OR isnan(ps.Price_Sensitivity)))""",
         "sales",
         "price_sensitivity",
     ),
@@ -890,6 +890,28 @@ def q_model_roundtrip(spark, sf):
     return mo.two_stage_score(test, m1, m2).select(*KEY, "TotalQtySale", "pred_lv1", "pred_lv2", "pred_final")
 
 
+@register(
+    "stream_features",
+    with_fixtures(
+        f"""SELECT {KEY_SQL}, YYYY, MMMM, DDDD, Holiday, HolidayType, {o.welfare_case('"YYYY-MMMM"')} AS Welfare,
+       CASE WHEN DDDD IN (1, 2, 3, 4, 5) THEN '1' ELSE '0' END AS welfareFlagDay FROM calendar""",
+        "calendar",
+    ),
+)
+def q_stream_features(spark, sf):
+    """Sales land as parquet files; a file stream encodes them into a parquet sink, read back."""
+    from bandwise.streaming.features import sales_stream, stream_features, write_stream
+
+    s = _sales(spark, sf)
+    src, sink = fresh_path(spark, "stream_src"), fresh_path(spark, "stream_sink")
+    s.write.parquet(src)
+    q = write_stream(stream_features(sales_stream(spark, src, s.schema)), sink)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select(
+        *KEY, "YYYY", "MMMM", "DDDD", "Holiday", "HolidayType", "Welfare", "welfareFlagDay"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: q.run for k, q in REGISTRY.items()}
 
