@@ -127,17 +127,32 @@ def normalise_codes(df: DataFrame) -> DataFrame:
     """``Branchcode`` -> ``BranchCode``; both codes as int via a lenient cast."""
     if "Branchcode" in df.columns and "BranchCode" not in df.columns:
         df = df.withColumnRenamed("Branchcode", "BranchCode")
-    casts = {c: lenient_cast(F.col(c), "int") for c in ("BranchCode", "MaterialCode") if c in df.columns}
+    casts = {c: cast_to(df, c, "int") for c in ("BranchCode", "MaterialCode") if c in df.columns}
     return df.withColumns(casts) if casts else df
 
 
+_INTEGRAL = ("int", "integer", "bigint", "long", "smallint", "tinyint")
+
+
 def lenient_cast(c: Column, to: str) -> Column:
     """The non-ANSI cast the reference relies on: '3.7' -> 3 for int, 'abc' -> NULL."""
-    if to in ("int", "integer", "bigint", "long", "smallint", "tinyint"):
+    if to in _INTEGRAL:
         return c.try_cast("double").try_cast(to)
     return c.try_cast(to)
 
 
+def cast_to(df: DataFrame, col: str, to: str) -> Column:
+    """Lenient cast of ``df[col]``; a no-op when the column already has the type,
+    and only text takes the detour through double."""
+    src = df.schema[col].dataType
+    target = T._parse_datatype_string("int" if to == "integer" else to)
+    if src == target:
+        return F.col(col)
+    if isinstance(src, T.StringType):
+        return lenient_cast(F.col(col), to)
+    return F.col(col).try_cast(to)
+
+
 def encode_welfare(df: DataFrame, year_month_col: str = "YYYY-MMMM") -> DataFrame:
     return df.withColumn("Welfare", welfare_amount(F.col(year_month_col)))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandwise.functions.calendar import lenient_cast
+from bandwise.functions.calendar import cast_to
 
 _INT, _DBL = "int", "double"
 
@@ -84,7 +84,7 @@ def drop_all_null(df: DataFrame) -> DataFrame:
 
 def cast_columns(df: DataFrame, profile: dict[str, str]) -> DataFrame:
     """Lenient casts for the profile's columns that exist in ``df``."""
-    casts = {c: lenient_cast(F.col(c), t) for c, t in profile.items() if c in df.columns}
+    casts = {c: cast_to(df, c, t) for c, t in profile.items() if c in df.columns}
     return df.withColumns(casts) if casts else df
 
 

@@ -12,19 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.functions.calendar import as_date, lenient_cast, normalise_codes
+from bandwise.functions.calendar import as_date, cast_to, normalise_codes
 from bandwise.session import sized_broadcast
 
 # Small-dimension bound for a broadcast (rows); beyond it the join shuffles.
-SMALL_DIM_ROWS = 2_000_000
+SMALL_DIM_ROWS = 500_000
 
 
 def price_sensitivity_dim(ps: DataFrame) -> DataFrame:
     """Raw (Branch, MaterialCode, f0_) -> (BC2, MC2, Price_Sensitivity), codes as int."""
     rest = [c for c in ps.columns if c not in ("Branch", "MaterialCode", "f0_")]
     return ps.select(
-        lenient_cast(F.col("Branch"), "int").alias("BC2"),
-        lenient_cast(F.col("MaterialCode"), "int").alias("MC2"),
+        cast_to(ps, "Branch", "int").alias("BC2"),
+        cast_to(ps, "MaterialCode", "int").alias("MC2"),
         F.col("f0_").alias("Price_Sensitivity"),
         *rest,
     )
@@ -34,8 +34,8 @@ def tier_dim(tier: DataFrame) -> DataFrame:
     """Raw (BranchCode, MaterailCode, ...) -> (BC3, MC3, ...), codes as int."""
     rest = [c for c in tier.columns if c not in ("BranchCode", "MaterailCode")]
     return tier.select(
-        lenient_cast(F.col("BranchCode"), "int").alias("BC3"),
-        lenient_cast(F.col("MaterailCode"), "int").alias("MC3"),
+        cast_to(tier, "BranchCode", "int").alias("BC3"),
+        cast_to(tier, "MaterailCode", "int").alias("MC3"),
         *rest,
     )
 
@@ -64,7 +64,7 @@ def welfare_branch_flag(df: DataFrame, welfare: DataFrame, branch_col: str = "Br
     The reference collects the branch list to the driver and inlines it; here
     the distinct codes are a (size-checked) broadcast join side.
     """
-    keys = welfare.select(lenient_cast(F.col("branchcode"), "int").alias("_wf_branch")).distinct()
+    keys = welfare.select(cast_to(welfare, "branchcode", "int").alias("_wf_branch")).distinct()
     keys = keys.withColumn("_wf_hit", F.lit(True))
     out = df.join(sized_broadcast(keys, SMALL_DIM_ROWS), df[branch_col] == F.col("_wf_branch"), "left")
     return out.withColumn("welfareFlag", F.when(F.col("_wf_hit"), F.lit("1")).otherwise(F.lit("0"))).drop(

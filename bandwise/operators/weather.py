@@ -16,11 +16,11 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandwise.functions.calendar import lenient_cast
+from bandwise.functions.calendar import cast_to
 from bandwise.functions.scoring import planar_distance
 from bandwise.session import sized_broadcast
 
-SMALL_DIM_ROWS = 2_000_000
+SMALL_DIM_ROWS = 500_000
 
 
 def store_location(raw: DataFrame, limit: int | None = None) -> DataFrame:
@@ -29,7 +29,7 @@ def store_location(raw: DataFrame, limit: int | None = None) -> DataFrame:
     ``limit`` reproduces the reference's LIMIT, made deterministic by ordering
     on BranchCode; the default keeps every store.
     """
-    out = raw.select(lenient_cast(F.col("code"), "int").alias("BranchCode"), "lat", "lng")
+    out = raw.select(cast_to(raw, "code", "int").alias("BranchCode"), "lat", "lng")
     return out.orderBy("BranchCode").limit(limit) if limit is not None else out
 
 
@@ -101,7 +101,6 @@ def nearest_station(
     cand_cols = list(candidates.columns)
     # dimension-sized inputs: materialise once in the shared checkpoint folder
     cands = candidates.filter(F.col(cand_lat).isNotNull() & F.col(cand_lng).isNotNull()).checkpoint()
-    sto = sto.checkpoint()
     span, n_sto, n_cand = _extent(sto, cands, cand_lat, cand_lng)
     if n_cand == 0 or n_sto == 0:
         return _empty_result(sto, cands, store_key)

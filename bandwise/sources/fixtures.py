@@ -138,7 +138,8 @@ def tier(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.year(d).alias("CALYEAR"),
             F.month(d).alias("CALMONTH"),
         )
-        .agg(F.concat(F.lit("T"), F.min(F.substring("o_orderpriority", 1, 1))).alias("Tier"))
+        # priorities start with one digit, so the minimum digit is the minimum text (hash-aggregable)
+        .agg(F.concat(F.lit("T"), F.min(F.substring("o_orderpriority", 1, 1).cast("int")).cast("string")).alias("Tier"))
     )
 
 
