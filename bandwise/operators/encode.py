@@ -54,3 +54,16 @@ def one_hot_size(vec: Column) -> Column:
 def one_hot_active(vec: Column) -> Column:
     """Index of the set position of a one-hot vector (-1 if none)."""
     return (F.array_position(vector_to_array(vec), F.lit(1.0)) - 1).cast("int")
+
+
+def one_hot_many(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error") -> DataFrame:
+    """``<c>_idx`` and ``<c>_vec`` for several columns: one indexer fit (one pass) for all of them."""
+    cols = list(columns)
+    idx = [f"{c}_idx" for c in cols]
+    model = Pipeline(
+        stages=[
+            StringIndexer(inputCols=cols, outputCols=idx, handleInvalid=handle_invalid),
+            OneHotEncoder(inputCols=idx, outputCols=[f"{c}_vec" for c in cols], dropLast=False),
+        ]
+    ).fit(df)
+    return model.transform(df)

@@ -819,6 +819,32 @@ def q_one_hot_zipcode(spark, sf):
     )
 
 
+_MULTI_HOT = ["ProvinceEN", "DistrictEN", "ZipCode", "promotion"]
+
+
+def _multi_hot_sql() -> str:
+    ctes, sel, joins = [], [], []
+    for i, c in enumerate(_MULTI_HOT):
+        ctes.append(
+            f"""lab{i} AS (SELECT CAST({c} AS VARCHAR) AS v, COUNT(*) AS n FROM categories GROUP BY 1),
+ix{i} AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS idx,
+                 CAST(COUNT(*) OVER () AS INTEGER) AS sz FROM lab{i})"""
+        )
+        sel.append(f"c.{c}, ix{i}.idx AS {c}_idx, ix{i}.sz AS {c}_size")
+        joins.append(f"JOIN ix{i} ON CAST(c.{c} AS VARCHAR) = ix{i}.v")
+    body = ",\n".join(ctes) + f"\nSELECT c.SalDate, c.BranchCode, c.MaterialCode, {', '.join(sel)}\nFROM categories c " + " ".join(joins)
+    return with_fixtures(body, "categories")
+
+
+@register("one_hot_multi", _multi_hot_sql())
+def q_one_hot_multi(spark, sf):
+    df = enc.one_hot_many(fx.categories(spark, sf), _MULTI_HOT)
+    out = [*KEY]
+    for c in _MULTI_HOT:
+        out += [c, f"{c}_idx", enc.one_hot_size(F.col(f"{c}_vec")).alias(f"{c}_size")]
+    return df.select(*out)
+
+
 @register(
     "string_index",
     with_fixtures(
