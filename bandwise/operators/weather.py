@@ -146,7 +146,8 @@ def nearest_station(
         settled.append(done.withColumnRenamed("_sk", store_key))
         if final:
             break
-        pending = pending.join(done.select("_sk"), "_sk", "left_anti").checkpoint()
+        # `done` is checkpointed, so this lineage stays two steps deep
+        pending = pending.join(done.select("_sk"), "_sk", "left_anti")
         if pending.isEmpty():
             break
         g *= 2

@@ -38,7 +38,13 @@ def shared_dir(spark: SparkSession, sub: str | None = None) -> str:
     session without that setting (tests) gets a fresh temporary folder; a
     cluster session without it is an error, never a machine-local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Connect session has no SparkContext: the conf is all there is
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        return base if sub is None else base.rstrip("/") + "/" + sub
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not sc.master.startswith("local"):
