@@ -154,16 +154,18 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def bands_values() -> str:
+def bands_values(bands=None) -> str:
+    bands = SALES_BANDS if bands is None else bands
     rows = ", ".join(
         f"({i + 1}, {sql_str(band_label(lo, hi))}, {sql_str(band_key(lo, hi))}, {lo}, {hi})"
-        for i, (lo, hi) in enumerate(SALES_BANDS)
+        for i, (lo, hi) in enumerate(bands)
     )
     return f"SELECT * FROM (VALUES {rows}) AS t(band_id, Range, bounds, lower, upper)"
 
 
-def band_case(col: str) -> str:
-    whens = " ".join(f"WHEN {col} BETWEEN {lo} AND {hi} THEN {i + 1}" for i, (lo, hi) in enumerate(SALES_BANDS))
+def band_case(col: str, bands=None) -> str:
+    bands = SALES_BANDS if bands is None else bands
+    whens = " ".join(f"WHEN {col} BETWEEN {lo} AND {hi} THEN {i + 1}" for i, (lo, hi) in enumerate(bands))
     return f"CASE {whens} END"
 
 

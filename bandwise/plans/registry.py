@@ -119,18 +119,14 @@ def _dow_features(spark, sf):
 _METRICS = ("mae", "rmse", "mse", "r2")
 
 
-def _range_sql(source: str, label: str, pred: str, with_all: bool, *deps: str) -> str:
-    m = {
-        "mae": "try_div(a._sae, a.n_scored)",
-        "mse": "try_div(a._sse, a.n_scored)",
-    }
+def _range_sql(source: str, label: str, pred: str, with_all: bool, *deps: str, bands=None) -> str:
     return with_fixtures(
         f"""
-src AS (SELECT {o.band_case(label)} AS band_id, CAST({label} AS DOUBLE) AS l, CAST({pred} AS DOUBLE) AS p FROM {source}),
+src AS (SELECT {o.band_case(label, bands)} AS band_id, CAST({label} AS DOUBLE) AS l, CAST({pred} AS DOUBLE) AS p FROM {source}),
 agg AS (SELECT band_id, COUNT(*) AS n, COUNT(p - l) AS n_scored, SUM((p - l) * (p - l)) AS _sse,
                SUM(abs(p - l)) AS _sae, VAR_POP(CASE WHEN p - l IS NOT NULL THEN l END) AS _var
         FROM src GROUP BY band_id),
-bands AS ({o.bands_values()})
+bands AS ({o.bands_values(bands)})
 SELECT b.band_id, b.Range, b.lower, b.upper,
        {r6("a._sae / NULLIF(a.n_scored, 0)")} AS mae,
        {r6("sqrt(a._sse / NULLIF(a.n_scored, 0))")} AS rmse,
@@ -153,6 +149,19 @@ def q_range_metrics_two_stage(spark, sf):
     return round6(ev.range_metrics(_scored_two_stage(spark, sf), "TotalQtySale", "pred_final"), *_METRICS)
 
 
+# the reference's exact-value variants (quantity 0, 1, 2, 3) are the same report over four one-value bands
+EXACT_BANDS = [(0, 0), (1, 1), (2, 2), (3, 3)]
+
+
+@register(
+    "range_metrics_exact", _range_sql("scored", "TotalQtySale", "pred_final", False, "scored", bands=EXACT_BANDS)
+)
+def q_range_metrics_exact(spark, sf):
+    return round6(
+        ev.range_metrics(_scored_two_stage(spark, sf), "TotalQtySale", "pred_final", bands=EXACT_BANDS), *_METRICS
+    )
+
+
 _MONTHLY_SCORED = "(SELECT *, CAST(label AS DOUBLE) * CAST(0.8 AS DOUBLE) + CAST(2 AS DOUBLE) AS predict_qty FROM sales_monthly)"
 
 
@@ -200,13 +209,14 @@ _TWO_STAGE_PRED = "(pred_lv1 * pred_lv2)"
 _OU_AVG = ("avgPriceDis", "avgPrice", "supPrice", "predict_qty", "prediction_diff")
 
 
-def _over_under_sql(label: str, pred_expr: str, source: str, *deps: str) -> str:
+def _over_under_sql(label: str, pred_expr: str, source: str, *deps: str, bands=None) -> str:
     avgs = ", ".join(f'{r6(f"AVG({c})")} AS "avg({c})"' for c in _OU_AVG)
-    lo, hi = min(b[0] for b in SALES_BANDS), max(b[1] for b in SALES_BANDS)
+    bands = SALES_BANDS if bands is None else bands
+    lo, hi = min(b[0] for b in bands), max(b[1] for b in bands)
     return with_fixtures(
         f"""{_classified_sql(label, pred_expr, source)},
-bands AS ({o.bands_values()}),
-b AS (SELECT {o.band_case(label)} AS band_id, * FROM ce WHERE {label} BETWEEN {lo} AND {hi})
+bands AS ({o.bands_values(bands)}),
+b AS (SELECT {o.band_case(label, bands)} AS band_id, * FROM ce WHERE {label} BETWEEN {lo} AND {hi})
 SELECT b.band_id, r.bounds AS Range, b.prediction_type, {avgs}, COUNT(*) AS count_of_each_part
 FROM b JOIN bands r ON b.band_id = r.band_id
 GROUP BY b.band_id, r.bounds, b.prediction_type""",
@@ -230,6 +240,14 @@ def q_over_under_two_stage(spark, sf):
     return _ou_round(ev.over_under_report(classified, "TotalQtySale", "predict_qty"))
 
 
+@register(
+    "over_under_exact", _over_under_sql("TotalQtySale", _TWO_STAGE_PRED, "scored", "scored", bands=EXACT_BANDS)
+)
+def q_over_under_exact(spark, sf):
+    classified = classify_error(_scored_two_stage(spark, sf, out="predict_qty"), "TotalQtySale", "predict_qty")
+    return _ou_round(ev.over_under_report(classified, "TotalQtySale", "predict_qty", bands=EXACT_BANDS))
+
+
 @register(
     "union_reports",
     with_fixtures(
@@ -312,6 +330,20 @@ def q_post_score(spark, sf):
     return post_score(df, "predict_qty", "Day").select(*KEY, "Day", "predict_qty")
 
 
+@register(
+    "post_score_v2",
+    with_fixtures(
+        f"""SELECT {KEY_SQL}, DayofMonth,
+       CASE WHEN DayofMonth = 1 THEN p + p / CAST(2 AS DOUBLE)
+            WHEN DayofMonth BETWEEN 2 AND 5 THEN p + p / CAST(2.5 AS DOUBLE) ELSE p END AS predict_qty
+FROM (SELECT *, {_SINGLE_PRED} AS p FROM sales) s""",
+        "sales",
+    ),
+)
+def q_post_score_v2(spark, sf):
+    return post_score(_scored_single(spark, sf), "predict_qty", "DayofMonth").select(*KEY, "DayofMonth", "predict_qty")
+
+
 @register(
     "post_score_v3",
     with_fixtures(
