@@ -133,7 +133,7 @@ SELECT b.band_id, b.Range, b.lower, b.upper,
        {r6("a._sse / NULLIF(a.n_scored, 0)")} AS mse,
        {r6("1 - a._sse / NULLIF(a._var * a.n_scored, 0)")} AS r2,
        COALESCE(a.n, 0) AS count, COALESCE(a.n_scored, 0) AS n_scored
-       {', (SELECT SUM(n) FROM agg) AS "all"' if with_all else ""}
+       {', CAST((SELECT SUM(n) FROM agg) AS BIGINT) AS "all"' if with_all else ""}
 FROM bands b LEFT JOIN agg a ON a.band_id = b.band_id""",
         *deps,
     )

@@ -33,7 +33,7 @@ def main() -> int:
                 res = compare(df, con, q.sql)
         except Exception as e:  # report and go on
             res = {"error": repr(e)[:600]}
-        ok = res.get("values_ok") and res.get("columns_ok") and res["rows"][0] == (res["rows"][1] or res["rows"][0])
+        ok = res.get("values_ok") and res.get("columns_ok") and res.get("types_ok", True) and res["rows"][0] == (res["rows"][1] or res["rows"][0])
         bad += not ok
         print(f"{'OK ' if ok else 'BAD'} {name:32s} {time.time() - t0:6.1f}s {res}", flush=True)
     print(f"{len(names) - bad}/{len(names)} ok")

@@ -32,6 +32,31 @@ def _norm(v):
     return v
 
 
+_SPARK_TO_DUCK = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "float": "FLOAT",
+    "smallint": "SMALLINT",
+}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list:
+    """Columns whose Spark type and DuckDB type differ."""
+    rel = con.sql(sql)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for c, t in spark_df.dtypes:
+        want = _SPARK_TO_DUCK.get(t, t.upper())
+        if duck_types.get(c) != want:
+            out.append((c, t, duck_types.get(c)))
+    return out
+
+
 def compare(spark_df, con, sql: str) -> dict:
     """{'rows': (n_spark, n_duck), 'columns_ok': bool, 'values_ok': bool, 'diff': sample}."""
     s_cols = sorted(spark_df.columns)
@@ -49,6 +74,9 @@ def compare(spark_df, con, sql: str) -> dict:
         "columns_ok": s_cols == d_cols,
         "values_ok": s_sorted == d_sorted,
     }
+    out["types_ok"] = not type_mismatches(spark_df, con, sql)
+    if not out["types_ok"]:
+        out["type_diff"] = type_mismatches(spark_df, con, sql)
     if not out["columns_ok"]:
         out["diff"] = (s_cols, d_cols)
     elif not out["values_ok"]:
