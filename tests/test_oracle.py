@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
     q = registry.REGISTRY[name]
     df = q.run(spark, SMALL)
     res = compare(df, con, q.sql)
-    assert res["columns_ok"] and res["rows"][0] == res["rows"][1] and res["values_ok"], res
+    assert res["columns_ok"] and res["types_ok"] and res["rows"][0] == res["rows"][1] and res["values_ok"], res
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [bad for bad in FORBIDDEN if bad in plan], plan
 
