@@ -40,22 +40,46 @@ def tier_dim(tier: DataFrame) -> DataFrame:
     )
 
 
-def join_price_sensitivity(df: DataFrame, ps: DataFrame, how: str = "left", date_col: str = "SalDate") -> DataFrame:
+_SALT = "_salt"
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], how: str, salt: int) -> DataFrame:
+    """Equi-join ``fact`` to ``dim`` on ``pairs`` (fact column, dim column).
+
+    With ``salt > 1`` a hot key is spread over ``salt`` partitions: each fact
+    row gets a salt from a hash of the whole row (deterministic, so a retried
+    task sends rows to the same place), and every dimension row is copied once
+    per salt value. Use it when one key holds a large share of the fact rows
+    and AQE cannot split the join (e.g. the dimension side is computed under
+    the join); the dimension side grows ``salt``-fold.
+    """
+    if salt <= 1:
+        cond = None
+        for a, b in pairs:
+            c = fact[a] == dim[b]
+            cond = c if cond is None else cond & c
+        return fact.join(dim, cond, how)
+    f = fact.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt)))
+    d = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+    cond = f[_SALT] == d[_SALT]
+    for a, b in pairs:
+        cond = cond & (f[a] == d[b])
+    return f.join(d, cond, how).drop(f[_SALT]).drop(d[_SALT])
+
+
+def join_price_sensitivity(
+    df: DataFrame, ps: DataFrame, how: str = "left", date_col: str = "SalDate", salt: int = 0
+) -> DataFrame:
     """Join on (BranchCode = BC2, MaterialCode = MC2); add YY, MM; codes as int."""
-    out = df.join(ps, (df["BranchCode"] == ps["BC2"]) & (df["MaterialCode"] == ps["MC2"]), how)
+    out = salted_join(df, ps, [("BranchCode", "BC2"), ("MaterialCode", "MC2")], how, salt)
     d = as_date(out, date_col)
     return normalise_codes(out.withColumns({"YY": F.year(d), "MM": F.month(d)}))
 
 
-def join_tier(df: DataFrame, tier: DataFrame, how: str = "left") -> DataFrame:
+def join_tier(df: DataFrame, tier: DataFrame, how: str = "left", salt: int = 0) -> DataFrame:
     """Join on (BranchCode, MaterialCode, YY, MM) = (BC3, MC3, CALYEAR, CALMONTH)."""
-    cond = (
-        (df["BranchCode"] == tier["BC3"])
-        & (df["MaterialCode"] == tier["MC3"])
-        & (df["YY"] == tier["CALYEAR"])
-        & (df["MM"] == tier["CALMONTH"])
-    )
-    return df.join(tier, cond, how)
+    pairs = [("BranchCode", "BC3"), ("MaterialCode", "MC3"), ("YY", "CALYEAR"), ("MM", "CALMONTH")]
+    return salted_join(df, tier, pairs, how, salt)
 
 
 def welfare_branch_flag(df: DataFrame, welfare: DataFrame, branch_col: str = "BranchCode") -> DataFrame:

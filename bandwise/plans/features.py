@@ -40,11 +40,13 @@ def prepare_features(
     welfare: DataFrame,
     weather_by_branch: DataFrame | None = None,
     how: str = "left",
+    salt: int = 0,
 ) -> DataFrame:
+    """``salt > 1`` spreads hot (branch, material) keys of the two fact-sized joins."""
     df = (
         encode_calendar(sales)
-        .transform(lambda d: join_price_sensitivity(d, price_sensitivity_dim(ps_raw), how))
-        .transform(lambda d: join_tier(d, tier_dim(tier_raw), how))
+        .transform(lambda d: join_price_sensitivity(d, price_sensitivity_dim(ps_raw), how, salt=salt))
+        .transform(lambda d: join_tier(d, tier_dim(tier_raw), how, salt=salt))
         .transform(encode_tier)
         .transform(encode_welfare)
         .transform(lambda d: welfare_branch_flag(d, welfare))

@@ -72,3 +72,16 @@ def test_hot_band_is_merged_map_side(spark, skewed):
     plan = rep._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan  # partial aggregate before the band shuffle
     assert sum(r["count"] for r in rows) == base.count()
+
+
+def test_salted_joins_equal_plain_joins(spark, skewed):
+    base, tier = skewed
+    cal = encode_calendar(base)
+    plain = en.join_tier(cal, en.tier_dim(tier))
+    salted = en.join_tier(cal, en.tier_dim(tier), salt=8)
+    assert salted.columns == plain.columns
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    ps = base.groupBy(F.col("BranchCode").alias("Branch"), "MaterialCode").agg(F.avg("TotalQtySale").alias("f0_"))
+    a = en.join_price_sensitivity(base, en.price_sensitivity_dim(ps), how="inner")
+    b = en.join_price_sensitivity(base, en.price_sensitivity_dim(ps), how="inner", salt=5)
+    assert a.count() == base.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
