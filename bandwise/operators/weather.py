@@ -34,17 +34,20 @@ def store_location(raw: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def weather_latest(
-    weather: DataFrame, stations: DataFrame, country: str = "TH", year: int | None = None
+    weather: DataFrame, stations: DataFrame, country: str = "TH", year: int | str | None = None
 ) -> DataFrame:
     """Daily weather of the country's stations, only each station name's latest date.
 
     = weather LEFT JOIN stations ON stn = usaf, WHERE stn IN (stations of
     ``country``), keeping rows whose date equals MAX(date) of their station
     name (ties kept, NULL names dropped). ``year`` filters the date first
-    (a partition filter when weather is partitioned by year).
+    (a partition filter when weather is partitioned by year); ``"today"`` means
+    the current year, as the original query did.
     """
     w = weather
-    if year is not None:
+    if year == "today":
+        w = w.filter(F.year("date") == F.year(F.current_date()))
+    elif year is not None:
         w = w.filter(F.year("date") == year)
     local = stations.filter(F.col("country") == country).select(F.col("usaf").alias("_usaf")).distinct()
     w = w.join(sized_broadcast(local, SMALL_DIM_ROWS), w["stn"] == F.col("_usaf"), "left_semi")
@@ -108,7 +111,8 @@ def nearest_station(
     diameter = span * math.sqrt(2)
     # about 4k candidates per cell on average, so most stores settle in the first round
     g = cell or max(span * 2.0 * math.sqrt(k / n_cand), 1e-6)
-    cands_b = sized_broadcast(cands, SMALL_DIM_ROWS)
+    # the candidate count is known from the extent job: broadcast only below the bound
+    cands_b = F.broadcast(cands) if n_cand <= SMALL_DIM_ROWS else cands
 
     settled: list[DataFrame] = []
     pending = sto
