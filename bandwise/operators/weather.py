@@ -117,7 +117,8 @@ def nearest_station(
     settled: list[DataFrame] = []
     pending = sto
     while True:
-        final = g >= diameter
+        # margins keep points at exactly one cell width (or the diameter) out of float rounding's way
+        final = g > diameter * (1 + 1e-6)
         probes = pending.withColumn("_nb", F.explode(_neighbours())).select(
             "_sk",
             "_slat",
@@ -140,7 +141,8 @@ def nearest_station(
         ).filter(F.col("rank") <= k)
         # settled: k candidates found and the k-th lies within one cell width
         ranked = ranked.withColumn("_kd", F.max("dis_store").over(by_store))
-        done = ranked.filter((F.lit(final) | ((F.col("_found") >= k) & (F.col("_kd") <= g)))).select(
+        settled_now = (F.col("_found") >= k) & (F.col("_kd") < g * (1 - 1e-9))
+        done = ranked.filter(F.lit(final) | settled_now).select(
             F.col("_sk"),
             *cand_cols,
             "dis_store",

@@ -68,3 +68,15 @@ def test_no_cartesian_product(spark):
     cdf = spark.createDataFrame([("a", 10.0, 101.0)], "name string, lat double, lon double")
     plan = we.nearest_station(sdf, cdf)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("cell", [1.0, 0.5, 0.3])
+def test_grid_aligned_points_on_cell_boundaries(spark, cell):
+    stores = [(i * 10 + j, float(i), float(j)) for i in range(5) for j in range(5)]
+    stations = [(f"s{i}{j}", float(i) + 0.5 * (j % 2), float(j) * 2.0) for i in range(0, 5, 2) for j in range(3)]
+    sdf = spark.createDataFrame(stores, "BranchCode int, lat double, lng double")
+    cdf = spark.createDataFrame(stations, "name string, lat double, lon double")
+    got = {}
+    for r in we.nearest_station(sdf, cdf, k=2, cell=cell).orderBy("BranchCode", "rank").collect():
+        got.setdefault(r["BranchCode"], []).append(r["name"])
+    assert got == _brute(stores, stations, 2)
