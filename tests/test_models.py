@@ -1,6 +1,7 @@
 from pyspark.ml.feature import SQLTransformer
 
 from bandwise.operators import models as mo
+from bandwise.session import fresh_path
 from bandwise.sources import fixtures as fx
 from tests.conftest import SMALL
 
@@ -26,13 +27,13 @@ def test_helper_columns_do_not_collide(spark):
     assert out.first()["pred_final"] == 2.0
 
 
-def test_train_save_load_roundtrip(spark, tmp_path):
+def test_train_save_load_roundtrip(spark):
     sales = fx.sales(spark, SMALL)
     models = mo.train_two_stage(
         sales, ["avgPrice", "supPrice", "DayofMonth"], classifier="dt", regressor="dt"
     )
     a = mo.two_stage_score(sales, *models).orderBy("SalDate", "BranchCode", "MaterialCode").select("pred_final").collect()
-    path = str(tmp_path / "m")
+    path = fresh_path(spark, "model")
     mo.save_two_stage(models, path)
     b = mo.two_stage_score(sales, *mo.load_two_stage(path)).orderBy("SalDate", "BranchCode", "MaterialCode").select("pred_final").collect()
     assert a == b and len(a) == sales.count()
