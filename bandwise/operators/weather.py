@@ -45,10 +45,10 @@ def weather_latest(
     the current year, as the original query did.
     """
     w = weather
-    if year == "today":
-        w = w.filter(F.year("date") == F.year(F.current_date()))
-    elif year is not None:
-        w = w.filter(F.year("date") == year)
+    if year is not None:
+        want = F.year(F.current_date()) if year == "today" else F.lit(year)
+        # a stored `year` partition column turns this into a partition filter
+        w = w.filter((F.col("year") if "year" in w.columns else F.year("date")) == want)
     local = stations.filter(F.col("country") == country).select(F.col("usaf").alias("_usaf")).distinct()
     w = w.join(sized_broadcast(local, SMALL_DIM_ROWS), w["stn"] == F.col("_usaf"), "left_semi")
     meta = stations.select(F.col("usaf").alias("_st_usaf"), "name", "lat", "lon")

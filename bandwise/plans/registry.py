@@ -736,6 +736,16 @@ def q_weather_latest(spark, sf):
     return we.weather_latest(fx.weather(spark, sf), fx.stations(spark, sf), "TH", WEATHER_YEAR)
 
 
+@register("weather_partitioned", with_fixtures("SELECT * FROM latest_weather", "latest_weather"))
+def q_weather_partitioned(spark, sf):
+    """Weather stored partitioned by year (the original kept one table per year): the year filter
+    of weather_latest becomes a partition filter, so other years are never listed or read."""
+    path = fresh_path(spark, "weather_by_year")
+    files.write_table(fx.weather(spark, sf).withColumn("year", F.year("date")), path, partition_by=["year"])
+    stored = spark.read.parquet(path)
+    return we.weather_latest(stored, fx.stations(spark, sf), "TH", WEATHER_YEAR).drop("year")
+
+
 @register(
     "nearest_station",
     with_fixtures(f"SELECT BranchCode, name, temp, {r6('dis_store')} AS dis_store FROM branch_weather", "branch_weather"),

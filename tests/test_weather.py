@@ -80,3 +80,13 @@ def test_grid_aligned_points_on_cell_boundaries(spark, cell):
     for r in we.nearest_station(sdf, cdf, k=2, cell=cell).orderBy("BranchCode", "rank").collect():
         got.setdefault(r["BranchCode"], []).append(r["name"])
     assert got == _brute(stores, stations, 2)
+
+
+def test_year_filter_prunes_partitions(spark):
+    from bandwise.plans import registry
+    from tests.conftest import SMALL
+
+    df = registry.q_weather_partitioned(spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
+    assert df.count() == registry.q_weather_latest(spark, SMALL).count()
