@@ -112,6 +112,8 @@ def main() -> None:
                     "range_report_jobs": loop_r_jobs,
                     "over_under_sec": round(loop_o, 3),
                     "over_under_jobs": loop_o_jobs,
+                    "range_report_speedup": round(loop_r / times["range_report"], 1),
+                    "over_under_speedup": round(loop_o / times["over_under_report"], 1),
                 },
             }
         )
