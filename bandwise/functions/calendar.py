@@ -1,6 +1,6 @@
 """Calendar, holiday, welfare and tier encoders as column expressions.
 
-The reference applies these as row-at-a-time Python UDFs; here each lookup is
+The original module applies these as row-at-a-time Python UDFs; here each lookup is
 a literal map or CASE expression evaluated inside whole-stage codegen.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values (must equal the reference's lookup tables).
+# Fixed values (must equal the original module's lookup tables).
 # Holiday calendar: 'day-month' key, holiday name, holiday type.
 # ('Goverment' is spelled as in the source data.)
 HOLIDAYS = [
@@ -75,7 +75,7 @@ def holiday_type(day_month: Column) -> Column:
 
 
 def welfare_amount(year_month: Column) -> Column:
-    """Welfare amount as the reference's string-typed column ('500'/'700')."""
+    """Welfare amount as the original module's string-typed column ('500'/'700')."""
     return F.when(year_month.isin(*WELFARE_LOW_MONTHS), F.lit(str(WELFARE_LOW))).otherwise(F.lit(str(WELFARE_HIGH)))
 
 
@@ -135,7 +135,7 @@ _INTEGRAL = ("int", "integer", "bigint", "long", "smallint", "tinyint")
 
 
 def lenient_cast(c: Column, to: str) -> Column:
-    """The non-ANSI cast the reference relies on: '3.7' -> 3 for int, 'abc' -> NULL."""
+    """The non-ANSI cast the original module relies on: '3.7' -> 3 for int, 'abc' -> NULL."""
     if to in _INTEGRAL:
         return c.try_cast("double").try_cast(to)
     return c.try_cast(to)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# Fixed values (must equal the reference's).
+# Fixed values (must equal the original module's).
 # Sales-quantity bands of the error reports, closed intervals (lower, upper),
 # in report order.
 SALES_BANDS = [
@@ -106,6 +106,6 @@ def classify_error(df: DataFrame, label: str = "label", pred: str = "predict_qty
 
 
 def planar_distance(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    """Euclidean distance in degrees, as the reference measures store-to-station."""
+    """Euclidean distance in degrees, as the original module measures store-to-station."""
     dlat, dlng = lat1 - lat2, lng1 - lng2
     return F.sqrt(dlat * dlat + dlng * dlng)

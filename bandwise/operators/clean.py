@@ -1,10 +1,10 @@
 """Row filters, projections and typed cleaning driven by cast profiles.
 
-The reference has ten near-identical ``clean*`` functions: drop incomplete
+The original module has ten near-identical ``clean*`` functions: drop incomplete
 rows, then cast a fixed list of columns. Here one ``clean(df, profile)`` does
 that; each profile is a column -> type table. Casts are lenient (the old
 non-ANSI behaviour): '3.7' becomes 3 for an int column, 'abc' becomes NULL.
-Nulls created by the casts after the drop are kept, as in the reference.
+Nulls created by the casts after the drop are kept, as in the original module.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ _BINARY_INTS = ["Year", "welfareFlag", "welfareFlagDay", "ZipCode"]
 _DOW_INTS = ["DoW_Num", "Total_Bill_Dow", "Total_SumQTY_Dow", "NumWeekSale", "HighQualityFlag"]
 _DOW_DOUBLES = ["AVG_SumQTY_Dow", "MED_SumQTY_Dow", "SD_SumQTY_Dow"]
 
-# Cast profiles: which column gets which type (one per reference clean* variant).
+# Cast profiles: which column gets which type (one per original clean* variant).
 CAST_PROFILES: dict[str, dict[str, str]] = {
     # clean: the full feature table
     "full": _profile(
@@ -110,7 +110,7 @@ def filter_exact(df: DataFrame, col: str, value) -> DataFrame:
 def profile_columns(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Per column: data type, non-null count, null count (one scan, one tiny aggregate).
 
-    Re-aims the reference's metadata-only "columns per type" table at the data:
+    Re-aims the original module's metadata-only "columns per type" table at the data:
     one ``agg`` computes every count, then ``unpivot`` turns it into one row
     per column. ``approx_distinct`` adds an HLL distinct estimate.
     """
@@ -141,7 +141,7 @@ def profile_columns(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
 
 
 def column_type_counts(df: DataFrame) -> DataFrame:
-    """The reference's table literally: columns per data type, names joined by ' | '."""
+    """The original module's table literally: columns per data type, names joined by ' | '."""
     spark = df.sparkSession
     rows = [(c, t) for c, t in df.dtypes]
     meta = spark.createDataFrame(rows, T.StructType([T.StructField("name", T.StringType()), T.StructField("type", T.StringType())]))

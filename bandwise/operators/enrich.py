@@ -1,6 +1,6 @@
 """Dimension joins and flags: price sensitivity, tier, welfare branches, weather.
 
-Joins take ``how`` (default ``left``; the reference's earlier INNER versions
+Joins take ``how`` (default ``left``; the original module's earlier INNER versions
 are ``how="inner"``). Fact-sized dimensions (price sensitivity, tier) are
 joined without a hint: the planner and AQE choose broadcast or sort-merge from
 actual sizes, and AQE splits skewed keys. Small dimensions go through
@@ -85,7 +85,7 @@ def join_tier(df: DataFrame, tier: DataFrame, how: str = "left", salt: int = 0)
 def welfare_branch_flag(df: DataFrame, welfare: DataFrame, branch_col: str = "BranchCode") -> DataFrame:
     """welfareFlag = '1' when the branch is in ``welfare.branchcode``, else '0' (NULL branch -> '0').
 
-    The reference collects the branch list to the driver and inlines it; here
+    The original module collects the branch list to the driver and inlines it; here
     the distinct codes are a (size-checked) broadcast join side.
     """
     keys = welfare.select(cast_to(welfare, "branchcode", "int").alias("_wf_branch")).distinct()

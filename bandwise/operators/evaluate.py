@@ -1,6 +1,6 @@
 """Forecast-error reports.
 
-The reference loops over the sales bands and runs several Spark jobs per band
+The original module loops over the sales bands and runs several Spark jobs per band
 (filter, count, one evaluator job per metric). Here every report is one
 grouped aggregate keyed by the band id: rows are bucketed by a CASE
 expression, partially aggregated on the map side (at most one row per band
@@ -118,7 +118,7 @@ def over_under_report(
 
     ``classified`` must carry ``prediction_type`` and ``prediction_diff``
     (see ``classify_error``); it is added when missing. Only non-empty
-    (band, type) groups appear, as in the reference.
+    (band, type) groups appear, as in the original module.
     """
     bands = SALES_BANDS if bands is None else list(bands)
     if "prediction_type" not in classified.columns:

@@ -1,6 +1,6 @@
 """Two-stage ("does it sell" x "how many") scoring, training and persistence.
 
-The reference scores the classifier and the regressor separately and joins
+The original module scores the classifier and the regressor separately and joins
 the two outputs back on (SalDate, BranchCode, MaterialCode): a shuffle of
 both copies, and sum(n^2) rows when a key repeats. Chaining the two
 transforms is a narrow plan: one pass, no shuffle, one row per input row.

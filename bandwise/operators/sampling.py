@@ -1,6 +1,6 @@
 """Repeatable stratified train/test split.
 
-The reference draws a Bernoulli sample per label (``sampleBy``) and takes the
+The original module draws a Bernoulli sample per label (``sampleBy``) and takes the
 rest with an anti join. ``sampleBy`` depends on how rows are partitioned, and
 the anti join shuffles both sides. The default here decides each row from a
 hash of its key columns and the seed: the same rows are chosen under any
@@ -55,7 +55,7 @@ def stratified_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(sample, rest). ``frac`` is one fraction or a {label value: fraction} map.
 
-    ``method="sampleBy"`` is the reference's literal form (Bernoulli per
+    ``method="sampleBy"`` is the original module's literal form (Bernoulli per
     label via ``df.stat.sampleBy`` + left-anti join for the rest).
     """
     keys = [join_on] if isinstance(join_on, str) else list(join_on)
@@ -79,5 +79,5 @@ def stratified_split(
 
 
 def distinct_labels(df: DataFrame, label: str, frac: float) -> DataFrame:
-    """The label domain with its sampling fraction (what the reference builds its map from)."""
+    """The label domain with its sampling fraction (what the original module builds its map from)."""
     return df.select(label).distinct().withColumn("fraction", F.lit(float(frac)))

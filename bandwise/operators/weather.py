@@ -1,6 +1,6 @@
 """Store locations, latest station weather, and nearest station per store.
 
-The reference crosses every store with every station (a dummy-key merge in
+The original module crosses every store with every station (a dummy-key merge in
 pandas), ranks by distance, and keeps all pairs. Here the nearest-station
 search is an exact grid search built from equi-joins: stations are bucketed
 into square cells, each store probes its own and the 8 neighbouring cells,
@@ -26,7 +26,7 @@ SMALL_DIM_ROWS = 500_000
 def store_location(raw: DataFrame, limit: int | None = None) -> DataFrame:
     """Store master (code, lat, lng) -> (BranchCode, lat, lng).
 
-    ``limit`` reproduces the reference's LIMIT, made deterministic by ordering
+    ``limit`` reproduces the original module's LIMIT, made deterministic by ordering
     on BranchCode; the default keeps every store.
     """
     out = raw.select(cast_to(raw, "code", "int").alias("BranchCode"), "lat", "lng")

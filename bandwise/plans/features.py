@@ -1,4 +1,4 @@
-"""The reference's three flows as single lazy plans.
+"""The original module's three flows as single lazy plans.
 
 * ``prepare_features``: calendar -> price sensitivity -> tier -> tier/welfare
   encoders -> welfare flags -> renames -> weather, chained by ``transform``;

@@ -149,7 +149,7 @@ def q_range_metrics_two_stage(spark, sf):
     return round6(ev.range_metrics(_scored_two_stage(spark, sf), "TotalQtySale", "pred_final"), *_METRICS)
 
 
-# the reference's exact-value variants (quantity 0, 1, 2, 3) are the same report over four one-value bands
+# the original module's exact-value variants (quantity 0, 1, 2, 3) are the same report over four one-value bands
 EXACT_BANDS = [(0, 0), (1, 1), (2, 2), (3, 3)]
 
 

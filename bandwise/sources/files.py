@@ -17,7 +17,7 @@ def read_file(
     """Read any Spark format with a header row.
 
     Pass ``schema`` in production: without it CSV columns arrive as strings
-    (the reference's behaviour) and ``clean`` casts them later; with it there
+    (the original module's behaviour) and ``clean`` casts them later; with it there
     is no inference pass over the files.
     """
     reader = spark.read.format(fmt).option("header", str(header).lower()).options(**options)

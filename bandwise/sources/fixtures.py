@@ -1,6 +1,6 @@
 """Input tables of the forecasting pipeline, derived from the TPC-H-like TESTDATA.
 
-The reference reads its sales, tier, price-sensitivity, store and weather
+The original module reads its sales, tier, price-sensitivity, store and weather
 tables from files and a warehouse that are not public. These functions build
 tables with the same schemas from ``lineitem``, ``orders``, ``part``,
 ``supplier``, ``nation`` and ``events`` so that every operator runs on data

@@ -2,7 +2,7 @@
 
 Each query runs to completion through the ``noop`` sink (full execution, no
 driver collection), after one warm-up pass of the same queries on the small
-smoke data (JIT and codegen caches). The reference's strategy for the two
+smoke data (JIT and codegen caches). The original module's strategy for the two
 reports (a loop over the 17 sales bands: filter, count, one evaluator job per
 metric; four small aggregates per band for the over/under report) is timed
 for comparison, with Spark job counts, but is not part of ``value``.

@@ -21,7 +21,7 @@ def test_dropna_removes_nan(spark):
     assert cl.drop_all_null(df).count() == 1
 
 
-def test_profiles_cover_reference_variants():
+def test_profiles_cover_original_variants():
     p = cl.CAST_PROFILES
     assert "Total_Bill_Dow" not in p["dow_freq_score"] and p["dow_freq_score"]["MostSalesUnitFreq"] == "double"
     assert "label" not in p["basic_score"] and p["basic_train"]["label"] == "int"

@@ -13,7 +13,7 @@ def test_chained_scoring_keeps_one_row_per_input_with_duplicate_keys(spark):
     )
     lv1, lv2 = fx.fixed_predictors()
     out = mo.two_stage_score(df, lv1, lv2).collect()
-    # the reference's self join on the key would give 3 * 3 = 9 rows here
+    # the original module's self join on the key would give 3 * 3 = 9 rows here
     assert len(out) == 3
     assert [r["pred_final"] for r in out] == [r["pred_lv1"] * r["pred_lv2"] for r in out]
 
