@@ -9,6 +9,12 @@ derivations as DuckDB SQL.
 
 Rounded doubles use ``round(x + 1e-7, 4)``: without the nudge the two engines
 break exact decimal ties differently.
+
+The few modulo rules below are data design, not sampling: they leave some
+keys without a price-sensitivity, tier or welfare row so that left joins have
+unmatched rows to keep, damage some text cells for the cleaning checks, and
+give the fixed classifier a "does not sell" class. Every table is still built
+from, and every query still reads, the whole input tables.
 """
 
 from __future__ import annotations
@@ -120,7 +126,10 @@ def sales_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw price-sensitivity file: Branch, MaterialCode, f0_ (a quarter of materials missing)."""
+    """Raw price-sensitivity file: Branch, MaterialCode, f0_.
+
+    Materials with ``l_partkey % 4 == 0`` get no row, so a left join keeps unmatched sales.
+    """
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 4 != 0)
     return li.groupBy(
         F.col("l_suppkey").cast("int").alias("Branch"),
@@ -129,7 +138,10 @@ def price_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw monthly tier file: BranchCode, MaterailCode (sic), CALYEAR, CALMONTH, Tier."""
+    """Raw monthly tier file: BranchCode, MaterailCode (sic), CALYEAR, CALMONTH, Tier.
+
+    Materials with ``l_partkey % 5 == 0`` get no tier (unmatched keys for the left join).
+    """
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 5 != 0)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     d = _sal_date()
