@@ -16,7 +16,7 @@ from tests.harness import compare, duck  # noqa: E402
 def main() -> int:
     import tests.harness as h
 
-    h.STRICT = os.environ.get("STRICT") == "1"
+    h.STRICT = os.environ.get("STRICT", "1") == "1"
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(registry.REGISTRY)
     spark = local_session(8)

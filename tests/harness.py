@@ -19,7 +19,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-STRICT = False
+STRICT = True  # exact float equality, as a value hash would see it
 
 
 def _norm(v):
