@@ -31,11 +31,17 @@ def price_sensitivity_dim(ps: DataFrame) -> DataFrame:
 
 
 def tier_dim(tier: DataFrame) -> DataFrame:
-    """Raw (BranchCode, MaterailCode, ...) -> (BC3, MC3, ...), codes as int."""
-    rest = [c for c in tier.columns if c not in ("BranchCode", "MaterailCode")]
+    """Raw (BranchCode, MaterailCode, CALYEAR, CALMONTH, ...) -> (BC3, MC3, CALYEAR, CALMONTH, ...).
+
+    Codes and the year/month keys become int (lenient: bad text -> NULL, so a
+    text file never makes the join compare strings with ints).
+    """
+    keys = ("BranchCode", "MaterailCode", "CALYEAR", "CALMONTH")
+    rest = [c for c in tier.columns if c not in keys]
     return tier.select(
         cast_to(tier, "BranchCode", "int").alias("BC3"),
         cast_to(tier, "MaterailCode", "int").alias("MC3"),
+        *[cast_to(tier, c, "int").alias(c) for c in ("CALYEAR", "CALMONTH") if c in tier.columns],
         *rest,
     )
 
