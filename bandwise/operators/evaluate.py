@@ -35,6 +35,9 @@ def _metric_parts() -> list[Column]:
         F.sum(err * err).alias("_sse"),
         F.sum(F.abs(err)).alias("_sae"),
         F.var_pop(scored_label).alias("_var"),
+        # constant labels are detected exactly: merged variance buffers can leave 1e-35 instead of 0
+        F.min(scored_label).alias("_lmin"),
+        F.max(scored_label).alias("_lmax"),
     ]
 
 
@@ -47,7 +50,7 @@ def _metrics_from_parts() -> dict[str, Column]:
         "rmse": F.sqrt(mse),
         "mse": mse,
         # NULL, not -Infinity/NaN, when the labels in the band are constant
-        "r2": F.lit(1.0) - F.try_divide(F.col("_sse"), F.when(sst != 0, sst)),
+        "r2": F.when(F.col("_lmin") < F.col("_lmax"), F.lit(1.0) - F.try_divide(F.col("_sse"), sst)),
     }
 
 
@@ -144,3 +147,66 @@ def union_reports(*reports: DataFrame) -> DataFrame:
     for r in reports[1:]:
         out = out.unionByName(r, allowMissingColumns=True)
     return out
+
+
+def band_reports(
+    scored: DataFrame,
+    label: str = "TotalQtySale",
+    pred: str = "predict_qty",
+    value_cols: Sequence[str] = ("avgPriceDis", "avgPrice", "supPrice"),
+    bands: Sequence[tuple[int, int]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Report 1 and report 2 from **one** pass: ``(range_report, over_under_report)``.
+
+    ``rollup(band_id, prediction_type)`` yields the (band, type) rows of
+    report 2, the band rows of report 1 and the grand total for ``all`` in a
+    single aggregate (at most 3 x (bands + 1) rows). It is checkpointed once to
+    the shared folder, and both reports are projections of it.
+    """
+    bands = SALES_BANDS if bands is None else list(bands)
+    classified = scored if "prediction_type" in scored.columns else classify_error(scored, label, pred)
+    averaged = [*value_cols, pred, "prediction_diff"]
+    base = classified.select(
+        F.coalesce(band_of(F.col(label), bands), F.lit(0)).alias("band_id"),
+        "prediction_type",
+        F.col(label).cast("double").alias(_L),
+        F.col(pred).cast("double").alias(_P),
+        *averaged,
+    )
+    agg = (
+        base.rollup("band_id", "prediction_type")
+        .agg(
+            F.grouping_id().alias("_level"),
+            *_metric_parts(),
+            *[F.avg(c).alias(f"avg({c})") for c in averaged],
+        )
+        .checkpoint()  # tiny; both reports read it
+    )
+    spark = scored.sparkSession
+    total = F.max(F.when(F.col("_level") == 3, F.col("n"))).over(Window.partitionBy())
+    per_band = agg.withColumn("all", total).filter((F.col("_level") == 1) & (F.col("band_id") > 0))
+    table = bands_frame(spark, bands).select("band_id", "Range", "lower", "upper")
+    report1 = (
+        table.join(F.broadcast(per_band), "band_id", "left")
+        .select(
+            "band_id",
+            "Range",
+            "lower",
+            "upper",
+            *[c.alias(k) for k, c in _metrics_from_parts().items()],
+            F.coalesce(F.col("n"), F.lit(0)).alias("count"),
+            F.coalesce(F.col("n_scored"), F.lit(0)).alias("n_scored"),
+            "all",
+        )
+        .withColumn("all", F.max("all").over(Window.partitionBy()))
+    )
+    per_type = agg.filter((F.col("_level") == 0) & (F.col("band_id") > 0))
+    keys = bands_frame(spark, bands).select("band_id", F.col("bounds").alias("Range"))
+    report2 = keys.join(F.broadcast(per_type), "band_id").select(
+        "band_id",
+        "Range",
+        "prediction_type",
+        *[f"avg({c})" for c in averaged],
+        F.col("n").alias("count_of_each_part"),
+    )
+    return report1, report2

@@ -124,14 +124,15 @@ def _range_sql(source: str, label: str, pred: str, with_all: bool, *deps: str, b
         f"""
 src AS (SELECT {o.band_case(label, bands)} AS band_id, CAST({label} AS DOUBLE) AS l, CAST({pred} AS DOUBLE) AS p FROM {source}),
 agg AS (SELECT band_id, COUNT(*) AS n, COUNT(p - l) AS n_scored, SUM((p - l) * (p - l)) AS _sse,
-               SUM(abs(p - l)) AS _sae, VAR_POP(CASE WHEN p - l IS NOT NULL THEN l END) AS _var
+               SUM(abs(p - l)) AS _sae, VAR_POP(CASE WHEN p - l IS NOT NULL THEN l END) AS _var,
+               MIN(CASE WHEN p - l IS NOT NULL THEN l END) AS _lmin, MAX(CASE WHEN p - l IS NOT NULL THEN l END) AS _lmax
         FROM src GROUP BY band_id),
 bands AS ({o.bands_values(bands)})
 SELECT b.band_id, b.Range, b.lower, b.upper,
        {r6("a._sae / NULLIF(a.n_scored, 0)")} AS mae,
        {r6("sqrt(a._sse / NULLIF(a.n_scored, 0))")} AS rmse,
        {r6("a._sse / NULLIF(a.n_scored, 0)")} AS mse,
-       {r6("1 - a._sse / NULLIF(a._var * a.n_scored, 0)")} AS r2,
+       CASE WHEN a._lmin < a._lmax THEN {r6("1 - a._sse / (a._var * a.n_scored)")} END AS r2,
        COALESCE(a.n, 0) AS count, COALESCE(a.n_scored, 0) AS n_scored
        {', CAST((SELECT SUM(n) FROM agg) AS BIGINT) AS "all"' if with_all else ""}
 FROM bands b LEFT JOIN agg a ON a.band_id = b.band_id""",
@@ -186,9 +187,11 @@ def q_range_metrics_yearly(spark, sf):
         f"""
 src AS (SELECT CAST(label AS DOUBLE) AS l, CAST(label AS DOUBLE) * CAST(0.8 AS DOUBLE) + CAST(2 AS DOUBLE) AS p FROM sales),
 a AS (SELECT COUNT(*) AS n, COUNT(p - l) AS n_scored, SUM((p - l) * (p - l)) AS _sse, SUM(abs(p - l)) AS _sae,
-             VAR_POP(CASE WHEN p - l IS NOT NULL THEN l END) AS _var FROM src)
+             VAR_POP(CASE WHEN p - l IS NOT NULL THEN l END) AS _var,
+             MIN(CASE WHEN p - l IS NOT NULL THEN l END) AS _lmin, MAX(CASE WHEN p - l IS NOT NULL THEN l END) AS _lmax
+      FROM src)
 SELECT {r6("_sae / NULLIF(n_scored, 0)")} AS mae, {r6("sqrt(_sse / NULLIF(n_scored, 0))")} AS rmse,
-       {r6("_sse / NULLIF(n_scored, 0)")} AS mse, {r6("1 - _sse / NULLIF(_var * n_scored, 0)")} AS r2,
+       {r6("_sse / NULLIF(n_scored, 0)")} AS mse, CASE WHEN _lmin < _lmax THEN {r6("1 - _sse / (_var * n_scored)")} END AS r2,
        n AS count, n_scored FROM a""",
         "sales",
     ),
@@ -248,6 +251,23 @@ def q_over_under_exact(spark, sf):
     return _ou_round(ev.over_under_report(classified, "TotalQtySale", "predict_qty", bands=EXACT_BANDS))
 
 
+def _fused(spark, sf):
+    scored = _scored_two_stage(spark, sf, out="predict_qty")
+    return ev.band_reports(scored, "TotalQtySale", "predict_qty")
+
+
+@register("band_reports_range", REGISTRY["range_report"].sql)
+def q_band_reports_range(spark, sf):
+    """Report 1 of the one-pass pair (same numbers as range_report)."""
+    return round6(_fused(spark, sf)[0], *_METRICS)
+
+
+@register("band_reports_over_under", REGISTRY["over_under_two_stage"].sql)
+def q_band_reports_over_under(spark, sf):
+    """Report 2 of the one-pass pair (same numbers as over_under_two_stage)."""
+    return _ou_round(_fused(spark, sf)[1])
+
+
 @register(
     "union_reports",
     with_fixtures(

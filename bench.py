@@ -33,6 +33,7 @@ HEADLINE = [
     "one_hot",
     "encode_calendar",
     "join_tier",
+    "band_reports_range",  # one pass for both reports: the over/under half reads the same checkpoint
 ]
 WARMUP_DIR = "/root/testdata/sf0.001"
 

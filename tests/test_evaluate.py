@@ -84,3 +84,29 @@ def test_range_report_single_shuffle_of_rows(spark, scored):
     plan = ev.range_report(scored, "label", "predict_qty")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning") == 1  # one shuffle of partial sums keyed by band
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_band_reports_one_pass_equals_separate_reports(spark, scored):
+    df = scored.withColumn("avgPrice", F.col("id") * 0.5)
+    r1, r2 = ev.band_reports(df, "label", "predict_qty", value_cols=("avgPrice",))
+    a = {r["band_id"]: r for r in ev.range_report(df, "label", "predict_qty").collect()}
+    for r in r1.collect():
+        o = a[r["band_id"]]
+        assert (r["count"], r["n_scored"], r["all"]) == (o["count"], o["n_scored"], o["all"])
+        for m in ("mae", "rmse", "mse", "r2"):
+            assert (r[m] is None) == (o[m] is None) and (r[m] is None or r[m] == pytest.approx(o[m], rel=1e-9))
+    b = {(r["band_id"], r["prediction_type"]): r for r in ev.over_under_report(df, "label", "predict_qty", ("avgPrice",)).collect()}
+    got = {(r["band_id"], r["prediction_type"]): r for r in r2.collect()}
+    assert got.keys() == b.keys()
+    for k, r in got.items():
+        assert r["count_of_each_part"] == b[k]["count_of_each_part"]
+        assert r["avg(avgPrice)"] == pytest.approx(b[k]["avg(avgPrice)"], rel=1e-9)
+
+
+def test_constant_label_r2_is_null_under_any_partitioning(spark):
+    df = spark.createDataFrame([(2.0, 2.0 + i * 0.01) for i in range(500)], "label double, predict_qty double")
+    for parts in (1, 7, 64):
+        rep = {r["band_id"]: r for r in ev.range_report(df.repartition(parts), "label", "predict_qty").collect()}
+        assert rep[3]["r2"] is None and rep[3]["count"] == 500
+        r1, _ = ev.band_reports(df.repartition(parts), "label", "predict_qty", value_cols=())
+        assert {r["band_id"]: r for r in r1.collect()}[3]["r2"] is None
