@@ -26,8 +26,11 @@ _HEX_DIGITS = 8
 def threshold_hex(frac: float) -> str:
     """Fixed-width lowercase hex bound: hash prefix < bound <=> uniform draw < frac."""
     frac = min(max(float(frac), 0.0), 1.0)
+    if frac >= 1.0:
+        return "g" * _HEX_DIGITS  # above every hex string: all rows
     top = 16**_HEX_DIGITS
-    return format(min(int(round(frac * top)), top), f"0{_HEX_DIGITS}x") if frac < 1.0 else "g" * _HEX_DIGITS
+    # a fraction just below 1 must not round up to a 9-digit bound
+    return format(min(int(round(frac * top)), top - 1), f"0{_HEX_DIGITS}x")
 
 
 def key_hash(keys: Sequence[str], seed: int) -> Column:
