@@ -90,3 +90,17 @@ def test_year_filter_prunes_partitions(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
     assert df.count() == registry.q_weather_latest(spark, SMALL).count()
+
+
+def test_shuffle_path_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(we, "SMALL_DIM_ROWS", 1)  # every candidate table is "too big" to broadcast
+    rnd = random.Random(5)
+    stores = [(i, rnd.uniform(5, 20), rnd.uniform(97, 105)) for i in range(40)]
+    stations = [(f"s{j:03d}", rnd.uniform(5, 20), rnd.uniform(97, 105)) for j in range(30)]
+    sdf = spark.createDataFrame(stores, "BranchCode int, lat double, lng double")
+    cdf = spark.createDataFrame(stations, "name string, lat double, lon double")
+    out = we.nearest_station(sdf, cdf, k=2)
+    got = {}
+    for r in out.orderBy("BranchCode", "rank").collect():
+        got.setdefault(r["BranchCode"], []).append(r["name"])
+    assert got == _brute(stores, stations, 2)
