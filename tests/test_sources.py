@@ -28,3 +28,25 @@ def test_report_csv_is_one_headed_file(spark):
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from bandwise.operators import enrich as en
+
+    sales = fx.sales(spark, SMALL)
+    ps = en.price_sensitivity_dim(fx.price_sensitivity(spark, SMALL)).withColumnsRenamed(
+        {"BC2": "BranchCode", "MC2": "MaterialCode"}
+    )
+    keys = ["BranchCode", "MaterialCode"]
+    s_b = files.write_bucketed(sales, "t_sales_b", keys, 8, fresh_path(spark, "sales_b"))
+    p_b = files.write_bucketed(ps, "t_ps_b", keys, 8, fresh_path(spark, "ps_b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = s_b.join(p_b, keys, "left")
+        n = joined.count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert n == sales.count()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
