@@ -50,3 +50,23 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert n == sales.count()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_feature_operators_keep_bucketing(spark):
+    from bandwise.functions.calendar import encode_calendar
+    from bandwise.operators import enrich as en
+
+    keys = ["BranchCode", "MaterialCode"]
+    s_b = files.write_bucketed(fx.sales(spark, SMALL), "t_sales_b2", keys, 8, fresh_path(spark, "sales_b2"))
+    raw = fx.price_sensitivity(spark, SMALL).withColumnsRenamed({"Branch": "BranchCode"})
+    p_b = files.write_bucketed(raw, "t_ps_b2", keys, 8, fresh_path(spark, "ps_b2")).withColumnsRenamed(
+        {"BranchCode": "Branch"}
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = en.join_price_sensitivity(encode_calendar(s_b), en.price_sensitivity_dim(p_b))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
