@@ -95,7 +95,8 @@ def range_metrics(
         F.coalesce(F.col("n_scored"), F.lit(0)).alias("n_scored"),
     )
     if with_total:
-        # `all` counts every row, band 0 (outside every band) included
+        # `all` counts every row, band 0 (outside every band) included; the un-partitioned window
+        # sees one row per band (len(bands) + 1 rows), never data rows
         out = out.withColumn("all", F.sum("count").over(Window.partitionBy())).filter(F.col("band_id") > 0)
     return out
 
@@ -183,6 +184,7 @@ def band_reports(
         .checkpoint()  # tiny; both reports read it
     )
     spark = scored.sparkSession
+    # windows below run over the checkpointed rollup (at most 3 x (bands + 1) rows), never data rows
     total = F.max(F.when(F.col("_level") == 3, F.col("n"))).over(Window.partitionBy())
     per_band = agg.withColumn("all", total).filter((F.col("_level") == 1) & (F.col("band_id") > 0))
     table = bands_frame(spark, bands).select("band_id", "Range", "lower", "upper")
