@@ -20,6 +20,10 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(registry.REGISTRY)
     spark = local_session(8)
+    if os.environ.get("ANSI") is not None:  # check both cast semantics
+        spark.conf.set("spark.sql.ansi.enabled", "true" if os.environ["ANSI"] == "1" else "false")
+    if os.environ.get("SESSION_TZ"):  # results must not depend on the session time zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duck(sf_dir)
     bad = 0
     for name in names:
