@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from bandwise.functions.calendar import cast_to
 from bandwise.functions.scoring import planar_distance
-from bandwise.session import sized_broadcast
 
 SMALL_DIM_ROWS = 500_000
 
@@ -49,10 +48,13 @@ def weather_latest(
         want = F.year(F.current_date()) if year == "today" else F.lit(year)
         # a stored `year` partition column turns this into a partition filter
         w = w.filter((F.col("year") if "year" in w.columns else F.year("date")) == want)
+    # one size check of the station table covers both of its join sides
+    small = stations.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS
+    hint = F.broadcast if small else (lambda d: d)
     local = stations.filter(F.col("country") == country).select(F.col("usaf").alias("_usaf")).distinct()
-    w = w.join(sized_broadcast(local, SMALL_DIM_ROWS), w["stn"] == F.col("_usaf"), "left_semi")
+    w = w.join(hint(local), w["stn"] == F.col("_usaf"), "left_semi")
     meta = stations.select(F.col("usaf").alias("_st_usaf"), "name", "lat", "lon")
-    w = w.join(sized_broadcast(meta, SMALL_DIM_ROWS), w["stn"] == F.col("_st_usaf"), "left").drop("_st_usaf")
+    w = w.join(hint(meta), w["stn"] == F.col("_st_usaf"), "left").drop("_st_usaf")
     # correlated MAX(date) per name, decorrelated: partial aggregate + semi join
     latest = w.filter(F.col("name").isNotNull()).groupBy(F.col("name").alias("_ln")).agg(F.max("date").alias("_ld"))
     return w.join(latest, (w["name"] == F.col("_ln")) & (w["date"] == F.col("_ld")), "left_semi")
