@@ -24,17 +24,46 @@ def shipped(module: str, function: str, **params):
     It is pickled by value and imports the module when it runs, so workers
     need the package on their path or at the driver's place, nothing else.
     """
-    root = _ROOT
+    call = _late(module, function, params)
 
     def run(batches):
+        yield from call(batches)
+
+    return run
+
+
+def shipped_group(module: str, function: str, **params):
+    """The same for ``applyInArrow`` on groups: ``module.function(table, **params)``."""
+    call = _late(module, function, params)
+
+    def run(t):
+        return call(t)
+
+    return run
+
+
+def shipped_cogroup(module: str, function: str, **params):
+    """The same for ``applyInArrow`` on cogroups: ``module.function(left, right, **params)``."""
+    call = _late(module, function, params)
+
+    def run(left, right):
+        return call(left, right)
+
+    return run
+
+
+def _late(module: str, function: str, params: dict):
+    root = _ROOT
+
+    def call(*args):
         try:
             m = importlib.import_module(module)
         except ModuleNotFoundError:
             sys.path.insert(0, root)
             m = importlib.import_module(module)
-        yield from getattr(m, function)(batches, **params)
+        return getattr(m, function)(*args, **params)
 
-    return run
+    return call
 
 
 def keep(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

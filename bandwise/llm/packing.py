@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.llm import textblocks as tb
-from bandwise.llm.common import id_text, keep, shipped
+from bandwise.llm.common import id_text, keep, shipped, shipped_group
 from bandwise.llm.tokens import tokenizer
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -125,15 +125,9 @@ def pack_part(t: pa.Table, capacity: int, round_no: int, last: bool) -> pa.Table
 
 
 def _round(df: DataFrame, parts: int, capacity: int, round_no: int, last: bool) -> DataFrame:
-    from pyspark.sql import types as T
-
-    schema = T._parse_datatype_string(PACKED)
-
-    def pack(t: pa.Table) -> pa.Table:
-        return pack_part(t, capacity, round_no, last)
-
+    pack = shipped_group(__name__, "pack_part", capacity=capacity, round_no=round_no, last=last)
     dealt = df.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", F.lit(round_no)), F.lit(parts)))
-    return dealt.groupBy("part").applyInArrow(pack, schema)
+    return dealt.groupBy("part").applyInArrow(pack, PACKED)
 
 
 def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_path: str | None = None, part_rows: int = 40_000, rounds: int = 3) -> DataFrame:
