@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import decontaminate, langid, ngram_join, packing
+from bandwise.llm import decontaminate, langid, ngram_join, packing, secrets
 from bandwise.llm.common import table
 
 
@@ -30,6 +30,21 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: fixed patterns and strings that pass as random."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents")).select("row.doc_id", "spans")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in secrets.KINDS]
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
