@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import decontaminate, langid, ngram_join, packing, secrets
+from bandwise.llm import decontaminate, langid, ngram_join, packing, secrets, suffix_trees
 from bandwise.llm.common import table
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 20-word windows that also start earlier."""
+    found = suffix_trees.dedup(table(spark, sf_dir, "documents"), length=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a 10-word window of a benchmark item."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

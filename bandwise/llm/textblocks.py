@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 
 BLOCK_BYTES = 4 << 20  # texts of one block; a longer text is a block of its own
 _U = np.uint64
@@ -131,6 +132,17 @@ def blocks(batches: Iterator[pa.RecordBatch], id_col: str = "doc_id", text_col:
         yield flush()
 
 
+def sliced(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Block]]:
+    """Slices of the batches with at most about ``limit`` bytes of text, each with its block."""
+    for batch in batches:
+        size = np.nan_to_num(pa.compute.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(float))
+        part = (np.cumsum(size) // limit).astype(np.int64)
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]]) if batch.num_rows else [0]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            piece = batch.slice(a, b - a)
+            yield piece, next(blocks(iter([piece]), limit=1 << 62))
+
+
 @dataclass
 class Words:
     start: np.ndarray  # byte offset of each word
