@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import decontaminate, langid, ngram_join, packing, secrets, suffix_trees
+from bandwise.llm import decontaminate, langid, ngram_join, packing, secrets, suffix_merge, suffix_trees
 from bandwise.llm.common import table
 
 
@@ -56,6 +56,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 400-byte strings that occur elsewhere too."""
+    found = suffix_merge.dedup(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard likeness of 0.8 or more."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=5)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from bandwise.llm import textblocks as tb
 from bandwise.llm.common import keep, parts, shipped
 
-BLOCK_HOT = 8  # contexts of one gram in one block that make it hot
+BLOCK_HOT = {"word": 8, "byte": 64}  # contexts of one gram in one block that make it hot
 GRAM_ROWS = 2048  # anchors of one gram that make it hot over all blocks
 DONE, HOT, MANY, MARK = 1, 2, 4, 8  # flags: result passed through; hot gram; context occurs twice; only says that the gram is hot
 NAMES = ["route", "gram", "context", "doc_id", "at", "lo", "hi", "flag"]
@@ -72,7 +72,7 @@ def anchor_batches(batches, unit: str, length: int, gram: int, keep_first: bool)
         done = other if keep_first else many[ctx]
         gram_no = np.cumsum(new_gram) - 1
         contexts = np.bincount(gram_no[head])
-        hot = contexts >= BLOCK_HOT
+        hot = contexts >= BLOCK_HOT[unit]
         rep_hot = hot[gram_no[head]]
         # representatives, settled rows, and one mark for each hot gram
         flag = np.where(rep_hot, HOT, 0) | np.where(many, MANY, 0)

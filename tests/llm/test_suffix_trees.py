@@ -59,7 +59,7 @@ def test_sample(make_docs, sample):
 @pytest.mark.parametrize("seed,length,gram,hot,rows,suffixes,block", [(1, 20, 5, 8, 2048, 100_000, 4 << 20), (2, 6, 2, 2, 3, 20, 600), (3, 8, 3, 3, 5, 40, 300)])
 def test_corpus(make_docs, monkeypatch, seed, length, gram, hot, rows, suffixes, block):
     """Also with tiny blocks and bounds, run in this process so that they take effect."""
-    monkeypatch.setattr(repeats, "BLOCK_HOT", hot)
+    monkeypatch.setitem(repeats.BLOCK_HOT, "word", hot)
     monkeypatch.setattr(repeats, "GRAM_ROWS", rows)
     monkeypatch.setattr(suffix_trees, "SUBTREE_SUFFIXES", suffixes)
     docs = corpus(seed)
