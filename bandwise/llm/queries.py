@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import decontaminate, langid, ngram_join, packing, secrets, suffix_merge, suffix_trees
+from bandwise.llm import chat, decontaminate, fingerprints, langid, ngram_join, packing, secrets, suffix_merge, suffix_trees
 from bandwise.llm.common import table
 
 
@@ -56,12 +56,28 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like control strings, formatted and read back."""
+    said = "\\### Assistant: </turn> ok"
+    trap = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(rows.unionByName(trap)))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of 400-byte strings that occur elsewhere too."""
     found = suffix_merge.dedup(table(spark, sf_dir, "documents"), length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    found = fingerprints.with_edits(table(spark, sf_dir, "documents"), n=5, fraction=0.25)
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard likeness of 0.8 or more."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=5)
