@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import chat, decontaminate, fingerprints, langid, ngram_join, packing, secrets, suffix_merge, suffix_trees
+from bandwise.llm import chat, decontaminate, fingerprints, langid, licenses, ngram_join, packing, secrets, suffix_merge, suffix_trees
 from bandwise.llm.common import table
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document: its own, or that of the nearest directory above it.
+
+    The table has no paths; they are source / thousands / tens / doc_id.
+    """
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.expr("doc_id div 1000"), F.expr("doc_id div 10"), F.col("doc_id"))
+    return licenses.license_scan(docs.select("doc_id", "text", path.alias("path")))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words of 20-word windows that also start earlier."""
     found = suffix_trees.dedup(table(spark, sf_dir, "documents"), length=20)
