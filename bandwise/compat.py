@@ -26,6 +26,7 @@ from bandwise.operators import evaluate as ev
 from bandwise.operators import models as mo
 from bandwise.operators import sampling as sa
 from bandwise.operators import weather as we
+from bandwise.session import checkpointed
 from bandwise.sources import files
 
 # --- sampling ---------------------------------------------------------------
@@ -262,7 +263,7 @@ def to_Clear_BinaryModel(df: DataFrame, m1: Transformer, m2: Transformer) -> Dat
 def _over_under_band(df, label: str, lower, upper, l: list, exact=None) -> None:
     band = [(lower, upper)] if exact is None else [(exact, exact)]
     rep = ev.over_under_report(df, label, "predict_qty", bands=band)
-    rep = rep.withColumn("Range", F.lit(f"{lower}-{upper}"))
+    rep = checkpointed(rep.withColumn("Range", F.lit(f"{lower}-{upper}")))  # at most two rows, read twice
     for kind in (sc.LOWER, sc.UPPER):
         l.append(rep.filter(F.col("prediction_type") == kind).drop("band_id"))
 

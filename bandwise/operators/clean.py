@@ -31,7 +31,7 @@ _BINARY_INTS = ["Year", "welfareFlag", "welfareFlagDay", "ZipCode"]
 _DOW_INTS = ["DoW_Num", "Total_Bill_Dow", "Total_SumQTY_Dow", "NumWeekSale", "HighQualityFlag"]
 _DOW_DOUBLES = ["AVG_SumQTY_Dow", "MED_SumQTY_Dow", "SD_SumQTY_Dow"]
 
-# Cast profiles: which column gets which type (one per original clean* variant).
+# Which column gets which type (one profile per original clean* variant).
 CAST_PROFILES: dict[str, dict[str, str]] = {
     # clean: the full feature table
     "full": _profile(
@@ -73,8 +73,18 @@ CAST_PROFILES: dict[str, dict[str, str]] = {
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop rows with a NULL (or NaN) in any column."""
-    return df.na.drop(how="any")
+    """Drop rows with a NULL (or NaN) in any column.
+
+    Spelled out per column, so that the optimizer sees which columns cannot be
+    NULL: outer joins below become inner ones and filters reach the scans.
+    """
+    ok = F.lit(True)
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        ok = ok & c.isNotNull()
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            ok = ok & ~F.isnan(c)
+    return df.filter(ok)
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:
@@ -83,9 +93,13 @@ def drop_all_null(df: DataFrame) -> DataFrame:
 
 
 def cast_columns(df: DataFrame, profile: dict[str, str]) -> DataFrame:
-    """Lenient casts for the profile's columns that exist in ``df``."""
-    casts = {c: cast_to(df, c, t) for c, t in profile.items() if c in df.columns}
-    return df.withColumns(casts) if casts else df
+    """Lenient casts of the profile's columns; a column that ``df`` lacks is an error (names match as Spark's do)."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    have = {c if sensitive else c.lower(): c for c in df.columns}
+    found = {c: have.get(c if sensitive else c.lower()) for c in profile}
+    if missing := [c for c, own in found.items() if own is None]:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
+    return df.withColumns({own: cast_to(df, own, profile[c]) for c, own in found.items()})
 
 
 def clean(df: DataFrame, profile: str | dict[str, str] = "full") -> DataFrame:

@@ -1,69 +1,79 @@
-"""Categorical encoders (MLlib StringIndexer / OneHotEncoder).
+"""Categorical encoders: label index tables and one-hot vectors.
 
-Fitting a StringIndexer is one distributed count per distinct label; the
-label table (not the rows) goes to the driver. Index order is frequency
-descending, ties alphabetical.
+The label index (frequency descending, ties alphabetical, as StringIndexer
+orders labels) is a distributed table: one count per label, range-sorted, numbered
+with per-partition offsets, and joined to the rows. No label domain goes to
+the driver, so a domain that grows with the data is fine. Vectors are sparse.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bandwise.session import checkpointed
 
-def one_hot_model(df: DataFrame, input_col: str, prefix: str | None = None, handle_invalid: str = "error") -> PipelineModel:
-    """Fit ``<prefix>_idx`` (StringIndexer) and ``<prefix>_vec`` (OneHotEncoder, dropLast=False)."""
-    prefix = prefix or input_col
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol=input_col, outputCol=f"{prefix}_idx", handleInvalid=handle_invalid),
-            OneHotEncoder(inputCol=f"{prefix}_idx", outputCol=f"{prefix}_vec", dropLast=False),
-        ]
-    ).fit(df)
+_IN_PARTITION = (1 << 33) - 1  # monotonically_increasing_id: partition number above, row number in the lower 33 bits
 
 
-def one_hot(df: DataFrame, input_col: str, prefix: str | None = None, handle_invalid: str = "error") -> DataFrame:
-    """Add ``<prefix>_idx`` and a one-hot ``<prefix>_vec`` for ``input_col``."""
-    return one_hot_model(df, input_col, prefix, handle_invalid).transform(df)
+def label_index(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """((label, idx): every label of ``column`` as text, numbered from 0.0; how many labels there are)."""
+    counts = df.select(F.col(column).cast("string").alias("label")).where("label IS NOT NULL").groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
+    place = F.monotonically_increasing_id()
+    ranged = checkpointed(counts.orderBy(F.desc("_n"), "label").select("label", F.shiftright(place, 33).alias("_p"), place.bitwiseAND(F.lit(_IN_PARTITION)).alias("_i")))
+    sizes = {r["_p"]: r["n"] for r in ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per partition
+    offsets, total = [], 0
+    for p in sorted(sizes):
+        offsets += [F.lit(p), F.lit(total)]
+        total += sizes[p]
+    before = F.element_at(F.create_map(*offsets), F.col("_p")) if offsets else F.lit(0)
+    return ranged.select("label", (F.col("_i") + before).cast("double").alias("idx")), total
 
 
 def string_index(df: DataFrame, input_col: str = "Tier", output_col: str = "tier_vec", handle_invalid: str = "error") -> DataFrame:
-    """Scalar label index of ``input_col``."""
-    return StringIndexer(inputCol=input_col, outputCol=output_col, handleInvalid=handle_invalid).fit(df).transform(df)
+    """Scalar label index of ``input_col``. NULL is an error, dropped (``skip``) or the last index (``keep``)."""
+    if handle_invalid not in ("error", "skip", "keep"):
+        raise ValueError(f"handle_invalid: {handle_invalid}")
+    table, n_labels = label_index(df, input_col)
+    labels = table.select(F.col("label").alias("_label"), F.col("idx").alias("_idx"))
+    joined = df.join(labels, df[input_col].cast("string") == F.col("_label"), "inner" if handle_invalid == "skip" else "left")
+    idx = F.col("_idx")
+    if handle_invalid == "keep":
+        idx = F.coalesce(idx, F.lit(float(n_labels)))
+    elif handle_invalid == "error":
+        idx = F.when(df[input_col].isNull(), F.raise_error(F.lit(f"NULL label in {input_col}"))).otherwise(idx)
+    return joined.select(*[df[c] for c in df.columns], idx.cast("double").alias(output_col))
 
 
 def string_index_multi(df: DataFrame, columns: Sequence[str], suffix: str = "_NUMERIC", handle_invalid: str = "error") -> DataFrame:
-    """``<c>_NUMERIC`` for every column, fitted in one StringIndexer pass."""
-    cols = list(columns)
-    return (
-        StringIndexer(inputCols=cols, outputCols=[c + suffix for c in cols], handleInvalid=handle_invalid)
-        .fit(df)
-        .transform(df)
-    )
+    """``<c>_NUMERIC`` for every column."""
+    for c in columns:
+        df = string_index(df, c, c + suffix, handle_invalid)
+    return df
+
+
+def one_hot(df: DataFrame, input_col: str, prefix: str | None = None, handle_invalid: str = "error") -> DataFrame:
+    """Add ``<prefix>_idx`` and a sparse one-hot ``<prefix>_vec`` for ``input_col``."""
+    return one_hot_many(df, [input_col], handle_invalid, {input_col: prefix or input_col})
+
+
+def one_hot_many(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error", prefixes: dict[str, str] | None = None) -> DataFrame:
+    """``<c>_idx`` and ``<c>_vec`` for several columns; one encoder fit for all of them."""
+    names = {c: (prefixes or {}).get(c, c) for c in columns}
+    for c, p in names.items():
+        df = string_index(df, c, f"{p}_idx", handle_invalid)
+    encoder = OneHotEncoder(inputCols=[f"{p}_idx" for p in names.values()], outputCols=[f"{p}_vec" for p in names.values()], dropLast=False)
+    return encoder.fit(df).transform(df)
 
 
 def one_hot_size(vec: Column) -> Column:
-    return F.size(vector_to_array(vec))
+    """Length of a sparse vector, read from its fields (no dense copy)."""
+    return F.unwrap_udt(vec)["size"]
 
 
 def one_hot_active(vec: Column) -> Column:
     """Index of the set position of a one-hot vector (-1 if none)."""
-    return (F.array_position(vector_to_array(vec), F.lit(1.0)) - 1).cast("int")
-
-
-def one_hot_many(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error") -> DataFrame:
-    """``<c>_idx`` and ``<c>_vec`` for several columns: one indexer fit (one pass) for all of them."""
-    cols = list(columns)
-    idx = [f"{c}_idx" for c in cols]
-    model = Pipeline(
-        stages=[
-            StringIndexer(inputCols=cols, outputCols=idx, handleInvalid=handle_invalid),
-            OneHotEncoder(inputCols=idx, outputCols=[f"{c}_vec" for c in cols], dropLast=False),
-        ]
-    ).fit(df)
-    return model.transform(df)
+    return F.coalesce(F.get(F.unwrap_udt(vec)["indices"], F.lit(0)), F.lit(-1)).cast("int")

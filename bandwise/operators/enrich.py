@@ -2,9 +2,8 @@
 
 Joins take ``how`` (default ``left``; the original module's earlier INNER versions
 are ``how="inner"``). Fact-sized dimensions (price sensitivity, tier) are
-joined without a hint: the planner and AQE choose broadcast or sort-merge from
-actual sizes, and AQE splits skewed keys. Small dimensions go through
-``sized_broadcast``, which checks the row count before hinting.
+joined without a hint, small ones too: the planner and AQE choose broadcast or
+sort-merge from actual bytes, and AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -13,10 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.functions.calendar import as_date, cast_to, normalise_codes
-from bandwise.session import sized_broadcast
-
-# Small-dimension bound for a broadcast (rows); beyond it the join shuffles.
-SMALL_DIM_ROWS = 500_000
 
 
 def price_sensitivity_dim(ps: DataFrame) -> DataFrame:
@@ -47,17 +42,28 @@ def tier_dim(tier: DataFrame) -> DataFrame:
 
 
 _SALT = "_salt"
+MOST_HOT_KEYS = 1000  # keys that can be salted at once (the most frequent ones); bounds a broadcast
+
 
+def hot_keys(fact: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The keys that hold more than ``share`` of all rows, NULL keys aside; at most MOST_HOT_KEYS of them."""
+    known = fact.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > fact.count() * share)
+    return hot.orderBy(F.desc("_n"), *keys).limit(MOST_HOT_KEYS).select(*keys)
 
-def salted_join(fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], how: str, salt: int) -> DataFrame:
+
+def salted_join(
+    fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], how: str, salt: int, hot_share: float = 0.005
+) -> DataFrame:
     """Equi-join ``fact`` to ``dim`` on ``pairs`` (fact column, dim column).
 
-    With ``salt > 1`` a hot key is spread over ``salt`` partitions: each fact
-    row gets a salt from a hash of the whole row (deterministic, so a retried
-    task sends rows to the same place), and every dimension row is copied once
-    per salt value. Use it when one key holds a large share of the fact rows
-    and AQE cannot split the join (e.g. the dimension side is computed under
-    the join); the dimension side grows ``salt``-fold.
+    With ``salt > 1`` (inner and left joins only) the rows of hot keys are spread over ``salt``
+    partitions by a hash of the whole row (deterministic, so a retried task sends rows to the same place),
+    and only those keys' dimension rows are copied, once for each salt value. A key is hot if it holds more than
+    ``hot_share`` of the rows, which one aggregate measures. Rows with a NULL key match nothing: they are
+    spread alike, without copies. Use it when one key holds a large share of the fact rows
+    and AQE cannot split the join (e.g. the dimension side is computed under the join).
     """
     if salt <= 1:
         cond = None
@@ -65,8 +71,26 @@ def salted_join(fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], h
             c = fact[a] == dim[b]
             cond = c if cond is None else cond & c
         return fact.join(dim, cond, how)
-    f = fact.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt)))
-    d = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+    if how not in ("inner", "left", "left_outer", "leftouter"):
+        raise ValueError(f"a salted join is inner or left, not {how}")
+    keys = [a for a, _ in pairs]
+    hot = hot_keys(fact, keys, hot_share)
+    names = {a: f"_hot{i}" for i, a in enumerate(keys)}
+    marks = F.broadcast(hot.select(*[F.col(a).alias(n) for a, n in names.items()]).withColumn("_is_hot", F.lit(True)))
+
+    def marked(df: DataFrame, columns: list[str]) -> DataFrame:
+        cond = F.lit(True)
+        for c, a in zip(columns, keys, strict=True):
+            cond = cond & (df[c] == F.col(names[a]))
+        return df.join(marks, cond, "left").drop(*names.values())
+
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt))
+    no_key = F.lit(False)
+    for a in keys:
+        no_key = no_key | F.col(a).isNull()
+    f = marked(fact, keys).withColumn(_SALT, F.when(no_key | F.col("_is_hot"), spread).otherwise(F.lit(0).cast("long"))).drop("_is_hot")
+    copies = F.sequence(F.lit(0).cast("long"), F.when(F.col("_is_hot"), F.lit(salt - 1)).otherwise(F.lit(0)).cast("long"))
+    d = marked(dim, [b for _, b in pairs]).withColumn(_SALT, F.explode(copies)).drop("_is_hot")
     cond = f[_SALT] == d[_SALT]
     for a, b in pairs:
         cond = cond & (f[a] == d[b])
@@ -92,11 +116,11 @@ def welfare_branch_flag(df: DataFrame, welfare: DataFrame, branch_col: str = "Br
     """welfareFlag = '1' when the branch is in ``welfare.branchcode``, else '0' (NULL branch -> '0').
 
     The original module collects the branch list to the driver and inlines it; here
-    the distinct codes are a (size-checked) broadcast join side.
+    the distinct codes are a join side.
     """
     keys = welfare.select(cast_to(welfare, "branchcode", "int").alias("_wf_branch")).distinct()
     keys = keys.withColumn("_wf_hit", F.lit(True))
-    out = df.join(sized_broadcast(keys, SMALL_DIM_ROWS), df[branch_col] == F.col("_wf_branch"), "left")
+    out = df.join(keys, df[branch_col] == F.col("_wf_branch"), "left")
     return out.withColumn("welfareFlag", F.when(F.col("_wf_hit"), F.lit("1")).otherwise(F.lit("0"))).drop(
         "_wf_branch", "_wf_hit"
     )
@@ -108,4 +132,4 @@ def join_weather(df: DataFrame, weather: DataFrame, how: str = "left") -> DataFr
         weather = weather.withColumnRenamed("Branchcode", "BranchCode")
     if "Branchcode" in df.columns and "BranchCode" not in df.columns:
         df = df.withColumnRenamed("Branchcode", "BranchCode")
-    return df.join(sized_broadcast(weather, SMALL_DIM_ROWS), "BranchCode", how)
+    return df.join(weather, "BranchCode", how)

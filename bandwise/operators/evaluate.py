@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.functions.scoring import SALES_BANDS, band_of, bands_frame, classify_error
+from bandwise.session import checkpointed
 
 _L, _P = "_label", "_pred"
 
@@ -174,14 +175,12 @@ def band_reports(
         F.col(pred).cast("double").alias(_P),
         *averaged,
     )
-    agg = (
-        base.rollup("band_id", "prediction_type")
-        .agg(
+    agg = checkpointed(  # tiny; both reports read it
+        base.rollup("band_id", "prediction_type").agg(
             F.grouping_id().alias("_level"),
             *_metric_parts(),
             *[F.avg(c).alias(f"avg({c})") for c in averaged],
         )
-        .checkpoint()  # tiny; both reports read it
     )
     spark = scored.sparkSession
     # windows below run over the checkpointed rollup (at most 3 x (bands + 1) rows), never data rows

@@ -17,6 +17,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandwise.session import checkpointed
+
 
 def two_stage_score(
     df: DataFrame,
@@ -58,8 +60,13 @@ def train_two_stage(
     seed: int = 42,
     classifier_params: dict | None = None,
     regressor_params: dict | None = None,
+    handle_invalid: str = "keep",
 ) -> tuple[PipelineModel, PipelineModel]:
-    """Fit the classifier on ``label > 0`` (all rows) and the regressor on ``label`` (rows that sold)."""
+    """Fit the classifier on ``label > 0`` (all rows) and the regressor on ``label`` (rows that sold).
+
+    Label and features are written once to the shared folder: both fits scan that table many times.
+    ``handle_invalid`` says what NULL features do: ``keep`` (NaN), ``skip`` (drop the row) or ``error``.
+    """
     sells = "_sells"
     clf = _CLASSIFIERS[classifier](
         featuresCol="features_lv1", labelCol=sells, predictionCol=lv1, seed=seed, **(classifier_params or {})
@@ -67,12 +74,12 @@ def train_two_stage(
     reg = _REGRESSORS[regressor](
         featuresCol="features_lv2", labelCol=label, predictionCol=lv2, seed=seed, **(regressor_params or {})
     )
-    base = train.withColumn(sells, (F.col(label) > 0).cast("double")).withColumn(label, F.col(label).cast("double"))
+    base = checkpointed(train.select(*features, F.col(label).cast("double").alias(label), (F.col(label) > 0).cast("double").alias(sells)))
     m1 = Pipeline(
-        stages=[VectorAssembler(inputCols=list(features), outputCol="features_lv1", handleInvalid="keep"), clf]
+        stages=[VectorAssembler(inputCols=list(features), outputCol="features_lv1", handleInvalid=handle_invalid), clf]
     ).fit(base)
     m2 = Pipeline(
-        stages=[VectorAssembler(inputCols=list(features), outputCol="features_lv2", handleInvalid="keep"), reg]
+        stages=[VectorAssembler(inputCols=list(features), outputCol="features_lv2", handleInvalid=handle_invalid), reg]
     ).fit(base.filter(F.col(label) > 0))
     return m1, m2
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _HEX_DIGITS = 8
@@ -54,22 +54,15 @@ def stratified_split(
     label: str,
     join_on: Sequence[str] | str,
     seed: int = 42,
-    method: str = "hash",
+    exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(sample, rest). ``frac`` is one fraction or a {label value: fraction} map.
 
-    ``method="sampleBy"`` is the original module's literal form (Bernoulli per
-    label via ``df.stat.sampleBy`` + left-anti join for the rest).
+    ``exact=True`` takes exactly ceil(frac * n) rows of every label instead of deciding each key by itself.
     """
     keys = [join_on] if isinstance(join_on, str) else list(join_on)
-    if method == "sampleBy":
-        if isinstance(frac, Mapping):
-            fractions = dict(frac)
-        else:
-            labels = [r[0] for r in df.select(label).distinct().collect()]  # label domain, not rows
-            fractions = {v: float(frac) for v in labels}
-        sample = df.stat.sampleBy(label, fractions, seed)
-        return sample, df.join(sample.select(*keys), keys, "left_anti")
+    if exact:
+        return exact_split(df, frac, label, keys, seed)
     chosen = key_hash(keys, seed) < _bound(frac, label)
     sample = df.filter(chosen)
     if isinstance(frac, Mapping):
@@ -81,6 +74,42 @@ def stratified_split(
     return sample, df.filter(~chosen | any_null_key)
 
 
+_BUCKET_DIGITS = 3  # 4096 hash buckets for each label
+
+
+def exact_split(df: DataFrame, frac: float | Mapping, label: str, keys: Sequence[str], seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(sample, rest) with exactly ceil(frac * n) rows of every label, those with the smallest key hashes.
+
+    Rows are counted by label and hash bucket (a third of all rows on one label is 4096 small counts). Buckets
+    below a label's cut are taken whole; only the rows of its one boundary bucket are ranked.
+    """
+    names = list(df.columns)
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    rows = df.withColumn("_h", digest).withColumn("_b", F.substring("_h", 1, _BUCKET_DIGITS))
+    share = _share(frac, label)
+    running = Window.partitionBy("_label").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    counts = rows.groupBy(F.col(label).alias("_label"), F.col("_b").alias("_cut")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumnRenamed("_cut", "_b").withColumn("_upto", F.sum("_n").over(running))
+    counts = counts.withColumn("_want", F.ceil(F.sum("_n").over(Window.partitionBy("_label")) * share).cast("long"))
+    edge = counts.where("_want > 0 AND _upto >= _want AND _upto - _n < _want")
+    cuts = edge.select("_label", F.col("_b").alias("_cut"), (F.col("_want") - (F.col("_upto") - F.col("_n"))).alias("_take"))
+    cut = rows.join(cuts, rows[label].eqNullSafe(F.col("_label")), "left").drop("_label")
+    order = Window.partitionBy(label).orderBy("_h", *keys, F.xxhash64(*names))
+    inside = cut.where("_b = _cut").withColumn("_place", F.row_number().over(order))
+    sample = cut.where("_b < _cut").select(*names).unionByName(inside.where("_place <= _take").select(*names))
+    rest = cut.where("_cut IS NULL OR _b > _cut").select(*names).unionByName(inside.where("_place > _take").select(*names))
+    return sample, rest
+
+
+def _share(frac: float | Mapping, label: str) -> Column:
+    if not isinstance(frac, Mapping):
+        return F.lit(float(frac))
+    expr = F.when(F.lit(False), F.lit(0.0))
+    for value, f in frac.items():
+        expr = expr.when(F.col("_label") == F.lit(value), F.lit(float(f)))
+    return expr.otherwise(F.lit(0.0))
+
+
 def distinct_labels(df: DataFrame, label: str, frac: float) -> DataFrame:
     """The label domain with its sampling fraction (what the original module builds its map from)."""
     return df.select(label).distinct().withColumn("fraction", F.lit(float(frac)))

@@ -2,34 +2,31 @@
 
 The original module crosses every store with every station (a dummy-key merge in
 pandas), ranks by distance, and keeps all pairs. Here the nearest-station
-search is an exact grid search built from equi-joins: stations are bucketed
-into square cells, each store probes its own and the 8 neighbouring cells,
-and a store is settled once its k-th nearest candidate lies within one cell
-width (every point that close is inside the probed 3x3 block). Unsettled
-stores retry with cells twice as wide. No store ever meets all stations.
+search is an exact branch-and-bound over a grid pyramid of the stations, built
+from equi-joins. Cells that hold stations are counted on every grid level. A
+store's own cells give a first bound on its k-th distance; it then meets only the few
+cells that can beat the bound, and cells with many stations are refined until
+few remain. So cells follow the occupancy: an outlier station, a dense town
+or a store far from everything costs a store no more than a few cells.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwise.functions.calendar import cast_to
 from bandwise.functions.scoring import planar_distance
+from bandwise.session import checkpointed
 
-SMALL_DIM_ROWS = 500_000
-
+LEVELS = 24  # grid levels; a cell of the finest is the extent / 2**24 wide
+STEP = 2  # levels refined in one round (up to 16 children for each cell)
+LEAF_POINTS = 16  # a cell with at most this many distinct places is not refined further
 
-def store_location(raw: DataFrame, limit: int | None = None) -> DataFrame:
-    """Store master (code, lat, lng) -> (BranchCode, lat, lng).
 
-    ``limit`` reproduces the original module's LIMIT, made deterministic by ordering
-    on BranchCode; the default keeps every store.
-    """
-    out = raw.select(cast_to(raw, "code", "int").alias("BranchCode"), "lat", "lng")
-    return out.orderBy("BranchCode").limit(limit) if limit is not None else out
+def store_location(raw: DataFrame) -> DataFrame:
+    """Store master (code, lat, lng) -> (BranchCode, lat, lng); every store is kept."""
+    return raw.select(cast_to(raw, "code", "int").alias("BranchCode"), "lat", "lng")
 
 
 def weather_latest(
@@ -39,45 +36,142 @@ def weather_latest(
 
     = weather LEFT JOIN stations ON stn = usaf, WHERE stn IN (stations of
     ``country``), keeping rows whose date equals MAX(date) of their station
-    name (ties kept, NULL names dropped). ``year`` filters the date first
-    (a partition filter when weather is partitioned by year); ``"today"`` means
-    the current year, as the original query did.
+    name (ties kept, NULL names dropped). ``year`` filters the date first, as a
+    range that reaches the scan (and as a partition filter when weather is
+    partitioned by year); ``"today"`` means the current year, as the original query did.
     """
     w = weather
     if year is not None:
-        want = F.year(F.current_date()) if year == "today" else F.lit(year)
-        # a stored `year` partition column turns this into a partition filter
-        w = w.filter((F.col("year") if "year" in w.columns else F.year("date")) == want)
-    # one size check of the station table covers both of its join sides
-    small = stations.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS
-    hint = F.broadcast if small else (lambda d: d)
+        if "year" in w.columns:
+            w = w.filter(F.col("year") == (F.year(F.current_date()) if year == "today" else F.lit(year)))
+        elif year == "today":
+            first = F.trunc(F.current_date(), "year")
+            w = w.filter((F.col("date") >= first) & (F.col("date") < F.add_months(first, 12)))
+        else:
+            w = w.filter((F.col("date") >= F.lit(f"{int(year):04d}-01-01")) & (F.col("date") < F.lit(f"{int(year) + 1:04d}-01-01")))
     local = stations.filter(F.col("country") == country).select(F.col("usaf").alias("_usaf")).distinct()
-    w = w.join(hint(local), w["stn"] == F.col("_usaf"), "left_semi")
-    meta = stations.select(F.col("usaf").alias("_st_usaf"), "name", "lat", "lon")
-    w = w.join(hint(meta), w["stn"] == F.col("_st_usaf"), "left").drop("_st_usaf")
-    # correlated MAX(date) per name, decorrelated: partial aggregate + semi join
-    latest = w.filter(F.col("name").isNotNull()).groupBy(F.col("name").alias("_ln")).agg(F.max("date").alias("_ld"))
-    return w.join(latest, (w["name"] == F.col("_ln")) & (w["date"] == F.col("_ld")), "left_semi")
-
-
-def _extent(sto: DataFrame, cands: DataFrame, cand_lat: str, cand_lng: str) -> tuple[float, float, int]:
-    """(span in degrees over stores and candidates, and whether any store exists, candidate count)."""
-    pts = sto.select(F.col("_slat").alias("a"), F.col("_slng").alias("o"), F.lit(0).alias("c")).unionByName(
-        cands.select(F.col(cand_lat).alias("a"), F.col(cand_lng).alias("o"), F.lit(1).alias("c"))
+    w = w.join(local, w["stn"] == F.col("_usaf"), "left_semi")
+    meta = stations.filter(F.col("name").isNotNull()).select(F.col("usaf").alias("_st_usaf"), "name", "lat", "lon")
+    w = w.join(meta, w["stn"] == F.col("_st_usaf")).drop("_st_usaf")
+    # one scan of the weather: the rank limit is applied before the shuffle as well
+    place = F.rank().over(Window.partitionBy("name").orderBy(F.desc("date")))
+    return w.filter(F.col("date").isNotNull()).withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
+
+
+def _finite(*columns: str) -> Column:
+    ok = F.lit(True)
+    for c in columns:
+        v = F.col(c).cast("double")
+        ok = ok & v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+    return ok
+
+
+class _Grid:
+    """Cell numbers over the candidates' extent; level 0 is one cell."""
+
+    def __init__(self, lat0: float, lat1: float, lng0: float, lng1: float):
+        self.lat0, self.lat1, self.lng0, self.lng1 = lat0, lat1, lng0, lng1
+        self.width = max(lat1 - lat0, lng1 - lng0, 1e-9) * (1 + 1e-9)
+
+    def finest(self, lat: Column, lng: Column) -> tuple[Column, Column]:
+        """The finest cell of a place (places outside the extent take the nearest cell)."""
+
+        def cell(v, low, high):
+            inside = F.least(F.greatest(v, F.lit(low)), F.lit(high)) - F.lit(low)
+            return F.least(F.floor(inside / self.width * (1 << LEVELS)), F.lit((1 << LEVELS) - 1)).cast("long")
+
+        return cell(lat, self.lat0, self.lat1), cell(lng, self.lng0, self.lng1)
+
+
+def _outer(lat: str, lng: str) -> Column:
+    """Distance from a store to the farthest corner of a cell's box of places."""
+    dy = F.greatest(F.abs(F.col(lat) - F.col("a0")), F.abs(F.col(lat) - F.col("a1")))
+    dx = F.greatest(F.abs(F.col(lng) - F.col("o0")), F.abs(F.col(lng) - F.col("o1")))
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def _inner(lat: str, lng: str) -> Column:
+    """Distance from a store to the nearest edge of a cell's box of places."""
+    dy = F.greatest(F.col("a0") - F.col(lat), F.col(lat) - F.col("a1"), F.lit(0.0))
+    dx = F.greatest(F.col("o0") - F.col(lng), F.col(lng) - F.col("o1"), F.lit(0.0))
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def _loose(bound: Column) -> Column:
+    """A bound with a margin for rounding."""
+    return bound * (1 + 1e-9) + 1e-12
+
+
+def _prune(frontier: DataFrame, k: int) -> DataFrame:
+    """Tighten each store's bound (the cells whose boxes end first hold k candidates) and drop cells beyond it."""
+    by_end = Window.partitionBy("_sk").orderBy("_end", "level", "cx", "cy").rowsBetween(Window.unboundedPreceding, 0)
+    counted = frontier.withColumn("_upto", F.sum("n").over(by_end))
+    enough = F.min(F.when(F.col("_upto") >= k, F.col("_end"))).over(Window.partitionBy("_sk"))
+    tight = counted.withColumn("_ub", F.least("_ub", F.coalesce(enough, F.col("_ub")))).drop("_upto")
+    return tight.filter(_inner("_slat", "_slng") <= _loose(F.col("_ub")))
+
+
+_CELL = ["level", "cx", "cy"]
+
+
+def _cells(points: DataFrame, grid: _Grid, cand_lat: str, cand_lng: str) -> tuple[DataFrame, DataFrame]:
+    """(every place on every level, cells with number of candidates, number of places and box)."""
+    cx, cy = grid.finest(F.col(cand_lat), F.col(cand_lng))
+    placed = points.withColumns({"_fx": cx, "_fy": cy}).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+    shift = F.pow(F.lit(2.0), F.lit(LEVELS) - F.col("level"))
+    placed = placed.withColumns({"cx": F.floor(F.col("_fx") / shift), "cy": F.floor(F.col("_fy") / shift)}).drop("_fx", "_fy")
+    cells = placed.groupBy(*_CELL).agg(
+        F.sum("_n").alias("n"),
+        F.count(F.lit(1)).alias("places"),
+        F.min(cand_lat).alias("a0"),
+        F.max(cand_lat).alias("a1"),
+        F.min(cand_lng).alias("o0"),
+        F.max(cand_lng).alias("o1"),
+    )
+    return placed, cells
+
+
+def _frontier(sto: DataFrame, cells: DataFrame, grid: _Grid, k: int, total: int) -> DataFrame:
+    """Every store with the cells that may hold one of its k nearest of ``total`` candidates, before refinement."""
+    fx, fy = grid.finest(F.col("_slat"), F.col("_slng"))
+    path = sto.withColumns({"_fx": fx, "_fy": fy}).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+    shift = F.pow(F.lit(2.0), F.lit(LEVELS) - F.col("level"))
+    path = path.withColumns({"cx": F.floor(F.col("_fx") / shift), "cy": F.floor(F.col("_fy") / shift)})
+    rich = cells.filter(F.col("n") >= min(total, k))  # at least the root
+    bounds = path.join(rich, _CELL).groupBy("_sk", "_slat", "_slng", "_fx", "_fy").agg(F.min(_outer("_slat", "_slng")).alias("_ub"))
+    # the finest level whose cells are at least as wide as the bound: the 3 x 3 block covers it
+    level = F.floor(F.log2(F.lit(grid.width) / F.greatest(_loose(F.col("_ub")), F.lit(grid.width / (1 << LEVELS)))))
+    around = bounds.withColumn("level", F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS)).cast("int"))
+    shift = F.pow(F.lit(2.0), F.lit(LEVELS) - F.col("level"))
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    probes = around.withColumn("_nb", F.explode(offsets)).select(
+        "_sk", "_slat", "_slng", "_ub", "level", (F.floor(F.col("_fx") / shift) + F.col("_nb.dx")).alias("cx"), (F.floor(F.col("_fy") / shift) + F.col("_nb.dy")).alias("cy")
     )
-    r = pts.agg(
-        F.min("a").alias("a0"), F.max("a").alias("a1"), F.min("o").alias("o0"), F.max("o").alias("o1"),
-        F.sum("c").alias("n_cand"), F.count(F.lit(1)).alias("n"),
-    ).first()
-    if not r["n"]:
-        return 0.0, 0.0, 0
-    span = max(r["a1"] - r["a0"], r["o1"] - r["o0"])
-    return float(span), float(r["n"] - (r["n_cand"] or 0)), int(r["n_cand"] or 0)
+    return _prune(probes.join(cells, _CELL).withColumn("_end", _outer("_slat", "_slng")), k)
+
+
+def _refined(frontier: DataFrame, cells: DataFrame, k: int) -> DataFrame:
+    """Cells with many places replaced by their descendants STEP levels down."""
+    down = F.least(F.lit(STEP), F.lit(LEVELS) - F.col("level"))
+    big = (F.col("places") > LEAF_POINTS) & (F.col("level") < LEVELS)
+    grid_steps = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in range(1 << STEP) for y in range(1 << STEP)])
+    wide = F.pow(F.lit(2.0), down).cast("long")
+    children = (
+        frontier.filter(big)
+        .withColumn("_c", F.explode(grid_steps))
+        .filter((F.col("_c.x") < wide) & (F.col("_c.y") < wide))
+        .select("_sk", "_slat", "_slng", "_ub", (F.col("level") + down).alias("level"), (F.col("cx") * wide + F.col("_c.x")).alias("cx"), (F.col("cy") * wide + F.col("_c.y")).alias("cy"))
+        .join(cells, _CELL)
+        .withColumn("_end", _outer("_slat", "_slng"))
+    )
+    return _prune(frontier.filter(~big).unionByName(children), k)
 
 
-def _neighbours():
-    """The 3x3 block of cell offsets around a store's cell."""
-    return F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+def _pairs(frontier: DataFrame, placed: DataFrame, cand_lat: str, cand_lng: str) -> DataFrame:
+    """The candidates that can be among a store's k nearest, with their distance."""
+    near = frontier.select("_sk", "_slat", "_slng", "_ub", *_CELL).join(placed, _CELL).drop(*_CELL)
+    near = near.withColumn("dis_store", planar_distance(F.col("_slat"), F.col("_slng"), F.col(cand_lat), F.col(cand_lng)))
+    return near.filter(F.col("dis_store") <= _loose(F.col("_ub")))
 
 
 def nearest_station(
@@ -90,87 +184,59 @@ def nearest_station(
     cand_lat: str = "lat",
     cand_lng: str = "lon",
     tie_break: tuple[str, ...] = ("name",),
-    cell: float | None = None,
 ) -> DataFrame:
     """The ``k`` nearest candidates of every store (planar distance in degrees).
 
     Returns the store key, all candidate columns, ``dis_store``, ``rank``
     (1..k, ties broken by ``tie_break``) and ``avg_rank`` (the average rank of
-    ties, i.e. pandas ``rank()``). Exact: a store is settled only when all
-    candidates within its k-th distance were probed. Stores without
-    coordinates get no row.
+    ties, i.e. pandas ``rank()``). Exact. Stores and candidates whose coordinates are
+    NULL, NaN or infinite are left out; store keys are expected to be unique.
     """
     sto = stores.select(
-        F.col(store_key).alias("_sk"), F.col(store_lat).alias("_slat"), F.col(store_lng).alias("_slng")
-    ).filter(F.col("_slat").isNotNull() & F.col("_slng").isNotNull())
-    cand_cols = list(candidates.columns)
-    # dimension-sized inputs: materialise once in the shared checkpoint folder
-    cands = candidates.filter(F.col(cand_lat).isNotNull() & F.col(cand_lng).isNotNull()).checkpoint()
-    span, n_sto, n_cand = _extent(sto, cands, cand_lat, cand_lng)
-    if n_cand == 0 or n_sto == 0:
-        return _empty_result(sto, cands, store_key)
-    span = max(span, 1e-9)
-    diameter = span * math.sqrt(2)
-    # about 4k candidates per cell on average, so most stores settle in the first round
-    g = cell or max(span * 2.0 * math.sqrt(k / n_cand), 1e-6)
-    # the candidate count is known from the extent job: broadcast only below the bound
-    cands_b = F.broadcast(cands) if n_cand <= SMALL_DIM_ROWS else cands
-
-    settled: list[DataFrame] = []
-    pending = sto
-    while True:
-        # margins keep points at exactly one cell width (or the diameter) out of float rounding's way
-        final = g > diameter * (1 + 1e-6)
-        probes = pending.withColumn("_nb", F.explode(_neighbours())).select(
-            "_sk",
-            "_slat",
-            "_slng",
-            (F.floor(F.col("_slat") / g) + F.col("_nb.dx")).alias("_cx"),
-            (F.floor(F.col("_slng") / g) + F.col("_nb.dy")).alias("_cy"),
-        )
-        cells = cands_b.withColumns({"_cx": F.floor(F.col(cand_lat) / g), "_cy": F.floor(F.col(cand_lng) / g)})
-        pairs = probes.join(cells, ["_cx", "_cy"]).withColumn(
-            "dis_store", planar_distance(F.col("_slat"), F.col("_slng"), F.col(cand_lat), F.col(cand_lng))
-        )
-        by_store = Window.partitionBy("_sk")
-        ranked = pairs.withColumns(
-            {
-                "rank": F.row_number().over(by_store.orderBy("dis_store", *tie_break)),
-                "_closer": F.rank().over(by_store.orderBy("dis_store")) - 1,
-                "_ties": F.count(F.lit(1)).over(Window.partitionBy("_sk", "dis_store")),
-                "_found": F.count(F.lit(1)).over(by_store),
-            }
-        ).filter(F.col("rank") <= k)
-        # settled: k candidates found and the k-th lies within one cell width
-        ranked = ranked.withColumn("_kd", F.max("dis_store").over(by_store))
-        settled_now = (F.col("_found") >= k) & (F.col("_kd") < g * (1 - 1e-9))
-        done = ranked.filter(F.lit(final) | settled_now).select(
-            F.col("_sk"),
-            *cand_cols,
-            "dis_store",
-            F.col("rank").cast("int").alias("rank"),
-            (F.col("_closer") + (F.col("_ties") + 1) / 2.0).alias("avg_rank"),
-        ).checkpoint()
-        settled.append(done.withColumnRenamed("_sk", store_key))
-        if final:
-            break
-        # `done` is checkpointed, so this lineage stays two steps deep
-        pending = pending.join(done.select("_sk"), "_sk", "left_anti")
-        if pending.isEmpty():
+        F.col(store_key).alias("_sk"), F.col(store_lat).cast("double").alias("_slat"), F.col(store_lng).cast("double").alias("_slng")
+    ).filter(_finite("_slat", "_slng"))
+    cols = list(candidates.columns)
+    cands = candidates.filter(_finite(cand_lat, cand_lng)).withColumns({"_la": F.col(cand_lat).cast("double"), "_lo": F.col(cand_lng).cast("double")})
+    # of the candidates at one place only the best k can be reported; the place remembers how many there are
+    at_place = Window.partitionBy("_la", "_lo").orderBy(*tie_break)
+    best = cands.withColumn("_place", F.row_number().over(at_place)).filter(F.col("_place") <= k)
+    points = checkpointed(cands.groupBy("_la", "_lo").agg(F.count(F.lit(1)).alias("_n")))
+    ext = points.agg(F.min("_la"), F.max("_la"), F.min("_lo"), F.max("_lo"), F.sum("_n")).first()
+    if ext[0] is None:
+        return _empty_result(sto, cands.select(*cols), store_key)
+    grid = _Grid(*(float(x) for x in ext[:4]))
+    placed, cells = _cells(points, grid, "_la", "_lo")
+    cells = checkpointed(cells)
+    frontier = checkpointed(_frontier(sto, cells, grid, k, ext[4]))
+    for _ in range(LEVELS // STEP + 1):
+        if frontier.filter((F.col("places") > LEAF_POINTS) & (F.col("level") < LEVELS)).isEmpty():
             break
-        g *= 2
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
+        frontier = checkpointed(_refined(frontier, cells, k))
+    else:
+        raise RuntimeError("the grid refinement did not end")  # every round goes STEP levels down
+    near = _pairs(frontier, placed, "_la", "_lo")
+    # places strictly closer, and candidates at the same distance, give the average rank of ties
+    by_dist = Window.partitionBy("_sk").orderBy("dis_store")
+    ranked = near.withColumns(
+        {
+            "_upto": F.sum("_n").over(by_dist),  # up to and with this distance
+            "_ties": F.sum("_n").over(Window.partitionBy("_sk", "dis_store")),
+        }
+    ).filter(F.col("_upto") - F.col("_ties") < k)
+    shown = ranked.join(best, ["_la", "_lo"])
+    order = Window.partitionBy("_sk").orderBy("dis_store", *tie_break)
+    shown = shown.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    closer = F.col("_upto") - F.col("_ties")
+    return shown.select(
+        F.col("_sk").alias(store_key), *cols, "dis_store", "rank", (closer + (F.col("_ties") + 1) / 2.0).alias("avg_rank")
+    )
 
 
 def _empty_result(sto: DataFrame, cands: DataFrame, store_key: str) -> DataFrame:
-    return (
-        sto.filter(F.lit(False))
-        .select(F.col("_sk").alias(store_key))
-        .withColumns({c: F.lit(None) for c in cands.columns})
-        .withColumns({"dis_store": F.lit(None).cast("double"), "rank": F.lit(None).cast("int"), "avg_rank": F.lit(None).cast("double")})
+    """No rows, with the columns and types of a result."""
+    none = sto.filter(F.lit(False)).select(F.col("_sk").alias(store_key), *[F.lit(None).cast(f.dataType).alias(f.name) for f in cands.schema])
+    return none.withColumns(
+        {"dis_store": F.lit(None).cast("double"), "rank": F.lit(None).cast("int"), "avg_rank": F.lit(None).cast("double")}
     )
 
 

@@ -81,19 +81,20 @@ FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
     "price_sensitivity": (
         (),
         """
-  SELECT CAST(l_suppkey AS INTEGER) AS Branch, CAST(l_partkey AS INTEGER) AS MaterialCode,
-         ROUND(AVG(l_discount) + 1e-7, 4) AS f0_
-  FROM lineitem WHERE l_partkey % 4 <> 0 GROUP BY 1, 2""",
+  SELECT CAST(CASE WHEN l_partkey % 4 = 0 THEN -l_suppkey ELSE l_suppkey END AS INTEGER) AS Branch,
+         CAST(l_partkey AS INTEGER) AS MaterialCode, ROUND(AVG(l_discount) + 1e-7, 4) AS f0_
+  FROM lineitem GROUP BY 1, 2""",
     ),
     "tier": (
         (),
         """
-  SELECT CAST(l_suppkey AS INTEGER) AS BranchCode, CAST(l_partkey AS INTEGER) AS MaterailCode,
+  SELECT CAST(CASE WHEN l_partkey % 5 = 0 THEN -l_suppkey ELSE l_suppkey END AS INTEGER) AS BranchCode,
+         CAST(l_partkey AS INTEGER) AS MaterailCode,
          CAST(year(CAST(l_shipdate + INTERVAL 20 YEAR AS DATE)) AS INTEGER) AS CALYEAR,
          CAST(month(CAST(l_shipdate + INTERVAL 20 YEAR AS DATE)) AS INTEGER) AS CALMONTH,
          'T' || MIN(substr(o_orderpriority, 1, 1)) AS Tier
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_partkey % 5 <> 0 GROUP BY 1, 2, 3, 4""",
+  GROUP BY 1, 2, 3, 4""",
     ),
     "welfare_branches": (
         (),
@@ -262,9 +263,9 @@ FIXTURES.update(
             """
   SELECT p.*, m.MostSalesUnitFreq FROM (
     SELECT BranchCode, MaterialCode, CAST(dayofweek(SalDate) + 1 AS INTEGER) AS DoW_Num,
-           CAST(COUNT(*) AS INTEGER) AS Total_Bill_Dow, CAST(SUM(TotalQtySale) AS INTEGER) AS Total_SumQTY_Dow,
+           CAST(COUNT(*) AS INTEGER) AS Total_Bill_Dow, CAST(SUM(TotalQtySale) AS BIGINT) AS Total_SumQTY_Dow,
            AVG(TotalQtySale) AS AVG_SumQTY_Dow, CAST(MEDIAN(TotalQtySale) AS DOUBLE) AS MED_SumQTY_Dow,
-           STDDEV_SAMP(TotalQtySale) AS SD_SumQTY_Dow,
+           COALESCE(STDDEV_SAMP(TotalQtySale), CASE WHEN COUNT(TotalQtySale) = 1 THEN CAST(0 AS DOUBLE) END) AS SD_SumQTY_Dow,
            CAST(COUNT(DISTINCT CASE WHEN TotalQtySale > 0 THEN date_trunc('week', SalDate) END) AS INTEGER)
              AS NumWeekSale
     FROM sales GROUP BY 1, 2, 3) p

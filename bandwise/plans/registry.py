@@ -544,6 +544,14 @@ def q_clean_basic(spark, sf):
     return cl.clean(fx.sales_raw_text(spark, sf), "basic_train")
 
 
+@register("read_text_clean", _clean_raw_sql(cl.CAST_PROFILES["basic_train"]))
+def q_read_text_clean(spark, sf):
+    """The original entry path: a text file read without a schema (all columns text), then cleaned."""
+    path = fresh_path(spark, "sales_text")
+    fx.sales_raw_text(spark, sf).write.option("header", "true").csv(path)
+    return cl.clean(files.read_file(spark, path, "csv"), "basic_train")
+
+
 @register("clean_basic_score", _clean_raw_sql(cl.CAST_PROFILES["basic_score"]))
 def q_clean_basic_score(spark, sf):
     return cl.clean(fx.sales_raw_text(spark, sf), "basic_score")
@@ -712,6 +720,23 @@ def q_join_tier_inner(spark, sf):
     return _tier_joined(spark, sf, "inner").select(*KEY, "CALYEAR", "CALMONTH", "Tier")
 
 
+_SALT = 8
+
+
+@register("join_tier_salted", _tier_join_sql("LEFT"))
+def q_join_tier_salted(spark, sf):
+    joined = en.join_tier(cal.encode_calendar(_sales(spark, sf)), en.tier_dim(fx.tier(spark, sf)), salt=_SALT)
+    return joined.select(*KEY, "CALYEAR", "CALMONTH", "Tier")
+
+
+@register("join_price_sensitivity_salted", _ps_join_sql("INNER"))
+def q_join_price_sensitivity_salted(spark, sf):
+    ps = en.price_sensitivity_dim(fx.price_sensitivity(spark, sf))
+    return en.join_price_sensitivity(_sales(spark, sf), ps, "inner", salt=_SALT).select(
+        *KEY, "BC2", "MC2", "Price_Sensitivity", "YY", "MM"
+    )
+
+
 @register("encode_tier", _tier_join_sql("LEFT", f", {o.tier_case('t.Tier')} AS TierNumeric"))
 def q_encode_tier(spark, sf):
     return cal.encode_tier(_tier_joined(spark, sf)).select(*KEY, "CALYEAR", "CALMONTH", "Tier", "TierNumeric")
@@ -812,6 +837,28 @@ def q_store_station_distance(spark, sf):
     return round6(near.select("BranchCode", "usaf", "name", "dis_store", "rank"), "dis_store")
 
 
+@register(
+    "nearest_supplier",
+    with_fixtures(
+        f"""c AS (SELECT CAST(c_custkey AS INTEGER) AS Customer, 5 + (c_custkey * 41 % 1600) / CAST(100 AS DOUBLE) AS lat,
+            97 + (c_custkey * 59 % 800) / CAST(100 AS DOUBLE) AS lng FROM customer),
+d AS (SELECT c.Customer, s.BranchCode AS Supplier, sqrt((c.lat - s.lat) * (c.lat - s.lat) + (c.lng - s.lng) * (c.lng - s.lng)) AS dis_store
+      FROM c, store_location s),
+r AS (SELECT *, row_number() OVER (PARTITION BY Customer ORDER BY {r6("dis_store")}, Supplier) AS rn FROM d)
+SELECT Customer, CAST(rn AS INTEGER) AS rank, {r6("dis_store")} AS dis_store FROM r WHERE rn <= {_K_NEAREST}""",
+        "store_location",
+    ),
+)
+def q_nearest_supplier(spark, sf):
+    """The three nearest suppliers of every customer: both sides grow with the scale factor."""
+    customers = we.store_location(fx.customer_locations(spark, sf)).withColumnRenamed("BranchCode", "Customer")
+    suppliers = we.store_location(fx.store_location_raw(spark, sf)).select(
+        F.col("BranchCode").alias("Supplier"), "lat", F.col("lng").alias("lon")
+    )
+    near = we.nearest_station(customers, suppliers, k=_K_NEAREST, store_key="Customer", tie_break=("Supplier",))
+    return round6(near.select("Customer", "rank", "dis_store"), "dis_store")
+
+
 # --------------------------------------------------------------------------- sampling
 
 
@@ -838,6 +885,23 @@ def q_stratified_rest(spark, sf):
     return sa.stratified_split(_sales(spark, sf), SPLIT_FRACTION, "label", KEY, seed=42)[1]
 
 
+_EXACT_SQL = """
+h AS (SELECT *, md5(concat_ws('|', CAST(SalDate AS VARCHAR), CAST(BranchCode AS VARCHAR), CAST(MaterialCode AS VARCHAR), '42')) AS h FROM sales),
+n AS (SELECT label AS l, CAST(ceil(COUNT(*) * CAST({f} AS DOUBLE)) AS BIGINT) AS want FROM sales GROUP BY 1),
+r AS (SELECT h.*, row_number() OVER (PARTITION BY label ORDER BY h, SalDate, BranchCode, MaterialCode) AS rn FROM h)
+SELECT r.* EXCLUDE (h, rn) FROM r JOIN n ON r.label = n.l WHERE rn {op} want"""
+
+
+@register("stratified_exact", with_fixtures(_EXACT_SQL.format(f=SPLIT_FRACTION, op="<="), "sales"))
+def q_stratified_exact(spark, sf):
+    return sa.stratified_split(_sales(spark, sf), SPLIT_FRACTION, "label", KEY, seed=42, exact=True)[0]
+
+
+@register("stratified_exact_rest", with_fixtures(_EXACT_SQL.format(f=SPLIT_FRACTION, op=">"), "sales"))
+def q_stratified_exact_rest(spark, sf):
+    return sa.stratified_split(_sales(spark, sf), SPLIT_FRACTION, "label", KEY, seed=42, exact=True)[1]
+
+
 @register(
     "distinct_labels",
     with_fixtures(f"SELECT DISTINCT label, CAST({SPLIT_FRACTION} AS DOUBLE) AS fraction FROM sales", "sales"),
@@ -881,6 +945,22 @@ def q_one_hot_zipcode(spark, sf):
     )
 
 
+def _register_one_hot(name: str, source: str, col: str, key_sql: str, key: list[str], rows) -> None:
+    @register(name, with_fixtures(_index_sql(source, col, f"{col}_idx", key_sql, True), source))
+    def run(spark, sf):
+        df = enc.one_hot(rows(spark, sf), col)
+        return df.select(
+            *key, col, f"{col}_idx", enc.one_hot_size(F.col(f"{col}_vec")).alias("vec_size"),
+            enc.one_hot_active(F.col(f"{col}_vec")).alias("vec_active"),
+        )
+
+
+for _col in ("Holiday", "HolidayType"):
+    _register_one_hot(f"one_hot_{_col.lower()}", "calendar", _col, KEY_SQL, KEY, lambda spark, sf: cal.encode_calendar(_sales(spark, sf)))
+_TIER_KEY = ["BranchCode", "MaterailCode", "CALYEAR", "CALMONTH"]
+_register_one_hot("one_hot_tier", "tier", "Tier", ", ".join(_TIER_KEY), _TIER_KEY, lambda spark, sf: fx.tier(spark, sf))
+
+
 _MULTI_HOT = ["ProvinceEN", "DistrictEN", "ZipCode", "promotion"]
 
 
@@ -892,7 +972,7 @@ def _multi_hot_sql() -> str:
 ix{i} AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS idx,
                  CAST(COUNT(*) OVER () AS INTEGER) AS sz FROM lab{i})"""
         )
-        sel.append(f"c.{c}, ix{i}.idx AS {c}_idx, ix{i}.sz AS {c}_size")
+        sel.append(f"c.{c}, ix{i}.idx AS {c}_idx, ix{i}.sz AS {c}_size, CAST(ix{i}.idx AS INTEGER) AS {c}_active")
         joins.append(f"JOIN ix{i} ON CAST(c.{c} AS VARCHAR) = ix{i}.v")
     body = ",\n".join(ctes) + f"\nSELECT c.SalDate, c.BranchCode, c.MaterialCode, {', '.join(sel)}\nFROM categories c " + " ".join(joins)
     return with_fixtures(body, "categories")
@@ -903,7 +983,8 @@ def q_one_hot_multi(spark, sf):
     df = enc.one_hot_many(fx.categories(spark, sf), _MULTI_HOT)
     out = [*KEY]
     for c in _MULTI_HOT:
-        out += [c, f"{c}_idx", enc.one_hot_size(F.col(f"{c}_vec")).alias(f"{c}_size")]
+        vec = F.col(f"{c}_vec")
+        out += [c, f"{c}_idx", enc.one_hot_size(vec).alias(f"{c}_size"), enc.one_hot_active(vec).alias(f"{c}_active")]
     return df.select(*out)
 
 
@@ -956,26 +1037,42 @@ _TRAIN_FEATURES = ["avgPrice", "avgPriceDis", "supPrice", "DayofMonth"]
 
 def _trained(spark, sf):
     train, test = sa.stratified_split(_sales(spark, sf), SPLIT_FRACTION, "label", KEY, seed=42)
-    models = mo.train_two_stage(
-        train, _TRAIN_FEATURES, "TotalQtySale", classifier="gbt", regressor="rf",
-        classifier_params={"maxIter": 5}, regressor_params={"numTrees": 10},
-    )
-    return models, test
+    return mo.train_two_stage(train, _TRAIN_FEATURES, "TotalQtySale", classifier="gbt", regressor="rf"), test
+
 
+_REST_SQL = _split_sql(True)
 
-@register("two_stage_trained", None)
+
+@register(
+    "two_stage_trained",
+    f"""WITH rest AS ({_REST_SQL}),
+src AS (SELECT {o.band_case("TotalQtySale")} AS band_id FROM rest),
+agg AS (SELECT band_id, COUNT(*) AS n FROM src GROUP BY band_id),
+bands AS ({o.bands_values()})
+SELECT b.band_id, b.Range, b.lower, b.upper, COALESCE(a.n, 0) AS count, COALESCE(a.n, 0) AS n_scored,
+       CAST((SELECT SUM(n) FROM agg) AS BIGINT) AS "all"
+FROM bands b LEFT JOIN agg a ON a.band_id = b.band_id""",
+)
 def q_two_stage_trained(spark, sf):
+    """Train on the sample, score the rest: every row of the rest is scored, in its band."""
     (m1, m2), test = _trained(spark, sf)
-    return ev.range_report(mo.two_stage_score(test, m1, m2), "TotalQtySale", "pred_final")
+    report = ev.range_report(mo.two_stage_score(test, m1, m2), "TotalQtySale", "pred_final")
+    return report.select("band_id", "Range", "lower", "upper", "count", "n_scored", "all")
 
 
-@register("model_roundtrip", None)
+@register("model_roundtrip", f"SELECT COUNT(*) AS n_rows, COUNT(*) AS n_equal FROM ({_REST_SQL}) rest")
 def q_model_roundtrip(spark, sf):
+    """Predictions of the fitted and of the saved and loaded models, row by row."""
     models, test = _trained(spark, sf)
     path = fresh_path(spark, "two_stage_model")
     mo.save_two_stage(models, path)
-    m1, m2 = mo.load_two_stage(path)
-    return mo.two_stage_score(test, m1, m2).select(*KEY, "TotalQtySale", "pred_lv1", "pred_lv2", "pred_final")
+    preds = ("pred_lv1", "pred_lv2", "pred_final")
+    fitted = mo.two_stage_score(test, *models).withColumnsRenamed({c: f"fitted_{c}" for c in preds})
+    both = mo.two_stage_score(fitted, *mo.load_two_stage(path))
+    same = F.lit(True)
+    for c in preds:
+        same = same & (F.col(c) == F.col(f"fitted_{c}"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(same, 1)).alias("n_equal"))
 
 
 @register(

@@ -1,16 +1,15 @@
-"""Session helpers: shared storage, size-checked broadcast, local sessions for tests/bench."""
+"""Session helpers: shared storage and local sessions for tests and the bench."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
+def local_session(checkpoint_dir: str, cores: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
     """A local session for tests and the bench (AQE on, UI off, UTC)."""
     n = (os.cpu_count() or 8) if cores == "*" else int(cores)
     builder = (
@@ -24,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", checkpoint_dir)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -32,31 +32,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None)
 
 
 def shared_dir(spark: SparkSession, sub: str | None = None) -> str:
-    """A folder on the storage the whole cluster shares.
+    """A folder on the storage the whole cluster shares: the session's ``spark.checkpoint.dir``.
 
-    It is the ``spark.checkpoint.dir`` the session names. Only a local-mode
-    session without that setting (tests) gets a fresh temporary folder; a
-    cluster session without it is an error, never a machine-local folder.
+    A session that names none is an error; no machine-local folder is ever used.
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # a Connect session has no SparkContext: the conf is all there is
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        return base if sub is None else base.rstrip("/") + "/" + sub
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    except PySparkException:  # a Connect session has no SparkContext: the conf is all there is
+        sc = None
+    base = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="bandwise-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if sc and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
-    base = sc.getCheckpointDir() or base
-    if sub is None:
-        return base
-    return base.rstrip("/") + "/" + sub
+        base = sc.getCheckpointDir()
+    return base if sub is None else base.rstrip("/") + "/" + sub
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -64,12 +54,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"bandwise/{name}-{uuid.uuid4().hex[:12]}")
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned unhinted, so the planner (and AQE at run time) picks a
-    shuffle join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` in the shared folder; without one the session helper's own error is raised."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

@@ -10,9 +10,9 @@ derivations as DuckDB SQL.
 Rounded doubles use ``round(x + 1e-7, 4)``: without the nudge the two engines
 break exact decimal ties differently.
 
-The few modulo rules below are data design, not sampling: they leave some
-keys without a price-sensitivity, tier or welfare row so that left joins have
-unmatched rows to keep, damage some text cells for the cleaning checks, and
+The few modulo rules below are data design, not sampling: they give some rows of the
+price-sensitivity and tier tables a branch that no sale has, so that left joins have
+unmatched rows on both sides, damage some text cells for the cleaning checks, and
 give the fixed classifier a "does not sell" class. Every table is still built
 from, and every query still reads, the whole input tables.
 """
@@ -128,11 +128,12 @@ def sales_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def price_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw price-sensitivity file: Branch, MaterialCode, f0_.
 
-    Materials with ``l_partkey % 4 == 0`` get no row, so a left join keeps unmatched sales.
+    Materials with ``l_partkey % 4 == 0`` get a negative branch, so a left join keeps unmatched sales.
     """
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 4 != 0)
+    li = table(spark, sf_dir, "lineitem")
+    branch = F.when(F.col("l_partkey") % 4 == 0, -F.col("l_suppkey")).otherwise(F.col("l_suppkey"))
     return li.groupBy(
-        F.col("l_suppkey").cast("int").alias("Branch"),
+        branch.cast("int").alias("Branch"),
         F.col("l_partkey").cast("int").alias("MaterialCode"),
     ).agg(_r4(F.avg("l_discount")).alias("f0_"))
 
@@ -140,15 +141,16 @@ def price_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw monthly tier file: BranchCode, MaterailCode (sic), CALYEAR, CALMONTH, Tier.
 
-    Materials with ``l_partkey % 5 == 0`` get no tier (unmatched keys for the left join).
+    Materials with ``l_partkey % 5 == 0`` get a negative branch (unmatched keys for the left join).
     """
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 5 != 0)
+    li = table(spark, sf_dir, "lineitem")
+    branch = F.when(F.col("l_partkey") % 5 == 0, -F.col("l_suppkey")).otherwise(F.col("l_suppkey"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     d = _sal_date()
     return (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
         .groupBy(
-            F.col("l_suppkey").cast("int").alias("BranchCode"),
+            branch.cast("int").alias("BranchCode"),
             F.col("l_partkey").cast("int").alias("MaterailCode"),
             F.year(d).alias("CALYEAR"),
             F.month(d).alias("CALMONTH"),
@@ -174,6 +176,16 @@ def store_location_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer master: code, lat, lng (a store table that grows with the scale factor)."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        k.cast("int").alias("code"),
+        (F.lit(5) + (k * 41 % 1600) / F.lit(100.0)).alias("lat"),
+        (F.lit(97) + (k * 59 % 800) / F.lit(100.0)).alias("lng"),
+    )
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather-station master: usaf, name, lat, lon, country."""
     n = table(spark, sf_dir, "nation")

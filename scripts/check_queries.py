@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -19,7 +20,7 @@ def main() -> int:
     h.STRICT = os.environ.get("STRICT", "1") == "1"
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(registry.REGISTRY)
-    spark = local_session(8)
+    spark = local_session(tempfile.mkdtemp(prefix="bandwise-"), 8)
     if os.environ.get("ANSI") is not None:  # check both cast semantics
         spark.conf.set("spark.sql.ansi.enabled", "true" if os.environ["ANSI"] == "1" else "false")
     if os.environ.get("SESSION_TZ"):  # results must not depend on the session time zone

@@ -6,6 +6,7 @@ import contextlib
 import io
 import os
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -17,7 +18,7 @@ SHOW = ["range_report", "over_under_two_stage", "two_stage_score", "clean_full",
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = local_session(8)
+    spark = local_session(tempfile.mkdtemp(prefix="bandwise-"), 8)
     out = [
         "# Physical plans of the headline queries\n",
         f"Generated by `scripts/show_plans.py` on `{sf_dir}` (local[8], AQE on). `AdaptiveSparkPlan isFinalPlan=false`",

@@ -11,7 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session("*", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    s = local_session(str(tmp_path_factory.mktemp("shared")), "*", shuffle_partitions=8)
     yield s
     s.stop()

@@ -85,3 +85,35 @@ def test_salted_joins_equal_plain_joins(spark, skewed):
     a = en.join_price_sensitivity(base, en.price_sensitivity_dim(ps), how="inner")
     b = en.join_price_sensitivity(base, en.price_sensitivity_dim(ps), how="inner", salt=5)
     assert a.count() == base.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("how", ["right", "full", "outer", "left_semi"])
+def test_salted_joins_are_inner_or_left(spark, skewed, how):
+    base, tier = skewed
+    with pytest.raises(ValueError, match="inner or left"):
+        en.join_tier(encode_calendar(base), en.tier_dim(tier), how=how, salt=4)
+
+
+def test_null_keys_are_spread_and_kept(spark, skewed):
+    """A third of the rows has no key: a left join keeps them all, and no task gets them all."""
+    base, tier = skewed
+    holed = base.withColumn("BranchCode", F.when(F.col("BranchCode") != 1, F.col("BranchCode")))
+    cal = encode_calendar(holed)
+    plain, salted = en.join_tier(cal, en.tier_dim(tier)), en.join_tier(cal, en.tier_dim(tier), salt=8)
+    assert salted.count() == holed.count()
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nulls = en.join_tier(cal, en.tier_dim(tier), salt=8).where("BranchCode IS NULL")
+        sizes = [r["n"] for r in nulls.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) >= 4 and max(sizes) < 0.6 * sum(sizes)
+
+
+def test_only_hot_keys_are_copied(spark, skewed):
+    base, _ = skewed
+    assert [tuple(r) for r in en.hot_keys(base, ["BranchCode", "MaterialCode"], 0.1).collect()] == [(1, 1)]

@@ -30,6 +30,23 @@ def test_shared_dir_comes_from_the_session(spark):
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
 
 
+def test_no_shared_folder_is_an_error():
+    class Context:
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_bucketed_tables_join_without_shuffle(spark):
     from bandwise.operators import enrich as en
 
