@@ -11,7 +11,7 @@ bands).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import partial
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +32,7 @@ from bandwise.sources import files
 # --- sampling ---------------------------------------------------------------
 
 
-def stratified_split_train_test(df: DataFrame, frac, label: str, join_on, seed: int = 42):
-    return sa.stratified_split(df, frac, label, join_on, seed)
-
+stratified_split_train_test = sa.stratified_split
 
 # --- scalar lookups (plain Python, for notebooks and tests) -----------------
 
@@ -62,46 +60,26 @@ def tier_convert(t: str | None) -> int:
 # --- stores and weather -----------------------------------------------------
 
 
-def query_store_location(store_raw: DataFrame) -> DataFrame:
-    return we.store_location(store_raw)
+query_store_location = we.store_location
+map_weather_to_store = we.map_weather_to_store
 
 
 def query_weather(weather: DataFrame, stations: DataFrame, year: int | None = None) -> DataFrame:
     return we.weather_latest(weather, stations, "TH", year)
 
 
-def map_weather_to_store(stores: DataFrame, latest_weather: DataFrame, k: int = 1) -> DataFrame:
-    return we.map_weather_to_store(stores, latest_weather, k)
-
-
 # --- encoders ---------------------------------------------------------------
 
 
-def _one_hot_as(prefix: str):
-    def encode(df: DataFrame, _input: str) -> DataFrame:
-        return enc.one_hot(df, _input, prefix)
-
-    encode.__name__ = f"one_hot_encoder_{prefix}"
-    encode.__doc__ = f"``{prefix}_idx`` and one-hot ``{prefix}_vec`` of ``_input``."
-    return encode
-
-
-one_hot_encoder_ProvinceEN = _one_hot_as("ProvinceEN")
-one_hot_encoder_DistrictEN = _one_hot_as("DistrictEN")
-one_hot_encoder_ZipCode = _one_hot_as("ZipCode")
-one_hot_encoder_promotion = _one_hot_as("promotion")
-one_hot_encoder_holiday = _one_hot_as("holiday")
-one_hot_encoder_holidaytype = _one_hot_as("holidaytype")
-one_hot_encoder_tier = _one_hot_as("tier")
-
-
-def string_indexer_tier(df: DataFrame, _input: str = "Tier") -> DataFrame:
-    return enc.string_index(df, _input, "tier_vec")
-
-
-def convert_string_to_numeric(df: DataFrame, _input: Sequence[str]) -> DataFrame:
-    return enc.string_index_multi(df, _input)
-
+one_hot_encoder_ProvinceEN = partial(enc.one_hot, prefix="ProvinceEN")
+one_hot_encoder_DistrictEN = partial(enc.one_hot, prefix="DistrictEN")
+one_hot_encoder_ZipCode = partial(enc.one_hot, prefix="ZipCode")
+one_hot_encoder_promotion = partial(enc.one_hot, prefix="promotion")
+one_hot_encoder_holiday = partial(enc.one_hot, prefix="holiday")
+one_hot_encoder_holidaytype = partial(enc.one_hot, prefix="holidaytype")
+one_hot_encoder_tier = partial(enc.one_hot, prefix="tier")
+string_indexer_tier = enc.string_index
+convert_string_to_numeric = enc.string_index_multi
 
 # --- calendar, tier, welfare ------------------------------------------------
 
@@ -112,17 +90,14 @@ extract_date = cal.extract_date
 rename = cal.rename_parts
 
 
-def transform_welfare_flag(df: DataFrame, wf: DataFrame) -> DataFrame:
-    return en.welfare_branch_flag(df, wf)
+transform_welfare_flag = en.welfare_branch_flag
 
 
-def transform_welfare_flag_day(df: DataFrame) -> DataFrame:
-    return cal.add_welfare_day_flag(df, "DDDD")
+def transform_welfare_flag_day(df: DataFrame, day: str = "DDDD") -> DataFrame:
+    return cal.add_welfare_day_flag(df, day)
 
 
-def transform_welfare_flag_day_2(df: DataFrame) -> DataFrame:
-    return cal.add_welfare_day_flag(df, "DayofMonth")
-
+transform_welfare_flag_day_2 = partial(transform_welfare_flag_day, day="DayofMonth")
 
 # --- joins and dimension prep ----------------------------------------------
 
@@ -130,16 +105,9 @@ transform_ps = en.price_sensitivity_dim
 transform_tier = en.tier_dim
 
 
-def join_df_with_ps(df: DataFrame, ps: DataFrame, how: str = "left") -> DataFrame:
-    return en.join_price_sensitivity(df, ps, how)
-
-
-def join_df_with_tier(df: DataFrame, tier: DataFrame, how: str = "left") -> DataFrame:
-    return en.join_tier(df, tier, how)
-
-
-def join_df_with_weather(df: DataFrame, weather: DataFrame) -> DataFrame:
-    return en.join_weather(df, weather)
+join_df_with_ps = en.join_price_sensitivity
+join_df_with_tier = en.join_tier
+join_df_with_weather = en.join_weather
 
 
 def read_file(df: str, _format: str, spark: SparkSession | None = None, schema=None) -> DataFrame:
@@ -150,41 +118,22 @@ def read_file(df: str, _format: str, spark: SparkSession | None = None, schema=N
 # --- cleaning ---------------------------------------------------------------
 
 
-def _clean_as(profile: str):
-    def run(df: DataFrame) -> DataFrame:
-        return cl.clean(df, profile)
-
-    run.__doc__ = f"``clean(df, '{profile}')``"
-    return run
-
-
-clean = _clean_as("full")
-clean_basic = _clean_as("basic_train")
-clean_basic_v2 = clean_basic2 = _clean_as("basic_score")
-clean_binary = _clean_as("binary_train")
-clean_binary_2 = clean_binary_2_2 = _clean_as("binary_score")
-clean_binary_3 = _clean_as("dow_train")
-clean_binary_3_2 = _clean_as("dow_score")
-clean_binary_4 = _clean_as("dow_freq_score")
-
-
-def select_variable(df: DataFrame, select_list: Sequence[str]) -> DataFrame:
-    return cl.select_variable(df, select_list)
-
-
-def count_column_types(spark_df: DataFrame) -> DataFrame:
-    return cl.column_type_counts(spark_df)
-
+clean = partial(cl.clean, profile="full")
+clean_basic = partial(cl.clean, profile="basic_train")
+clean_basic_v2 = clean_basic2 = partial(cl.clean, profile="basic_score")
+clean_binary = partial(cl.clean, profile="binary_train")
+clean_binary_2 = clean_binary_2_2 = partial(cl.clean, profile="binary_score")
+clean_binary_3 = partial(cl.clean, profile="dow_train")
+clean_binary_3_2 = partial(cl.clean, profile="dow_score")
+clean_binary_4 = partial(cl.clean, profile="dow_freq_score")
+select_variable = cl.select_variable
+count_column_types = cl.column_type_counts
 
 # --- post scoring -----------------------------------------------------------
 
 
-def post_score(df: DataFrame) -> DataFrame:
-    return sc.post_score(df, "predict_qty", "Day")
-
-
-def post_score_v2(df: DataFrame) -> DataFrame:
-    return sc.post_score(df, "predict_qty", "DayofMonth")
+post_score = partial(sc.post_score, pred="predict_qty", day="Day")
+post_score_v2 = partial(sc.post_score, pred="predict_qty", day="DayofMonth")
 
 
 def post_score_v3(df: DataFrame, pred: str = "pred_final") -> DataFrame:

@@ -9,8 +9,59 @@ date parts, and reads decimal literals as DECIMAL (so doubles are spelled
 
 from __future__ import annotations
 
-from bandwise.functions.calendar import HOLIDAYS, TIER_NUMBERS, WELFARE_LOW_MONTHS
-from bandwise.functions.scoring import SALES_BANDS, band_key, band_label
+from bandwise.functions.scoring import band_key, band_label
+
+# Fixed values, spelled out here again so that a wrong entry in the code under test shows.
+_HOLIDAY_SQL = {
+    "name": """
+    WHEN '1-1' THEN 'NewYear'
+    WHEN '5-2' THEN 'ChineseDay'
+    WHEN '8-4' THEN 'Chakri'
+    WHEN '13-4' THEN 'Songkran'
+    WHEN '14-4' THEN 'Songkran'
+    WHEN '15-4' THEN 'Songkran'
+    WHEN '16-4' THEN 'Songkran'
+    WHEN '1-5' THEN 'Labour'
+    WHEN '6-5' THEN 'King'
+    WHEN '9-5' THEN 'Ploughing'
+    WHEN '3-6' THEN 'Queen'
+    WHEN '12-8' THEN 'Mother'
+    WHEN '14-10' THEN 'King9Passing'
+    WHEN '23-10' THEN 'Chulalongkorn'
+    WHEN '5-12' THEN 'King9'
+    WHEN '10-12' THEN 'Constitution'
+    WHEN '24-12' THEN 'BeforeChristmas'
+    WHEN '25-12' THEN 'Christmas'
+    WHEN '30-12' THEN 'NewYearEve'
+    WHEN '31-12' THEN 'NewYearEve'""",
+    "type": """
+    WHEN '1-1' THEN 'National'
+    WHEN '5-2' THEN 'Regional'
+    WHEN '8-4' THEN 'National'
+    WHEN '13-4' THEN 'National'
+    WHEN '14-4' THEN 'National'
+    WHEN '15-4' THEN 'National'
+    WHEN '16-4' THEN 'National'
+    WHEN '1-5' THEN 'National'
+    WHEN '6-5' THEN 'National'
+    WHEN '9-5' THEN 'Goverment'
+    WHEN '3-6' THEN 'National'
+    WHEN '12-8' THEN 'Public'
+    WHEN '14-10' THEN 'National'
+    WHEN '23-10' THEN 'National'
+    WHEN '5-12' THEN 'Public'
+    WHEN '10-12' THEN 'National'
+    WHEN '24-12' THEN 'Public'
+    WHEN '25-12' THEN 'Public'
+    WHEN '30-12' THEN 'National'
+    WHEN '31-12' THEN 'National'""",
+}
+_WELFARE_LOW_SQL = "'2019-5', '2019-6', '2020-10', '2020-11', '2020-12', '2021-1'"
+_TIER_SQL = "WHEN 'T1' THEN '1' WHEN 'T2' THEN '2' WHEN 'T3' THEN '3' WHEN 'T4' THEN '4' ELSE '5'"
+_BANDS = [
+    (0, 0), (1, 1), (2, 2), (3, 3), (4, 6), (7, 10), (11, 15), (16, 25), (26, 40),
+    (41, 60), (61, 100), (101, 200), (201, 400), (401, 700), (701, 1200), (1201, 1800), (1801, 3000),
+]
 
 FIXTURES: dict[str, tuple[tuple[str, ...], str]] = {
     "sales": (
@@ -156,7 +207,7 @@ def sql_str(s: str) -> str:
 
 
 def bands_values(bands=None) -> str:
-    bands = SALES_BANDS if bands is None else bands
+    bands = _BANDS if bands is None else bands
     rows = ", ".join(
         f"({i + 1}, {sql_str(band_label(lo, hi))}, {sql_str(band_key(lo, hi))}, {lo}, {hi})"
         for i, (lo, hi) in enumerate(bands)
@@ -165,24 +216,21 @@ def bands_values(bands=None) -> str:
 
 
 def band_case(col: str, bands=None) -> str:
-    bands = SALES_BANDS if bands is None else bands
+    bands = _BANDS if bands is None else bands
     whens = " ".join(f"WHEN {col} BETWEEN {lo} AND {hi} THEN {i + 1}" for i, (lo, hi) in enumerate(bands))
     return f"CASE {whens} END"
 
 
-def holiday_case(key: str, which: int) -> str:
-    whens = " ".join(f"WHEN {sql_str(k)} THEN {sql_str(v[which - 1])}" for k, *v in HOLIDAYS)
-    return f"COALESCE(CASE {key} {whens} END, 'Normal')"
+def holiday_case(key: str, which: str) -> str:
+    return f"COALESCE(CASE {key} {_HOLIDAY_SQL[which]} END, 'Normal')"
 
 
 def welfare_case(key: str) -> str:
-    months = ", ".join(sql_str(m) for m in WELFARE_LOW_MONTHS)
-    return f"CASE WHEN {key} IN ({months}) THEN '500' ELSE '700' END"
+    return f"CASE WHEN {key} IN ({_WELFARE_LOW_SQL}) THEN '500' ELSE '700' END"
 
 
 def tier_case(col: str) -> str:
-    whens = " ".join(f"WHEN {col} = {sql_str(t)} THEN '{n}'" for t, n in TIER_NUMBERS)
-    return f"CASE {whens} ELSE '5' END"
+    return f"CASE {col} {_TIER_SQL} END"
 
 
 def r6(expr: str) -> str:
@@ -197,7 +245,7 @@ def _calendar_sql() -> str:
          CAST(day(SalDate) AS INTEGER) AS DDDD, {dm} AS "DDDD-MMMM",
          CAST(year(SalDate) AS VARCHAR) || '-' || CAST(month(SalDate) AS VARCHAR) AS "YYYY-MMMM",
          CAST(year(SalDate) AS INTEGER) AS YY, CAST(month(SalDate) AS INTEGER) AS MM,
-         {holiday_case(dm, 1)} AS Holiday, {holiday_case(dm, 2)} AS HolidayType
+         {holiday_case(dm, 'name')} AS Holiday, {holiday_case(dm, 'type')} AS HolidayType
   FROM sales"""
 
 
