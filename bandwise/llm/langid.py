@@ -87,16 +87,17 @@ class Model:
         tables, base, self.roots = [], 0, []
         for k in self.langs:
             a = Automaton(texts[k])
-            t = np.full((len(a.next), self.size), -1, np.int64)
+            alone = len(a.next)  # stands behind a symbol that the sample lacks: a phrase of its own
+            t = np.full((alone + 1, self.size), -1, np.int64)
             for s, edges in enumerate(a.next):
                 for c, to in edges.items():
                     t[s, place[c]] = to
-            first = np.where(t[0] >= 0, t[0], 0)  # where a new phrase that begins with the symbol stands
+            first = np.where(t[0] >= 0, t[0], alone)  # where a new phrase that begins with the symbol stands
             ends = t < 0
             t = np.where(ends, first[None, :], t)
             tables.append(((((t + base) * self.size) << 1) | ends).astype(np.int64).ravel())
             self.roots.append(base * self.size)
-            base += len(a.next)
+            base += alone + 1
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int64)
         if base * self.size < 1 << 30:
             self.table = self.table.astype(np.int32)
