@@ -46,13 +46,15 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; n_chars follows the text."""
     found = secrets.find_secrets(docs, carried=tuple(docs.columns)).select("row.*", F.col("spans").alias("__spans"))
     hit = F.size("__spans") > 0
-    clean = secrets.redacted(F.col("text"), F.col("__spans"))
+    clean = F.when(hit, secrets.redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
+    # a column of its own first: inside a lambda, "text" would mean the new column of the same select
+    found = found.withColumn("__clean", clean)
     columns = []
     for c in docs.columns:
         if c == "text":
-            columns.append(F.when(hit, clean).otherwise(F.col("text")).alias("text"))
+            columns.append(F.col("__clean").alias("text"))
         elif c == "n_chars":
-            columns.append(F.when(hit, F.length(clean)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
+            columns.append(F.when(hit, F.length("__clean")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
         else:
             columns.append(F.col(c))
     return found.select(*columns)
