@@ -9,13 +9,14 @@
    set's prefix. Shingles that only one text has can match nothing and are left out, so most
    texts emit no row.
 4. Texts with identical prefixes and size form a group. Groups meet on prefix
-   shingles; pairs pass length and positional bounds.
+   shingles; pairs pass a length, a positional and a difference bound (shingles that
+   only one text has differ, and so do the bits in which the parity maps of the others differ).
 5. Links are verified on the whole sets. A list of m similar members is not
    expanded into all pairs: first each member of a group is verified against the group's
-   first, then every member of a list against hubs of the list, and after
-   each round members of one component no longer need a link between them. What still lies
-   in different components is compared pair by pair. So every link between
-   components is found, and the components are those of all links.
+   first, then every member of a list against hubs of the list (its least edited
+   member, then others), and after each round members of one component no
+   longer need a link between them. What still lies in different components is compared
+   pair by pair. So every link between components is found, and the components are those of all links.
 
 Defined results: null text, or text without words, has no shingles and is its
 own component; texts of fewer than ``n`` words are one shingle, the whole
@@ -116,7 +117,8 @@ def answer_counts(table: pa.Table) -> pa.Table:
     return pa.table({"bucket": table.column("bucket"), "part": table.column("part"), "ranks": pa.array(out, pa.binary())})
 
 
-SETS = ("rep long, key string, n long, grp long, prefix array<long>, pos array<int>, shared array<long>")
+SETS = "rep long, key string, n long, grp long, prefix array<long>, pos array<int>, shared array<long>, parity array<long>"
+PARITY_BITS = 256
 
 
 def order_sets(texts: pa.Table, answers: pa.Table, n: int, part_bits: int) -> pa.Table:
@@ -158,10 +160,25 @@ def order_sets(texts: pa.Table, answers: pa.Table, n: int, part_bits: int) -> pa
             "prefix": lists(pre_off, pa.array(ho[pick].view(np.int64))),
             "pos": lists(pre_off, pa.array(place[pick].astype(np.int32))),
             "shared": lists(shared_off, pa.array(h[use].view(np.int64))),
+            "parity": lists(np.arange(rows + 1) * (PARITY_BITS // 64), pa.array(parity_maps(doc[use], h[use], rows))),
         }
     )
 
 
+def parity_maps(doc: np.ndarray, h: np.ndarray, rows: int) -> np.ndarray:
+    """Per text the parity of its shingles in PARITY_BITS classes, as 64-bit words: their
+    Hamming distance never exceeds the number of shingles in which two sets differ."""
+    out = np.zeros(rows * (PARITY_BITS // 64), np.int64)
+    step = 4096  # texts at once
+    edges = np.searchsorted(doc, np.arange(0, rows + step, step))
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        first, last = k * step, min(rows, (k + 1) * step)
+        cell = (doc[a:b] - first) * PARITY_BITS + (h[a:b] >> np.uint64(7)).astype(np.int64) % PARITY_BITS
+        odd = (np.bincount(cell, minlength=(last - first) * PARITY_BITS) & 1).astype(np.uint8)
+        out[first * PARITY_BITS // 64 : last * PARITY_BITS // 64] = np.packbits(odd, bitorder="little").view("<i8")
+    return out
+
+
 def rarity_sets(docs: DataFrame, n: int) -> DataFrame:
     """Distinct texts with ordered sets, written to the shared folder."""
     rows = id_text(docs).where("text IS NOT NULL")
@@ -190,10 +207,17 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _possible(x: str, y: str) -> F.Column:
-    """Length and positional bounds: can rows x and y, which share a shingle at these places, reach the likeness?"""
+    """Length, positional and difference bounds: can rows x and y, which share a shingle at these places, reach the likeness?"""
     nx, ny, px, py = (F.col(f"{t}.{c}") for c in ("n", "pos") for t in (x, y))
     most = F.least(px, py) + 1 + F.least(nx - px - 1, ny - py - 1)
-    return (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((NUM + DEN) * most >= NUM * (nx + ny))
+    differ = F.col(f"{x}.alone") + F.col(f"{y}.alone")
+    for w in range(PARITY_BITS // 64):
+        differ = differ + F.bit_count(F.col(f"{x}.parity")[w].bitwiseXOR(F.col(f"{y}.parity")[w]))
+    return (
+        (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny))
+        & ((NUM + DEN) * most >= NUM * (nx + ny))
+        & ((NUM + DEN) * differ <= (DEN - NUM) * (nx + ny))
+    )
 
 
 def _merge(known: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -209,20 +233,21 @@ def _label(lists: DataFrame, comp: DataFrame) -> DataFrame:
     return keep(own.join(mixed, "token"), "lists")
 
 
-def link_components(sets: DataFrame, hub_rounds: int = 3) -> DataFrame:
+def link_components(sets: DataFrame, hub_rounds: int = 2) -> DataFrame:
     """(node, component) of the distinct texts that have a link."""
     active = sets.where(F.size("prefix") > 0)
     groups = active.groupBy("grp", "n").agg(F.min("rep").alias("b"), F.count("*").alias("members")).where("members > 1").drop("members")
     inner = active.select("rep", "grp", "n").join(groups, ["grp", "n"]).where("rep <> b").select(F.col("rep").alias("a"), "b")
     comp = _merge(None, _verified(inner, active))
-    lists = active.select("rep", "n", F.explode(F.arrays_zip("prefix", "pos")).alias("e")).select(
-        F.col("e.prefix").alias("token"), "rep", "n", F.col("e.pos").alias("pos")
-    )
+    alone = F.col("n") - F.size("shared")  # shingles that no other text has
+    members = active.select("rep", "n", alone.alias("alone"), "parity", F.explode(F.arrays_zip("prefix", "pos")).alias("e"))
+    lists = members.select(F.col("e.prefix").alias("token"), "rep", "n", "alone", "parity", F.col("e.pos").alias("pos"))
     lists = _label(lists, comp)
     for k in range(hub_rounds):
-        # the hub of a list: first its smallest id, later one that hashes lowest in that round
-        order = F.struct(F.col("rep")) if not k else F.struct(F.xxhash64("rep", F.lit(k)), F.col("rep"))
-        hubs = lists.groupBy("token").agg(F.min_by(F.struct("rep", "n", "pos", "comp"), order).alias("h")).select("token", "h.*")
+        # the hub of a list: first the member with the smallest share of shingles of its own, later one that hashes lowest in that round
+        order = F.struct(F.col("alone") / F.col("n"), F.col("rep")) if not k else F.struct(F.xxhash64("rep", F.lit(k)), F.col("rep"))
+        hub = F.min_by(F.struct("rep", "n", "alone", "parity", "pos", "comp"), order)
+        hubs = lists.groupBy("token").agg(hub.alias("h")).select("token", "h.*")
         pairs = lists.alias("x").join(hubs.alias("y"), "token").where((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y"))
         pairs = keep(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "pairs")
         if pairs.isEmpty():
