@@ -14,8 +14,8 @@ merge so yields the suffix array of its range with its common prefixes. Two
 anchors share the windows that reach no further than their common prefix to
 the right and their common suffix to the left.
 
-Windows of hot grams (too many different contexts for one task) are exchanged
-one by one as 128-bit hashes instead, merged within each block first.
+Windows of hot grams (too many different contexts for one task) are dealt by
+themselves, as 128-bit hashes: merged within each block, then packed into one row for each receiver.
 
 Defined results: null text is empty; a text shorter than ``length`` keeps all
 bytes; rows with equal doc_id are taken as copies of one document; an empty
@@ -38,9 +38,10 @@ from bandwise.llm.common import id_text, parts, shipped
 RUN_BYTES = 16 << 20  # suffix bytes sorted into one set of runs
 PART_BYTES = 16 << 20  # suffix bytes merged by one receiver
 FEW = 6  # members of a gram that are compared two by two
-RUN, WINDOW = 0, 1
-_HOT = repeats.NAMES[1:]
-SENT = "kind int, part long, run binary, " + repeats.ROWS.split(", ", 1)[1]
+RUN, WINDOWS, DONE = 0, 1, 2
+SENT = "kind int, part long, packed binary, doc_id long, lo int, hi int"
+_SENT = [("kind", pa.int32()), ("part", pa.int64()), ("packed", pa.binary()), ("doc_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())]
+_WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc_id", "<i8"), ("lo", "<i4"), ("many", "<i4")])
 
 
 def common(a: bytes, b: bytes, at: int) -> int:
@@ -237,12 +238,10 @@ def send_batches(batches, length: int, n_parts: int):
         yield _runs(held)
 
 
-def _sent(n: int, kind: int, part, run, rows) -> pa.RecordBatch:
-    types = [pa.int64()] * 3 + [pa.int32()] * 4
-    cols = [pa.array(np.zeros(n, np.int64) if r is None else r, t, safe=False) for r, t in zip(rows, types, strict=True)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind), pa.int32()), pa.array(part, pa.int64()), pa.array(run, pa.binary()), *cols], names=["kind", "part", "run", *_HOT]
-    )
+def _sent(kind: int, part, packed=None, doc_id=None, lo=None, hi=None) -> pa.RecordBatch:
+    n = len(part)
+    cols = [np.full(n, kind), part, packed, doc_id, lo, hi]
+    return pa.RecordBatch.from_arrays([pa.array([None] * n if c is None else c, t) for c, (_, t) in zip(cols, _SENT, strict=True)], names=[k for k, _ in _SENT])
 
 
 def _runs(held: dict[int, list]) -> pa.RecordBatch:
@@ -251,68 +250,79 @@ def _runs(held: dict[int, list]) -> pa.RecordBatch:
     for p in names:
         held[p].sort(key=lambda x: x[0])
         coded.append(encode_run(held[p]))
-    return _sent(len(names), RUN, names, coded, [None] * 7)
+    return _sent(RUN, names, coded)
+
+
+def _repeated(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(windows that stand for each distinct one, with their many mark; all windows that occur more than once)."""
+    w = w[np.lexsort((w["lo"], w["doc_id"], w["two"], w["one"]))]
+    new = np.ones(len(w), bool)
+    new[1:] = (w["one"][1:] != w["one"][:-1]) | (w["two"][1:] != w["two"][:-1])
+    head, cls = np.flatnonzero(new), np.cumsum(new) - 1
+    other = (w["doc_id"] != w["doc_id"][head[cls]]) | (w["lo"] != w["lo"][head[cls]])
+    many = np.bincount(cls, weights=other | (w["many"] > 0)) > 0
+    heads = w[head]
+    heads["many"] = many
+    return heads, w[many[cls]]
+
+
+def _as_runs(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc_id, lo, hi) of the maximal runs of consecutive windows."""
+    w = w[np.lexsort((w["lo"], w["doc_id"]))]
+    new = np.ones(len(w), bool)
+    new[1:] = (w["doc_id"][1:] != w["doc_id"][:-1]) | (w["lo"][1:] > w["lo"][:-1] + 1)
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(w)) - 1 if len(w) else head
+    return w["doc_id"][head], w["lo"][head], w["lo"][last]
 
 
 def _hot_windows(block: tb.Block, doc, lo, hi, length: int, n_parts: int):
-    """One row for each distinct window, and one DONE row for each that the block itself repeats."""
+    """The distinct windows, packed for each receiver, and the runs of those that the block itself repeats."""
     sym = tb._SYMBOL[block.data]
-    one, two = tb.Rolling(sym), tb.second(sym)
     many = hi.astype(np.int64) - lo + 1
     d = np.repeat(doc, many)
     s = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     at = block.bounds[d] + s
-    g = tb.mix(one.raw(at, at + length)).view(np.int64)
-    c = tb.mix(two.raw(at, at + length)).view(np.int64)
-    ids = block.ids[d]
-    order = np.lexsort((s, ids, c, g))
-    g, c, ids, s = g[order], c[order], ids[order], s[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
-    head, cls = np.flatnonzero(new), np.cumsum(new) - 1
-    twice = np.bincount(cls, weights=(ids != ids[head[cls]]) | (s != s[head[cls]])) > 0
-    part = (tb.mix(g[head].view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
-    # HOT: the sorted pass must not wait for a second context of a window's hash
-    flag = np.where(twice, repeats.MANY, 0) | repeats.HOT
-    yield _sent(len(head), WINDOW, part, [None] * len(head), [g[head], c[head], ids[head], s[head], s[head], s[head], flag])
-    k = np.flatnonzero(twice[cls])
-    if len(k):
-        part = (tb.mix(ids[k].view(np.uint64)) % np.uint64(n_parts)).astype(np.int64)
-        done = np.full(len(k), repeats.DONE)
-        yield _sent(len(k), WINDOW, part, [None] * len(k), [None, None, ids[k], s[k], s[k], s[k], done])
+    w = np.zeros(len(at), _WINDOW)
+    w["one"], w["two"] = (tb.mix(r.raw(at, at + length)) for r in (tb.Rolling(sym), tb.second(sym)))
+    w["doc_id"], w["lo"] = block.ids[d], s
+    heads, twice = _repeated(w)
+    part = (tb.mix(heads["one"]) % np.uint64(n_parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    names, first = np.unique(part[order], return_index=True)
+    yield _sent(WINDOWS, names, [x.tobytes() for x in np.split(heads[order], first[1:])])
+    if len(twice):
+        ids, a, b = _as_runs(twice)
+        yield _sent(DONE, (tb.mix(ids.view(np.uint64)) % np.uint64(n_parts)).astype(np.int64), None, ids, a, b)
 
 
 def receive_batches(batches, length: int, gram: int):
-    """Repeated windows of a receiver: its runs come first, part by part, then hashed windows sorted by hash."""
-    part, runs = None, []
-
-    def merged():
-        found = merged_windows(runs, length, gram)
-        cols = list(zip(*found, strict=True)) if found else [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "lo", "hi"])
-
-    def windows():
-        nonlocal part, runs
-        for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            n_runs = int((kind == RUN).sum())
-            for p, r in zip(batch.column("part").to_pylist()[:n_runs], batch.column("run").slice(0, n_runs).to_pylist(), strict=True):
-                if p != part and runs:
-                    ready.append(merged())
-                    runs = []
-                part = p
-                runs.append(r)
-            rest = batch.slice(n_runs).select(_HOT)
-            yield pa.RecordBatch.from_arrays([rest.column("gram"), *rest.columns], names=["route", *_HOT])
-
-    ready: list[pa.RecordBatch] = []
-    for v in repeats.verdict_batches(windows(), keep_first=False):
-        yield from ready
-        ready.clear()
-        yield v.filter(pa.compute.invert(v.column("open"))).select(["doc_id", "lo", "hi"])
-    yield from ready
-    if runs:
-        yield merged()
+    """Repeated windows, part by part: of the merged runs, of the hashed windows, and those known before."""
+    part, runs, packed = None, [], []
+
+    def found() -> Iterator[pa.RecordBatch]:
+        merged = merged_windows(runs, length, gram) if runs else []
+        if merged:
+            yield _windows(*zip(*merged, strict=True))
+        if packed:
+            _, twice = _repeated(np.concatenate([np.frombuffer(x, _WINDOW) for x in packed]))
+            yield _windows(*_as_runs(twice))
+
+    for batch in batches:
+        known = batch.column("kind").to_numpy() == DONE
+        if known.any():
+            yield _windows(*(batch.column(c).to_numpy(zero_copy_only=False)[known] for c in ("doc_id", "lo", "hi")))
+        rest = batch.filter(pa.array(~known))
+        for kind, p, x in zip(*(rest.column(c).to_pylist() for c in ("kind", "part", "packed")), strict=True):
+            if p != part:
+                yield from found()
+                part, runs, packed = p, [], []
+            (runs if kind == RUN else packed).append(x)
+    yield from found()
+
+
+def _windows(doc_id, lo, hi) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t, safe=False) for c, t in zip((doc_id, lo, hi), (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "lo", "hi"])
 
 
 def kept_batches(batches, length: int):
@@ -342,13 +352,14 @@ def dedup(docs: DataFrame, length: int = 400, gram: int = 128) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay) of every document."""
     rows = id_text(docs)
     found = repeats.verdicts(rows, "byte", length, gram, keep_first=False)
-    size = found.where("open AND NOT hot").agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
+    windows = F.col("hi") - F.col("lo") + 1
+    size = found.where("open").agg(F.sum(F.when(F.col("hot"), windows * _WINDOW.itemsize).otherwise(windows + length))).first()[0] or 0
     n = parts(rows)
     n_parts = max(n, -(-size // PART_BYTES))
     by_doc = rows.repartition(n, "doc_id")  # one shuffle of the texts for both joins
     opened = repeats.per_document(found.where("open"), "at", "lo", "hi", "gram", "hot")
     sent = by_doc.join(opened, "doc_id").mapInArrow(shipped(__name__, "send_batches", length=length, n_parts=n_parts), SENT)
-    dealt = sent.repartition(n, "part").sortWithinPartitions("kind", "part", "gram", "context", "doc_id", "lo")
+    dealt = sent.repartition(n, "part").sortWithinPartitions("part", "kind")
     more = dealt.mapInArrow(shipped(__name__, "receive_batches", length=length, gram=gram), "doc_id long, lo int, hi int")
     removed = repeats.per_document(found.where("NOT open").select("doc_id", "lo", "hi").unionByName(more), "lo", "hi")
     return by_doc.join(removed, "doc_id", "left").mapInArrow(
