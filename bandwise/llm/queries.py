@@ -98,4 +98,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from bandwise.llm import oracle
+
+    return dict(oracle.SQL)
