@@ -101,15 +101,16 @@ def fingerprints(docs: DataFrame, n: int = 5, fraction: float = 0.25) -> DataFra
     return id_text(docs).mapInArrow(shipped(__name__, "fingerprint_batches", n=n, fraction=fraction), "doc_id long, fingerprint string")
 
 
-def edited_batches(batches, n: int, fraction: float, rows: int = 1024):
+def edited_batches(batches, n: int, fraction: float, rows: int = 256):
     """Rows come by range, id and text; a range's last row (``extra``) is only the next one of the last document."""
     held: list[tuple] = []  # the last document, which waits for its next one
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("doc_id", "text", "range", "extra")]
-        all_rows = held + list(zip(*cols, strict=True))
-        for at in range(0, len(all_rows) - 1, rows):
-            yield _edited(all_rows[at : at + rows + 1], n, fraction)
-        held = all_rows[-1:]
+        for at in range(0, batch.num_rows, rows):
+            piece = batch.slice(at, rows)
+            held += zip(*(piece.column(c).to_pylist() for c in ("doc_id", "text", "range", "extra")), strict=True)
+            if len(held) > 1:
+                yield _edited(held, n, fraction)
+            held = held[-1:]
 
 
 def _edited(rows: list[tuple], n: int, fraction: float) -> pa.RecordBatch:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 
-BLOCK_BYTES = 4 << 20  # texts of one block; a longer text is a block of its own
+BLOCK_BYTES = 2 << 20  # texts of one block; a longer text is a block of its own
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20260719))
 _SYMBOL = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -50,7 +50,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            m = 1 << (n - 1).bit_length()
+            m = -(-n // (1 << 18)) << 18
             inverse = pow(self.base, -1, 1 << 64)
             for name, b in (("up", self.base), ("down", inverse)):
                 a = np.full(m, b, np.uint64)
