@@ -1,3 +1,4 @@
+import pytest
 from pyspark.ml.feature import SQLTransformer
 
 from bandwise.operators import models as mo
@@ -37,3 +38,22 @@ def test_train_save_load_roundtrip(spark):
     mo.save_two_stage(models, path)
     b = mo.two_stage_score(sales, *mo.load_two_stage(path)).orderBy("SalDate", "BranchCode", "MaterialCode").select("pred_final").collect()
     assert a == b and len(a) == sales.count()
+
+
+def test_fitted_models_beat_a_constant(spark):
+    """A label that the features explain: zero for small x, else a sum of both."""
+    df = spark.range(600).selectExpr("CAST(id % 10 AS DOUBLE) AS x", "CAST(id * 7 % 13 AS DOUBLE) AS y")
+    df = df.selectExpr("*", "CAST(CASE WHEN x < 3 THEN 0 ELSE 5 * x + y END AS INT) AS TotalQtySale")
+    scored = mo.two_stage_score(df, *mo.train_two_stage(df, ["x", "y"]))
+    r = scored.selectExpr("sqrt(avg(pow(pred_final - TotalQtySale, 2))) AS rmse", "stddev_pop(TotalQtySale) AS sd").first()
+    assert r["rmse"] < 0.3 * r["sd"]
+    sells = scored.selectExpr("avg(CASE WHEN (pred_lv1 > 0) = (TotalQtySale > 0) THEN 1 ELSE 0 END) AS hit").first()["hit"]
+    assert sells == 1.0
+
+
+def test_null_features_follow_handle_invalid(spark):
+    df = spark.createDataFrame([(float(i), None if i % 5 == 0 else 1.0, i % 3) for i in range(60)], "x double, y double, TotalQtySale int")
+    params = {"classifier": "dt", "regressor": "dt"}
+    mo.train_two_stage(df, ["x", "y"], handle_invalid="skip", **params)
+    with pytest.raises(Exception, match="null|NULL|assembl"):
+        mo.train_two_stage(df, ["x", "y"], handle_invalid="error", **params)
