@@ -196,7 +196,10 @@ def nearest_station(
         F.col(store_key).alias("_sk"), F.col(store_lat).cast("double").alias("_slat"), F.col(store_lng).cast("double").alias("_slng")
     ).filter(_finite("_slat", "_slng"))
     cols = list(candidates.columns)
-    cands = candidates.filter(_finite(cand_lat, cand_lng)).withColumns({"_la": F.col(cand_lat).cast("double"), "_lo": F.col(cand_lng).cast("double")})
+    # read twice below: the candidates are a dimension, often an aggregate of something larger
+    cands = checkpointed(
+        candidates.filter(_finite(cand_lat, cand_lng)).withColumns({"_la": F.col(cand_lat).cast("double"), "_lo": F.col(cand_lng).cast("double")})
+    )
     # of the candidates at one place only the best k can be reported; the place remembers how many there are
     at_place = Window.partitionBy("_la", "_lo").orderBy(*tie_break)
     best = cands.withColumn("_place", F.row_number().over(at_place)).filter(F.col("_place") <= k)
