@@ -8,11 +8,13 @@ freedom), Wald-Wolfowitz runs about the alphabet's middle, and lag-1 serial
 correlation; Fisher's method combines the three. Random strings have uniform
 p-values, words and paths have tiny ones.
 
-False-discovery control is length-aware: candidates are counted by (encoding,
-length class, p-value bin) over the whole corpus. In each class the share of
-truly random strings follows from the p-values above 1/2, and the smallest p-value
-is taken at which the estimated share of other strings among those reported
-stays within ``q``. That table has at most a few hundred rows.
+False-discovery control is length-aware: distinct candidate strings (copies are
+no independent tests) are counted by (encoding, length class, p-value bin) over
+the whole corpus. In each class the share of truly random strings follows from
+the p-values above 1/2, and the smallest p-value is taken at which the estimated
+share of other strings among those reported stays within ``q``. A class with
+fewer than ``LEAST`` strings above ``FIXED_P`` is too small for that estimate and
+reports what lies above ``FIXED_P``. That table has at most a few thousand rows.
 
 Positions count code points, end exclusive. Defined results: null text counts
 as empty; an empty text has no spans; repeated rows give repeated rows; extra
@@ -47,6 +49,9 @@ ALPHABETS = {
 CELLS = 5
 BLOCK = 256  # matches added up at once
 LOG_BINS = 48  # p-value bins, four for each power of ten
+FIXED_BIN = 7  # last bin above FIXED_P
+FIXED_P = 0.01  # one random string in a hundred has a smaller p-value
+LEAST = 5  # this many random strings have none above 1/2 with a chance of 1/32
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -197,6 +202,7 @@ def scan(docs: DataFrame, carried: list[str]) -> DataFrame:
                 s["enc"].alias("enc"),
                 length_class(s["x"]["end"] - s["x"]["start"]).alias("len_class"),
                 randomness(s["x"]["m"], s["enc"]).alias("p"),
+                F.xxhash64(s["x"]["m"]).alias("string"),
             ),
         )
 
@@ -210,8 +216,9 @@ def p_bin(p: Column) -> Column:
 
 def thresholds(scanned: DataFrame, q: float) -> dict[tuple[str, int], int]:
     """The last p-value bin that is reported in each (encoding, length class)."""
-    each = scanned.select(F.explode("candidates").alias("c")).select("c.enc", "c.len_class", "c.p")
-    counts = each.groupBy("enc", "len_class", p_bin(F.col("p")).alias("bin")).agg(
+    each = scanned.select(F.explode("candidates").alias("c")).select("c.*")
+    strings = each.groupBy("enc", "len_class", "string").agg(F.max("p").alias("p"))  # copies have equal p
+    counts = strings.groupBy("enc", "len_class", p_bin(F.col("p")).alias("bin")).agg(
         F.count("*").alias("n"), F.count(F.when(F.col("p") > 0.5, 1)).alias("upper")
     )
     classes: dict[tuple[str, int], dict[int, tuple[int, int]]] = {}
@@ -219,6 +226,9 @@ def thresholds(scanned: DataFrame, q: float) -> dict[tuple[str, int], int]:
         classes.setdefault((r.enc, r.len_class), {})[r.bin] = (r.n, r.upper)
     out = {}
     for key, bins in classes.items():
+        if sum(n for b, (n, _) in bins.items() if b <= FIXED_BIN) < LEAST:
+            out[key] = FIXED_BIN
+            continue
         random = 2 * sum(u for _, u in bins.values())  # uniform: twice those above one half
         reported, best = 0, None
         for b in range(LOG_BINS):

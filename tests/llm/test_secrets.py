@@ -86,6 +86,38 @@ def test_random_strings_are_reported_and_words_are_not(make_docs):
     assert sum(i % 3 == 0 for i in hit) >= 36 and sum(i % 3 != 0 for i in hit) <= 2
 
 
+def token(rng, low, high, n=32):
+    """A base62 string with a p-value between low and high."""
+    while True:
+        m = "".join(rng.choices(secrets.ALPHABETS["base62"], k=n))
+        if not m.isdigit() and low < reference_p(m, secrets.ALPHABETS["base62"]) <= high:
+            return m
+
+
+def hits(docs):
+    return {i for i, spans in spans_of(docs).items() if any(s.kind == "random" for s in spans)}
+
+
+def test_copies_are_one_test(make_docs):
+    rng = random.Random(7)
+    shared, words = token(rng, 0.6, 1), [f"{w}{x}keitlichenlichkeit" for w in ("gelicheinkeit", "berheitschaft", "verlichenheit") for x in ("ab", "eb", "in", "er")]
+    docs = [(i, f"x {shared} y") for i in range(40)] + [(100 + i, f"x {w} y") for i, w in enumerate(words)]
+    assert hits(make_docs(docs)) == set(range(40))
+    # a copied string that stays below 1/2 does not hide the others of its class
+    middle = token(rng, 0.3, 0.31)
+    secret = [token(rng, k / 40, k / 40 + 0.025) for k in range(1, 40)]
+    docs = [(i, f"x {middle} y") for i in range(200)] + [(1000 + i, f"x {m} y") for i, m in enumerate(secret)]
+    assert set(range(1000, 1039)) <= hits(make_docs(docs))
+
+
+@pytest.mark.parametrize("low", [0.02, 0.2, 0.6])
+def test_classes_with_few_strings(make_docs, low):
+    rng = random.Random(8)
+    docs = [(i, f"x {token(rng, low, low + 0.2, n)} y") for i, n in enumerate((32, 32, 120))]
+    docs += [(10 + i, f"x {w} y") for i, w in enumerate(("gelicheinkeitabkeitlichenlichkeit", "path/to/some/long/file-name_here"))]
+    assert hits(make_docs(docs)) == {0, 1, 2}
+
+
 def test_redaction(spark):
     rows = spark.createDataFrame([("a secret b", [(2, 8)]), ("x", []), ("abcdef", [(0, 3), (1, 2), (2, 4)]), ("ab", [(0, 2)])], "text string, spans array<struct<start:int,end:int>>")
     assert [r.t for r in rows.select(secrets.redacted(F.col("text"), F.col("spans")).alias("t")).collect()] == ["a <secret> b", "x", "<secret>ef", "<secret>"]
