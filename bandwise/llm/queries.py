@@ -14,10 +14,13 @@ from bandwise.llm.common import table
 def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every document: its own, or that of the nearest directory above it.
 
-    The table has no paths; they are source / thousands / tens / doc_id.
+    The table has no paths; they are source / thousands / tens / doc_id. A tenth of the documents (by a
+    hash of the id) lie one directory higher, and a thousandth in that of their source.
     """
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.expr("doc_id div 1000"), F.expr("doc_id div 10"), F.col("doc_id"))
+    place = F.pmod(F.xxhash64(F.lit("path"), "doc_id"), F.lit(1000))
+    thousands, tens = F.when(place > 0, F.expr("doc_id div 1000")), F.when(place % 10 > 0, F.expr("doc_id div 10"))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), thousands, tens, F.col("doc_id"))
     return licenses.license_scan(docs.select("doc_id", "text", path.alias("path")))
 
 
