@@ -1,13 +1,16 @@
 """Licence scans against plain TF-IDF."""
 
 import math
+import random
 import re
+import textwrap
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from bandwise.llm import licenses
+from bandwise.llm import licenses, queries
 from tests.llm.test_decontaminate import words
 
 SCHEMA = "doc_id long, path string, text string, license string, unit int"  # also clashing names
@@ -93,3 +96,67 @@ def test_edges(spark):
 def test_templates_match_themselves(spark, k):
     files = [(i, f"d{i}/f", t) for i, t in enumerate(licenses.TEMPLATES[k])]
     assert {v[0] for v in got(spark, files).values()} == {k}
+
+
+def wrapped(text, mark="# ", width=72):
+    return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+
+FULL = sorted(p.stem for p in (Path(licenses.__file__).parent / "license_texts").glob("*.txt"))
+
+
+def prose(n):
+    rng = random.Random(n)
+    words_ = ["".join(rng.choices("aeiounrst", k=6)) for _ in range(300)]
+    return [(10000 + i, f"z/{i}/f", "\n".join(" ".join(rng.choices(words_, k=9)) for _ in range(10))) for i in range(n)]
+
+
+def test_full_texts(spark):
+    texts = {k: licenses.TEMPLATES[k][-1].replace("<year>", "2021").replace("<owner>", "Some Person").replace("<copyright holders>", "Some Person") for k in FULL}
+    assert len(texts) == 14
+    files = [(i, f"d{i}/LICENSE", "Copyright (c) 2021 Some Person\n\n" + texts[k]) for i, k in enumerate(FULL)] + prose(200)
+    have = got(spark, files)
+    assert {k: have[i][0] for i, k in enumerate(FULL)} == {k: k for k in FULL}
+
+
+def test_wrapped_headers(spark):
+    code = "\n".join(f"value_{i} = compute_{i}(argument_{i})" for i in range(60))
+    wanted, files = {}, []
+    for k in licenses.TEMPLATES:
+        for t in licenses.TEMPLATES[k]:
+            if 12 <= len(t.split()) <= 230 and "conditions are met" not in t[-30:]:
+                i = len(files)
+                wanted[i] = k
+                files.append((i, f"d{i}/x.py", "#!/bin/python\n# Copyright 2021 Some Person\n#\n" + wrapped(t) + "\n\n" + code))
+    have = got(spark, files + prose(200))
+    assert {i: have[i][0] for i in wanted} == wanted
+
+
+def test_versions_and_relatives(spark):
+    lines = {
+        "GPL-2.0": "GNU General Public License, version 2", "CC-BY-4.0": "Licensed under CC BY 4.0.", "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+        "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    }
+    files = [(i, f"d{i}/x", f"text of it\n{t}\nmore of it") for i, t in enumerate(lines.values())]
+    have = got(spark, files + prose(50))
+    assert [have[i][0] for i in range(len(lines))] == list(lines)
+
+
+def test_query_inherits_over_levels(spark, make_docs, tmp_path):
+    def scanned(texts, name):
+        make_docs(texts).write.parquet(str(tmp_path / name / "documents.parquet"))
+        return queries.op1_license_scans(spark, str(tmp_path / name)).collect()
+
+    plain = "just words of the text"
+    path = {r.doc_id: r.path.split("/") for r in scanned([plain] * 4000, "plain")}
+    # licensed: the files of the source's directory, those of one directory below it, and some of the lowest
+    licensed = {i for i, p in path.items() if len(p) == 2 or (len(p) == 3 and p[1] == "1") or i % 70 == 0 and len(p) == 4}
+    rows = scanned(["Released under the MIT License." if i in licensed else plain for i in range(4000)], "licensed")
+    assert {r.doc_id for r in rows if r.license == "MIT"} == licensed
+    declared = {r.path.rsplit("/", 1)[0] for r in rows if r.license}
+    for r in rows:
+        parts = r.path.split("/")
+        above = next((d for d in ("/".join(parts[:n]) for n in range(len(parts) - 1, 0, -1)) if d in declared), None)
+        assert (r.effective, r.inherited_from) == (("MIT", None) if r.license else (above and "MIT", above))
+    assert {r.path.count("/") for r in rows} == {1, 2, 3}
+    assert {r.path.count("/") - 1 - r.inherited_from.count("/") for r in rows if r.inherited_from} == {0, 1, 2}
