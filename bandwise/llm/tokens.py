@@ -19,20 +19,27 @@ PROBE = 2000  # chunks given to the tokenizer at once
 
 
 class ChunkTokenizer:
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = plain_specials  # True: their strings in a text are ordinary text
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint64)  # a second hash of the same chunk
         self.start = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.int32)
 
-    def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
+    @staticmethod
+    def hashes(symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = (end - start).astype(np.uint64)
+        return tb.mix(tb.Rolling(symbols).raw(start, end) + size), tb.mix(tb.second(symbols).raw(start, end) + size)
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, chunks: list[str]) -> None:
         if len(self.keys) and len(self.keys) + len(keys) > CACHE_CHUNKS:
             self.clear()
         ids: list[list[int]] = []
@@ -44,6 +51,7 @@ class ChunkTokenizer:
         all_keys = np.concatenate([self.keys, keys])
         order = np.argsort(all_keys, kind="stable")
         self.keys = all_keys[order]
+        self.checks = np.concatenate([self.checks, checks])[order]
         self.start = np.concatenate([self.start, start])[order]
         self.count = np.concatenate([self.count, count])[order]
         self.flat = np.concatenate([self.flat, flat])
@@ -54,8 +62,7 @@ class ChunkTokenizer:
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(len(block.ids) + 1, np.int64)
         symbols = tb._SYMBOL[block.data]
-        size = (end - start).astype(np.uint64)
-        key = tb.mix(tb.Rolling(symbols).raw(start, end) + size)
+        key, check = self.hashes(symbols, start, end)
         distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, distinct)
         known = at < len(self.keys)
@@ -67,13 +74,24 @@ class ChunkTokenizer:
             new = np.flatnonzero(~known)
             raw = block.data.tobytes()
             s, e = start[first[new]].tolist(), end[first[new]].tolist()
-            self._learn(distinct[new], [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(s, e, strict=True)])
+            self._learn(distinct[new], check[first[new]], [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(s, e, strict=True)])
             at = np.searchsorted(self.keys, distinct)
         each_start, each_count = self.start[at][back], self.count[at][back].astype(np.int64)
         stop = np.cumsum(each_count)
         ids = self.flat[np.repeat(each_start - (stop - each_count), each_count) + np.arange(int(stop[-1]))]
         chunk_of = np.searchsorted(start, block.bounds)
-        return ids, np.concatenate([[0], stop])[chunk_of]
+        off = np.concatenate([[0], stop])[chunk_of]
+        if (self.checks[at][back] != check).any():  # two chunks with one key
+            return self._apart(block, ids, off, chunk_of, self.checks[at][back] != check)
+        return ids, off
+
+    def _apart(self, block: tb.Block, ids: np.ndarray, off: np.ndarray, chunk_of: np.ndarray, wrong: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts with a chunk that the cache takes for another one are tokenised whole."""
+        bad = np.diff(np.concatenate([[0], np.cumsum(wrong)])[chunk_of]) > 0
+        own = [ids[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+        for i in np.flatnonzero(bad):
+            own[i] = np.array(self.tok.encode(block.text(i).decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, np.int32)
+        return np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])])
 
 
 def cuts(block: tb.Block) -> tuple[np.ndarray, np.ndarray]:
@@ -104,10 +122,10 @@ def cuts(block: tb.Block) -> tuple[np.ndarray, np.ndarray]:
     return start, end
 
 
-_CACHE: dict[str, ChunkTokenizer] = {}
+_CACHE: dict[tuple[str, bool], ChunkTokenizer] = {}
 
 
-def tokenizer(path: str) -> ChunkTokenizer:
-    if path not in _CACHE:
-        _CACHE[path] = ChunkTokenizer(path)
-    return _CACHE[path]
+def tokenizer(path: str, plain_specials: bool = False) -> ChunkTokenizer:
+    if (path, plain_specials) not in _CACHE:
+        _CACHE[path, plain_specials] = ChunkTokenizer(path, plain_specials)
+    return _CACHE[path, plain_specials]
