@@ -55,9 +55,38 @@ e AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
 reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON e.x = reach.other)
 SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, MIN(other) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
+# crc32 (reflected polynomial 0xEDB88320) of the decimal digits, byte by byte and bit by bit
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(x)::BIGINT FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0::BIGINT FOR x IN range(8)]),
+    lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT)"""
+
+PREFIX_TRIE = f"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i,
+             sha256(length(role) || ':' || role || text) AS turn, len(regexp_extract_all(text, '{_SPACE_WORDS}')) AS words FROM r),
+c AS (SELECT conv_id, {_CRC32} % 4 AS h, conv_id - conv_id % 20 AS head FROM (SELECT DISTINCT conv_id FROM r)),
+built AS (SELECT c.conv_id, i, turn, words FROM c JOIN t ON t.conv_id = c.head AND i < h
+          UNION ALL SELECT c.conv_id, i, turn, words FROM c JOIN t USING (conv_id) WHERE i >= h),
+seq AS (SELECT c.conv_id, coalesce(s, []) AS s, coalesce(w, []) AS w
+        FROM c LEFT JOIN (SELECT conv_id, list(turn ORDER BY i) AS s, list(words ORDER BY i) AS w FROM built GROUP BY conv_id) USING (conv_id)),
+p AS (SELECT conv_id, s, w, unnest(range(0, len(s) + 1)) AS d FROM seq),
+n AS (SELECT array_to_string(s[1:d], ',') AS node, d, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs, any_value(s[1:d]) AS path,
+             any_value(CASE WHEN d = 0 THEN 0 ELSE w[d] END) AS words,
+             coalesce(string_agg(CASE WHEN len(s) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+      FROM p GROUP BY 1, 2),
+kids AS (SELECT array_to_string(path[1:d - 1], ',') AS node, d - 1 AS d, COUNT(*) AS n FROM n WHERE d > 0 GROUP BY 1, 2),
+own AS (SELECT n.*, coalesce(kids.n, 0) AS n_children FROM n LEFT JOIN kids USING (node, d)),
+up AS (SELECT unnest(range(0, d + 1)) AS d, path, n_children, (n_convs - 1) * words AS saved FROM own),
+sums AS (SELECT array_to_string(path[1:d], ',') AS node, d, SUM(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, SUM(saved) AS saved
+         FROM up GROUP BY 1, 2)
+SELECT own.conv_id, own.d AS depth, above.conv_id AS parent_conv_id, own.n_convs, own.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(own.ends) AS ends_sha256
+FROM own JOIN sums USING (node, d) LEFT JOIN n above ON above.d = own.d - 1 AND above.node = array_to_string(own.path[1:own.d - 1], ',')"""
+
 SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op7_chat_formatting": CHAT,
     "op10_ngram_jaccard_join": NGRAM_JOIN,
+    "op13_conversation_prefix_trie": PREFIX_TRIE,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bandwise.llm import chat, decontaminate, fingerprints, langid, licenses, ngram_join, packing, secrets, suffix_merge, suffix_trees
+from bandwise.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    fingerprints,
+    langid,
+    licenses,
+    ngram_join,
+    packing,
+    prefix_trie,
+    quality,
+    secrets,
+    suffix_merge,
+    suffix_trees,
+)
 from bandwise.llm.common import table
 
 
@@ -96,6 +110,21 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=5)
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of a byte-level BPE and a sentencepiece BPE aligned over every document, with corpus counts of linked ids."""
+    return alignment.link_scores(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of base rules and n-gram likelihood ratio on every document."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations (families of 20 share first turns)."""
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"), family=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
