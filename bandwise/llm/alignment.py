@@ -35,6 +35,7 @@ from bandwise.llm import textblocks as tb
 from bandwise.llm.common import id_text, keep, shipped, shipped_cogroup
 from bandwise.llm.tokens import ChunkTokenizer, tokenizer
 
+TEXT = 1 << 19  # bytes of text aligned together; a longer text is aligned alone
 SLICE = 1 << 20  # tokens of one side aligned at once
 FEED = 1 << 20  # characters given to side b at once, up to the next safe blank
 BLOCK = 8 << 20  # bytes of text that ask for pair counts together
@@ -264,7 +265,7 @@ def aligned_batches(batches, a_path: str, b_path: str):
     a_side, b_side = sides(a_path, b_path)
     task = TaskContext.get()
     block_id, seen = (task.partitionId() if task else 0) << 32, 0
-    for block in tb.blocks(batches):
+    for block in tb.blocks(batches, limit=TEXT):
         if seen + len(block.data) > BLOCK and seen:
             block_id, seen = block_id + 1, 0
         seen += len(block.data)
@@ -313,7 +314,7 @@ ALIGNED = (
 def spelled_batches(batches, a_path: str, b_path: str):
     """Per document the tokens, their groups and the overlaps as lists (the general interface)."""
     a_side, b_side = sides(a_path, b_path)
-    for block in tb.blocks(batches):
+    for block in tb.blocks(batches, limit=TEXT):
         rows = [{"doc_id": int(d), "a_ids": [], "b_ids": [], "a_group": [], "b_group": [], "overlaps": []} for d in block.ids]
         for a, b in slices(*token_sides(block, a_side, b_side)):
             g = align(a, b)
