@@ -7,8 +7,9 @@ of one count per cell: a cell without evidence has a ratio near 0. A document's
 the mean ratio of its n-grams, so long and short documents compare; every document is judged by the
 same ``threshold`` (no sampling, no noise).
 
-Cost: one pass counts (at most ``buckets`` rows per task are shuffled; the labels are an unhinted join by doc_id),
-one narrow pass scores. The ratios are one array of ``buckets`` doubles, whatever the input's size.
+The raw counts cover every document. The target is fitted on at most ``target_docs`` trusted documents (those
+whose ids hash lowest), so their ids may be broadcast and no text is shuffled. One narrow pass counts
+(a task sends at most ``buckets`` rows), one scores; the ratios are one array of ``buckets`` doubles.
 
 Defined results: null or empty text has no words, score 0 and fails the base rules; without
 any trusted document all ratios are 0 and only the base rules decide; a document whose labels differ is trusted
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 from bandwise.llm.common import id_text
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
+TARGET_DOCS = 100_000  # most labelled documents the target is fitted on
 BUCKETS = 1 << 14
 THRESHOLD = -0.1  # mean log ratio per n-gram, in nats
 MIN_WORDS, MAX_REPEATED = 20, 30  # words; per cent
@@ -50,8 +51,19 @@ def _shared(entries: Column) -> Column:
     return F.filter(entries, lambda x, j: same(x, j - 1) | same(x, j + 1))
 
 
-def repeated_words(words: Column) -> Column:
-    """Words that lie in a window of WINDOW words found twice or more in the list.
+def hashed(words: Column) -> Column:
+    """A 64-bit hash of every word."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def joined(hashes: Column, distance: int) -> Column:
+    """Hash of every entry together with the one ``distance`` behind it."""
+    n = F.greatest(F.size(hashes) - distance, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 1 + distance, n), lambda a, b: F.xxhash64(a, b))
+
+
+def repeated_words(words: Column, pairs: Column) -> Column:
+    """Words that lie in a window of 8 words found twice or more in the list; ``pairs`` are ``joined(hashed(words), 1)``.
 
     Window hashes find the candidates; those are compared as strings.
     """
@@ -72,42 +84,42 @@ def repeated_words(words: Column) -> Column:
         many = _let(entries, lambda s: _let(_shared(s), exact))
         return F.when(F.size(F.array_distinct(keys)) < F.size(keys), many).otherwise(F.lit(0).cast("long"))
 
-    def windows(hashes: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(hashes) - WINDOW)
-        return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)]))
-
-    found = _let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _let(windows(h), judged))
-    return F.when(F.size(words) > WINDOW, found).otherwise(F.lit(0).cast("long"))
+    windows = _let(pairs, lambda two: _let(joined(two, 2), lambda four: _let(joined(four, 4), judged)))
+    return F.when(F.size(words) > WINDOW, windows).otherwise(F.lit(0).cast("long"))
 
 
 def duplicate_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
     return _let(lines, lambda s: (F.size(s) - F.size(F.array_distinct(s))).cast("long"))
 
 
-def grams(words: Column, buckets: int) -> Column:
-    """Cells (from 0) of all unigrams, then of all bigrams."""
+def cell(gram: Column, buckets: int) -> Column:
+    """The cell (from 0) of a hashed unigram or bigram."""
+    return F.pmod(gram, F.lit(buckets)).cast("int")
 
-    def cell(*parts: Column) -> Column:
-        return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
-    one = F.transform(words, lambda w: cell(w))
-    two = F.transform(words, lambda w, i: F.when(i > 0, cell(F.get(words, i - 1), w)))
-    return F.concat(one, F.slice(two, 2, F.greatest(F.size(words) - 1, F.lit(0))))
+def with_grams(docs: DataFrame, *columns: str) -> DataFrame:
+    """doc_id, text (null: empty), words, their hashes (ones), those of adjacent words (twos), and ``columns``."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *columns)
+    rows = rows.select("*", word_list(F.col("text")).alias("words"))
+    rows = rows.select("*", hashed(F.col("words")).alias("ones"))
+    return rows.select("*", joined(F.col("ones"), 1).alias("twos"))
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """doc_id of the documents that every label calls good and none toxic."""
+def trusted_ids(labels: DataFrame, most: int) -> DataFrame:
+    """doc_id of the documents that every label calls good and none toxic; of more than ``most`` those that hash lowest."""
     rows = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    good = F.min(F.coalesce("quality", F.lit(0))) == 1
-    return rows.agg((good & (F.max(F.coalesce("toxic", F.lit(0))) == 0)).alias("trusted")).where("trusted")
+    good = (F.min(F.coalesce("quality", F.lit(0))) == 1) & (F.max(F.coalesce("toxic", F.lit(0))) == 0)
+    rows = rows.agg(good.alias("trusted")).where("trusted")
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def cell_counts(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def cell_counts(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, target_docs: int = TARGET_DOCS) -> DataFrame:
     """(cell, raw, target): n-grams of all documents and of the trusted ones in every cell, 0 where there are none."""
-    rows = id_text(docs).join(trusted_ids(labels), "doc_id", "left").select("trusted", word_list(F.coalesce("text", F.lit(""))).alias("words"))
-    cells = rows.select("trusted", F.explode(grams(F.col("words"), buckets)).alias("cell"))
+    trusted = F.broadcast(trusted_ids(labels, target_docs))  # at most ``target_docs`` ids
+    rows = with_grams(id_text(docs).join(trusted, "doc_id", "left"), "trusted")
+    cells = rows.select("trusted", F.explode(F.concat("ones", "twos")).alias("gram")).select("trusted", cell(F.col("gram"), buckets).alias("cell"))
     counts = cells.groupBy("cell").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("cell"))
     return every.join(counts, "cell", "left").select("cell", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("raw", "target")))
@@ -131,33 +143,33 @@ def ratio_array(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return rows.select(_let(F.col("cells"), lambda c: ratios(c, F.col("raw"), F.col("target"))).alias("ratios"))
 
 
-def mean_ratio(words: Column, ratios: Column, buckets: int) -> Column:
+def mean_ratio(words: Column, ones: Column, twos: Column, ratios: Column, buckets: int) -> Column:
     """Mean log ratio of a text's n-grams; 0 for a text without words."""
-    summed = F.aggregate(grams(words, buckets), F.lit(0.0), lambda s, cell: s + F.element_at(ratios, cell + 1))
-    return F.when(F.size(words) > 0, summed / (2 * F.size(words) - 1)).otherwise(F.lit(0.0))
 
+    def summed(grams: Column) -> Column:
+        return F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.element_at(ratios, cell(g, buckets) + 1))
+
+    return F.when(F.size(words) > 0, (summed(ones) + summed(twos)) / (F.size(ones) + F.size(twos))).otherwise(F.lit(0.0))
 
-def base_counts(text: Column, words: Column) -> list[Column]:
-    def missing(chars: str) -> Column:
-        return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
 
+def base_counts(text: Column, words: Column, twos: Column) -> list[Column]:
     return [
         F.size(words).cast("long").alias("n_words"),
-        F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
-        missing(SYMBOLS).alias("n_symbols"),
+        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         duplicate_lines(text).alias("n_dup_lines"),
-        repeated_words(words).alias("n_repeat_words"),
+        repeated_words(words, twos).alias("n_repeat_words"),
     ]
 
 
-def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD, target_docs: int = TARGET_DOCS) -> DataFrame:
     """Base counts, base_failed, score (mean log ratio per n-gram) and kept of every document."""
-    known = ratio_array(cell_counts(docs, labels, buckets), buckets).first()["ratios"]  # ``buckets`` doubles
+    known = ratio_array(cell_counts(docs, labels, buckets, target_docs), buckets).first()["ratios"]  # ``buckets`` doubles
     # folded to one array literal; a scalar subquery may not stand inside a higher-order function
     ratios = F.split(F.lit(",".join(map(repr, known))), ",").cast("array<double>")
-    rows = id_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", word_list(F.col("text")).alias("words"))
-    rows = rows.select("doc_id", *base_counts(F.col("text"), F.col("words")), mean_ratio(F.col("words"), ratios, buckets).alias("score"))
+    words, ones, twos = F.col("words"), F.col("ones"), F.col("twos")
+    score = mean_ratio(words, ones, twos, ratios, buckets).alias("score")
+    rows = with_grams(id_text(docs)).select("doc_id", *base_counts(F.col("text"), words, twos), score)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))

@@ -39,7 +39,8 @@ def test_base_counts(spark, make_docs, sample):
 
 
 def cells(spark, text, buckets):
-    return spark.range(1).select(F.explode(q.grams(q.word_list(F.lit(text)), buckets)).alias("c")).toPandas()["c"].tolist()
+    row = q.with_grams(spark.createDataFrame([(0, text)], "doc_id long, text string"))
+    return [r.c for r in row.select(F.explode(F.concat("ones", "twos")).alias("g")).select(q.cell(F.col("g"), buckets).alias("c")).collect()]
 
 
 def test_scores_are_mean_log_ratios(spark, make_docs):
@@ -60,6 +61,7 @@ def test_scores_are_mean_log_ratios(spark, make_docs):
         assert len(own[r.doc_id]) == max(0, 2 * r.n_words - 1) and r.score == pytest.approx(want, abs=1e-12)
     got = {r.cell: (r.raw, r.target) for r in q.cell_counts(docs, labels, buckets).collect()}
     assert got == {c: (raw[c], target[c]) for c in range(buckets)}
+    assert {r.doc_id for r in q.trusted_ids(labels, 10).collect()} == {1, 2, 99} and q.trusted_ids(labels, 2).count() == 2
 
 
 def test_labelled_documents_left_out_of_the_target(spark):
