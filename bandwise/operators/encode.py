@@ -1,58 +1,27 @@
-"""Categorical encoders: label index tables and one-hot vectors.
+"""Categorical encoders in one call: fit a label dictionary on the frame and encode the same frame.
 
-The label index (frequency descending, ties alphabetical, as StringIndexer
-orders labels) is a distributed table: one count per label, range-sorted, numbered
-with per-partition offsets, and joined to the rows. No label domain goes to
-the driver, so a domain that grows with the data is fine. Vectors are sparse.
+To encode other rows with the same indexes later, keep the fitted model: ``fit_one_hot`` returns it, and
+``operators.labels`` can save, load and extend it. No label domain goes to the driver; vectors are sparse.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwise.session import checkpointed
-
-_IN_PARTITION = (1 << 33) - 1  # monotonically_increasing_id: partition number above, row number in the lower 33 bits
-
-
-def label_index(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """((label, idx): every label of ``column`` as text, numbered from 0.0; how many labels there are)."""
-    counts = df.select(F.col(column).cast("string").alias("label")).where("label IS NOT NULL").groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
-    place = F.monotonically_increasing_id()
-    ranged = checkpointed(counts.orderBy(F.desc("_n"), "label").select("label", F.shiftright(place, 33).alias("_p"), place.bitwiseAND(F.lit(_IN_PARTITION)).alias("_i")))
-    sizes = {r["_p"]: r["n"] for r in ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per partition
-    offsets, total = [], 0
-    for p in sorted(sizes):
-        offsets += [F.lit(p), F.lit(total)]
-        total += sizes[p]
-    before = F.element_at(F.create_map(*offsets), F.col("_p")) if offsets else F.lit(0)
-    return ranged.select("label", (F.col("_i") + before).cast("double").alias("idx")), total
+from bandwise.operators.labels import LabelEncoder, LabelEncoderModel
 
 
 def string_index(df: DataFrame, input_col: str = "Tier", output_col: str = "tier_vec", handle_invalid: str = "error") -> DataFrame:
     """Scalar label index of ``input_col``. NULL is an error, dropped (``skip``) or the last index (``keep``)."""
-    if handle_invalid not in ("error", "skip", "keep"):
-        raise ValueError(f"handle_invalid: {handle_invalid}")
-    table, n_labels = label_index(df, input_col)
-    labels = table.select(F.col("label").alias("_label"), F.col("idx").alias("_idx"))
-    joined = df.join(labels, df[input_col].cast("string") == F.col("_label"), "inner" if handle_invalid == "skip" else "left")
-    idx = F.col("_idx")
-    if handle_invalid == "keep":
-        idx = F.coalesce(idx, F.lit(float(n_labels)))
-    elif handle_invalid == "error":
-        idx = F.when(df[input_col].isNull(), F.raise_error(F.lit(f"NULL label in {input_col}"))).otherwise(idx)
-    return joined.select(*[df[c] for c in df.columns], idx.cast("double").alias(output_col))
+    return LabelEncoder(inputCols=[input_col], outputCols=[output_col], handleInvalid=handle_invalid).fit(df).transform(df)
 
 
 def string_index_multi(df: DataFrame, columns: Sequence[str], suffix: str = "_NUMERIC", handle_invalid: str = "error") -> DataFrame:
-    """``<c>_NUMERIC`` for every column."""
-    for c in columns:
-        df = string_index(df, c, c + suffix, handle_invalid)
-    return df
+    """``<c>_NUMERIC`` for every column; the labels of all are counted in one pass."""
+    return LabelEncoder(inputCols=list(columns), outputCols=[c + suffix for c in columns], handleInvalid=handle_invalid).fit(df).transform(df)
 
 
 def one_hot(df: DataFrame, input_col: str, prefix: str | None = None, handle_invalid: str = "error") -> DataFrame:
@@ -61,12 +30,17 @@ def one_hot(df: DataFrame, input_col: str, prefix: str | None = None, handle_inv
 
 
 def one_hot_many(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error", prefixes: dict[str, str] | None = None) -> DataFrame:
-    """``<c>_idx`` and ``<c>_vec`` for several columns; one encoder fit for all of them."""
-    names = {c: (prefixes or {}).get(c, c) for c in columns}
-    for c, p in names.items():
-        df = string_index(df, c, f"{p}_idx", handle_invalid)
-    encoder = OneHotEncoder(inputCols=[f"{p}_idx" for p in names.values()], outputCols=[f"{p}_vec" for p in names.values()], dropLast=False)
-    return encoder.fit(df).transform(df)
+    """``<c>_idx`` and ``<c>_vec`` for several columns."""
+    return fit_one_hot(df, columns, handle_invalid, prefixes).transform(df)
+
+
+def fit_one_hot(df: DataFrame, columns: Sequence[str], handle_invalid: str = "error", prefixes: dict[str, str] | None = None) -> LabelEncoderModel:
+    """The fitted encoder of ``one_hot_many``, for other rows."""
+    names = [(prefixes or {}).get(c, c) for c in columns]
+    encoder = LabelEncoder(
+        inputCols=list(columns), outputCols=[f"{p}_idx" for p in names], vectorCols=[f"{p}_vec" for p in names], handleInvalid=handle_invalid
+    )
+    return encoder.fit(df)
 
 
 def one_hot_size(vec: Column) -> Column:

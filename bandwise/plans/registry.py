@@ -20,6 +20,7 @@ from bandwise.operators import clean as cl
 from bandwise.operators import encode as enc
 from bandwise.operators import enrich as en
 from bandwise.operators import evaluate as ev
+from bandwise.operators import labels as lb
 from bandwise.operators import models as mo
 from bandwise.operators import profile as pr
 from bandwise.operators import sampling as sa
@@ -1016,6 +1017,70 @@ def q_string_index_multi(spark, sf):
     return df.select(*KEY, "Holiday", "HolidayType", "Holiday_NUMERIC", "HolidayType_NUMERIC")
 
 
+_DICT_COLS = ["ProvinceEN", "DistrictEN", "ZipCode", "promotion"]
+_KEY_HASH = "substr(md5(concat_ws('|', CAST(SalDate AS VARCHAR), CAST(BranchCode AS VARCHAR), CAST(MaterialCode AS VARCHAR), '42')), 1, 8)"
+
+
+def _dictionary_sql() -> str:
+    cells = " UNION ALL ".join(f"SELECT half, '{c}' AS col, CAST({c} AS VARCHAR) AS label FROM halves" for c in _DICT_COLS)
+    return f"""halves AS (SELECT *, CASE WHEN {_KEY_HASH} < '{sa.threshold_hex(0.02)}' THEN 'sample' ELSE 'rest' END AS half FROM categories),
+cells AS ({cells}),
+lab AS (SELECT col, label, CAST(row_number() OVER (PARTITION BY col ORDER BY COUNT(*) DESC, label) - 1 AS INTEGER) AS idx
+        FROM cells WHERE half = 'sample' AND label IS NOT NULL GROUP BY 1, 2),
+size AS (SELECT col, CAST(COUNT(*) AS INTEGER) AS n FROM lab GROUP BY 1)
+SELECT half, c.col AS col, c.label AS label, COALESCE(lab.idx, s.n) AS idx, s.n + 1 AS vec_size, COUNT(*) AS n_rows
+FROM cells c JOIN size s ON s.col = c.col LEFT JOIN lab ON lab.col = c.col AND lab.label = c.label GROUP BY ALL"""
+
+
+@register("label_dictionary", with_fixtures(_dictionary_sql(), "categories"))
+def q_label_dictionary(spark, sf):
+    """Encoders fitted on a small sample, saved, loaded, and applied to the sample and to all other rows."""
+    sample, rest = sa.stratified_split(fx.categories(spark, sf), 0.02, "promotion", KEY, seed=42)
+    path = fresh_path(spark, "label_model")
+    enc.fit_one_hot(sample, _DICT_COLS, "keep").write().save(path)
+    model = lb.LabelEncoderModel.load(path)
+    both = sample.withColumn("half", F.lit("sample")).unionByName(rest.withColumn("half", F.lit("rest")))
+    coded = model.transform(both)
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("col"), F.col(c).cast("string").alias("label"), enc.one_hot_active(F.col(f"{c}_vec")).alias("idx"),
+                enc.one_hot_size(F.col(f"{c}_vec")).alias("vec_size"),
+            )
+            for c in _DICT_COLS
+        ]
+    )
+    return coded.select("half", F.explode(cells).alias("c")).groupBy("half", "c.col", "c.label", "c.idx", "c.vec_size").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_DICT_CUTS = ("2016-01-01", "2018-06-01")
+
+
+@register(
+    "label_dictionary_versions",
+    with_fixtures(
+        f"""cells AS (SELECT CASE WHEN SalDate < DATE '{_DICT_CUTS[0]}' THEN 1 WHEN SalDate < DATE '{_DICT_CUTS[1]}' THEN 2 ELSE 3 END AS v,
+                 unnest([{{'col': 'MaterialCode', 'label': CAST(MaterialCode AS VARCHAR)}}, {{'col': 'TotalQtySale', 'label': CAST(TotalQtySale AS VARCHAR)}}]) AS c
+          FROM sales),
+n AS (SELECT c.col AS col, c.label AS label, v, COUNT(*) AS n FROM cells GROUP BY ALL),
+seen AS (SELECT col, label, MIN(v) AS version, arg_min(n, v) AS n FROM n GROUP BY 1, 2)
+SELECT col AS "column", label, CAST(row_number() OVER (PARTITION BY col ORDER BY version, n DESC, label) - 1 AS DOUBLE) AS idx,
+       CAST(version AS INTEGER) AS version FROM seen""",
+        "sales",
+    ),
+)
+def q_label_dictionary_versions(spark, sf):
+    """A dictionary fitted on the oldest sales, saved, and extended twice by newer ones in its folder."""
+    s = _sales(spark, sf)
+    cols = ["MaterialCode", "TotalQtySale"]
+    first, second = (F.lit(x).cast("date") for x in _DICT_CUTS)
+    path = fresh_path(spark, "label_model")
+    lb.LabelEncoder(inputCols=cols, outputCols=[f"{c}_idx" for c in cols]).fit(s.where(F.col("SalDate") < first)).save(path)
+    for newer in (s.where((F.col("SalDate") >= first) & (F.col("SalDate") < second)), s.where(F.col("SalDate") >= second)):
+        lb.LabelEncoderModel.load(path).extended(newer).append_to(path)
+    return lb.LabelEncoderModel.load(path).labels
+
+
 # --------------------------------------------------------------------------- profile, models
 
 

@@ -58,3 +58,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` in the shared folder; without one the session helper's own error is raised."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: lineage ends, and the planner knows its size."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
