@@ -23,6 +23,7 @@ from bandwise.operators import evaluate as ev
 from bandwise.operators import labels as lb
 from bandwise.operators import models as mo
 from bandwise.operators import profile as pr
+from bandwise.operators import quarantine as qu
 from bandwise.operators import sampling as sa
 from bandwise.operators import weather as we
 from bandwise.plans import features as fe
@@ -860,6 +861,76 @@ def q_nearest_supplier(spark, sf):
     return round6(near.select("Customer", "rank", "dis_store"), "dis_store")
 
 
+# --------------------------------------------------------------------------- quarantine
+
+_RAW_COLS = ["SalDate", "BranchCode", "MaterialCode", "TotalQtySale", "avgPrice", "avgPriceDis", "totalNetSale", "supPrice", "DayofMonth", "label"]
+_RAW_PROFILE = {"SalDate": "date", **cl.CAST_PROFILES["basic_train"], "DayofMonth": "int"}
+_TORN_MODULUS = 29  # lines of branches 3, 32, ... end before the last two fields
+
+
+def _raw_file(spark, sf):
+    """The raw sales as a headed text file with some damaged cells and some torn lines."""
+    raw = fx.sales_raw_text(spark, sf)
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in _RAW_COLS]
+    torn = F.col("BranchCode").cast("int") % _TORN_MODULUS == 3
+    line = F.when(torn, F.concat_ws(",", *cells[:-2])).otherwise(F.concat_ws(",", *cells))
+    path = fresh_path(spark, "raw_lines")
+    raw.select(line.alias("value")).write.text(path)
+    return qu.read_permissive(spark, path, _RAW_COLS, header="false")
+
+
+def _quarantine(spark, sf):
+    return qu.split(_raw_file(spark, sf), _RAW_PROFILE, fractions="reject")
+
+
+_JUDGED_SQL = f"""raw AS (SELECT *, CAST(BranchCode AS INTEGER) % {_TORN_MODULUS} = 3 AS torn FROM sales_raw_text),
+cells AS (
+  SELECT r.*, c.col, c.raw, CASE
+    WHEN c.raw IS NULL THEN 'missing'
+    WHEN c.kind <> '' AND TRY_CAST(c.raw AS DOUBLE) IS NULL THEN 'not a number'
+    WHEN c.kind = 'int' AND TRY_CAST(c.raw AS DOUBLE) <> floor(TRY_CAST(c.raw AS DOUBLE)) THEN 'fraction' END AS reason
+  FROM raw r, LATERAL (SELECT * FROM (VALUES ('SalDate', r.SalDate, ''), ('BranchCode', r.BranchCode, 'int'), ('MaterialCode', r.MaterialCode, 'int'),
+    ('TotalQtySale', r.TotalQtySale, 'int'), ('avgPrice', r.avgPrice, 'double'), ('avgPriceDis', r.avgPriceDis, 'double'),
+    ('totalNetSale', r.totalNetSale, 'double'), ('supPrice', r.supPrice, 'double'), ('DayofMonth', r.DayofMonth, 'int'), ('label', r.label, 'int')) v(col, raw, kind)) c
+  WHERE NOT r.torn)"""
+
+
+@register(
+    "quarantine_rejected",
+    with_fixtures(
+        f"""{_JUDGED_SQL},
+found AS (SELECT col, raw, reason, SalDate, BranchCode, MaterialCode FROM cells WHERE reason IS NOT NULL
+          UNION ALL SELECT NULL, concat_ws(',', SalDate, BranchCode, MaterialCode, coalesce(TotalQtySale, ''), coalesce(avgPrice, ''), avgPriceDis, totalNetSale,
+                                           coalesce(supPrice, '')), 'corrupt record', SalDate, BranchCode, MaterialCode FROM raw WHERE torn)
+SELECT col, CASE WHEN reason = 'corrupt record' THEN split_part(raw, ',', 1) || ',' || split_part(raw, ',', 2) || ',' || split_part(raw, ',', 3) ELSE raw END AS raw,
+       reason, SalDate, BranchCode, MaterialCode FROM found""",
+        "sales_raw_text",
+    ),
+)
+def q_quarantine_rejected(spark, sf):
+    """Every cell and line that keeps a row of a damaged text file out, with its reason."""
+    cells = qu.rejected_cells(_quarantine(spark, sf)[1])
+    torn = F.col("reason") == "corrupt record"
+    raw = F.when(torn, F.substring_index("raw", ",", 3)).otherwise(F.col("raw"))  # the key part of a torn line
+    return cells.select(F.col("column").alias("col"), raw.alias("raw"), "reason", *[F.col(f"record.{c}").alias(c) for c in KEY])
+
+
+@register(
+    "quarantine_kept",
+    with_fixtures(
+        f"""{_JUDGED_SQL},
+bad AS (SELECT SalDate, BranchCode, MaterialCode FROM cells WHERE reason IS NOT NULL)
+SELECT CAST(r.SalDate AS DATE) AS SalDate, CAST(r.BranchCode AS INTEGER) AS BranchCode, CAST(r.MaterialCode AS INTEGER) AS MaterialCode,
+       CAST(TotalQtySale AS INTEGER) AS TotalQtySale, CAST(avgPrice AS DOUBLE) AS avgPrice, CAST(avgPriceDis AS DOUBLE) AS avgPriceDis,
+       CAST(totalNetSale AS DOUBLE) AS totalNetSale, CAST(supPrice AS DOUBLE) AS supPrice, CAST(DayofMonth AS INTEGER) AS DayofMonth, CAST(label AS INTEGER) AS label
+FROM raw r ANTI JOIN bad USING (SalDate, BranchCode, MaterialCode) WHERE NOT torn""",
+        "sales_raw_text",
+    ),
+)
+def q_quarantine_kept(spark, sf):
+    return _quarantine(spark, sf)[0]
+
+
 # --------------------------------------------------------------------------- sampling
 
 
