@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from bandwise.functions import calendar as cal
 from bandwise.functions.scoring import SALES_BANDS, classify_error, post_score
+from bandwise.operators import calendar_table as ct
 from bandwise.operators import clean as cl
 from bandwise.operators import encode as enc
 from bandwise.operators import enrich as en
@@ -455,6 +456,84 @@ def q_encode_welfare(spark, sf):
     return cal.encode_welfare(cal.encode_calendar(_sales(spark, sf))).select(*KEY, "YYYY-MMMM", "Welfare")
 
 
+_CALENDAR_COLS = [*KEY, "YYYY", "MMMM", "DDDD", "DDDD-MMMM", "YYYY-MMMM", "YY", "MM", "Holiday", "HolidayType"]
+
+
+@register("calendar_table_default", REGISTRY["encode_calendar"].sql)
+def q_calendar_table_default(spark, sf):
+    """The literal calendar as a table: the same holidays, by a join."""
+    return ct.encode_calendar(_sales(spark, sf)).select(*_CALENDAR_COLS)
+
+
+@register("calendar_table_welfare", REGISTRY["encode_welfare"].sql)
+def q_calendar_table_welfare(spark, sf):
+    return ct.encode_welfare(cal.encode_calendar(_sales(spark, sf))).select(*KEY, "YYYY-MMMM", "Welfare")
+
+
+# moving feasts by year, a feast that moved, one that ended, overlaps, and one across the turn of the year
+_MOVING = [
+    ("2015-03-04", None, False, None, 0, "Makha", "Religious"),
+    ("2016-02-22", None, False, None, 0, "Makha", "Religious"),
+    ("2017-02-11", None, False, None, 0, "Makha", "Religious"),
+    ("2018-03-01", None, False, None, 0, "Makha", "Religious"),
+    ("2019-02-19", None, False, None, 0, "Makha", "Religious"),
+    ("2010-04-13", "2010-04-15", True, "2019-12-31", 0, "Songkran", "National"),
+    ("2020-07-27", "2020-07-27", False, None, 0, "Songkran", "National"),
+    ("2021-04-12", "2021-04-15", True, None, 0, "Songkran", "National"),
+    ("2010-12-30", "2011-01-02", True, None, 0, "YearEnd", "Bank"),
+    ("2014-01-01", None, True, None, 5, "NewYear", "National"),
+    ("2017-04-14", "2017-04-20", False, None, 0, "Festival", "Regional"),
+    ("2016-02-29", None, True, None, 0, "LeapDay", "Public"),
+]
+
+
+def _rule_values(rows) -> str:
+    cells = ["(" + ", ".join("NULL" if v is None else str(v).upper() if isinstance(v, bool) else f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in rows]
+    return f"(VALUES {', '.join(cells)}) v(first, last, yearly, until, priority, name, type)"
+
+
+def _interval_sql(source: str, rules: str, on: str) -> str:
+    """The interval join spelled out: every occurrence of every rule against the days, the best one kept."""
+    return f"""rules AS ({rules}),
+occ AS (SELECT r.*, CAST(first + to_years(CAST(k AS INTEGER)) AS DATE) AS f, CAST(CAST(coalesce(last, first) AS DATE) - CAST(first AS DATE) AS INTEGER) AS len
+        FROM rules r, range(0, 40) t(k)
+        WHERE (k = 0 OR yearly) AND day(first) = day(first + to_years(CAST(k AS INTEGER)))),
+hit AS (SELECT s.SalDate AS d, s.BranchCode AS b, name, type, row_number() OVER (PARTITION BY s.SalDate, s.BranchCode ORDER BY priority DESC, first DESC, name DESC, type DESC) AS rn
+        FROM (SELECT DISTINCT SalDate, BranchCode FROM {source}) s
+        JOIN occ ON s.SalDate BETWEEN f AND f + len AND (until IS NULL OR s.SalDate <= until){on})
+SELECT {KEY_SQL}, coalesce(name, 'Normal') AS Holiday, coalesce(type, 'Normal') AS HolidayType
+FROM {source} LEFT JOIN hit ON hit.d = SalDate AND hit.b = BranchCode AND rn = 1"""
+
+
+_MOVING_SQL = f"""SELECT CAST(first AS DATE) AS first, CAST(last AS DATE) AS last, yearly, CAST(until AS DATE) AS until, priority, name, type
+FROM {_rule_values(_MOVING)}"""
+
+
+@register("calendar_table_moving", with_fixtures(_interval_sql("sales", _MOVING_SQL, ""), "sales"))
+def q_calendar_table_moving(spark, sf):
+    rows = [tuple(dt.date.fromisoformat(v) if v and i in (0, 1, 3) else v for i, v in enumerate(r)) for r in _MOVING]
+    rules = spark.createDataFrame(rows, f"{ct.RULES}, name string, type string")
+    return ct.encode_holidays(_sales(spark, sf), rules).select(*KEY, "Holiday", "HolidayType")
+
+
+_BRANCH_RULES_SQL = """SELECT CAST(s_suppkey AS INTEGER) AS branch, make_date(CAST(2015 + s_suppkey % 3 AS INTEGER), CAST(1 + s_suppkey % 12 AS INTEGER), CAST(1 + s_suppkey % 28 AS INTEGER)) AS first,
+       CAST(make_date(CAST(2015 + s_suppkey % 3 AS INTEGER), CAST(1 + s_suppkey % 12 AS INTEGER), CAST(1 + s_suppkey % 28 AS INTEGER)) + 4 AS DATE) AS last,
+       TRUE AS yearly, CASE WHEN s_suppkey % 5 = 0 THEN DATE '2019-06-30' END AS until, 0 AS priority, 'Anniversary' AS name, 'Branch' AS type
+FROM supplier"""
+
+
+@register("calendar_table_by_branch", with_fixtures(_interval_sql("sales", _BRANCH_RULES_SQL, " AND occ.branch = s.BranchCode"), "sales"))
+def q_calendar_table_by_branch(spark, sf):
+    """Every branch has a calendar of its own (the rules grow with the branches)."""
+    k = F.col("s_suppkey")
+    first = F.make_date((F.lit(2015) + k % 3).cast("int"), (F.lit(1) + k % 12).cast("int"), (F.lit(1) + k % 28).cast("int"))
+    rules = fx.table(spark, sf, "supplier").select(
+        k.cast("int").alias("BranchCode"), first.alias("first"), F.date_add(first, 4).alias("last"), F.lit(True).alias("yearly"),
+        F.when(k % 5 == 0, F.lit(dt.date(2019, 6, 30))).alias("until"), F.lit(0).alias("priority"), F.lit("Anniversary").alias("name"), F.lit("Branch").alias("type"),
+    )
+    return ct.encode_holidays(_sales(spark, sf), rules, keys=["BranchCode"]).select(*KEY, "Holiday", "HolidayType")
+
+
 @register(
     "welfare_day_flag",
     with_fixtures(
