@@ -8,15 +8,15 @@
    of n - ceil(0.8 n) + 1 shingles must share a shingle with every similar
    set's prefix. Shingles that only one text has can match nothing and are left out, so most
    texts emit no row.
-4. Texts with identical prefixes and size form a group. Groups meet on prefix
-   shingles; pairs pass a length, a positional and a difference bound (shingles that
-   only one text has differ, and so do the bits in which the parity maps of the others differ).
-5. Links are verified on the whole sets. A list of m similar members is not
-   expanded into all pairs: first each member of a group is verified against the group's
-   first, then every member of a list against hubs of the list (its least edited
-   member, then others), and after each round members of one component no
-   longer need a link between them. What still lies in different components is compared
-   pair by pair. So every link between components is found, and the components are those of all links.
+4. Texts with equal size, as many shingles of their own and the same shared prefix at the same
+   places form a group (128-bit key). Only groups are listed under prefix shingles, one row for each, and pairs
+   of groups pass length, positional and difference bounds; members appear when a pair has passed.
+5. First every list's hubs (its least edited group, and one by hash) meet the list's groups, and the first of each
+   group its members: a star of candidates, not all pairs. Links between members are verified on the whole
+   sets, after a bound from parity maps (the bits in which two maps differ are shingles in which the sets differ).
+6. A list, or group, that lies in one component is done. What is left in different components is compared pair by
+   pair: length classes and blocks of at most ``CELL`` groups (members) against blocks, dealt over tasks. New links join
+   components, not texts. So every link between components is found, and the components are those of all links.
 
 Defined results: null text, or text without words, has no shingles and is its
 own component; texts of fewer than ``n`` words are one shingle, the whole
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandwise.llm import textblocks as tb
@@ -37,6 +37,7 @@ from bandwise.llm.components import components
 
 BUCKET_BYTES = 6 << 20  # text of one bucket
 PART_SHINGLES = 4 << 20  # shingles counted in one part
+CELL = 512  # groups (or members) of one side of a block that is compared pair by pair
 NUM, DEN = 4, 5  # the least Jaccard likeness, 0.8
 
 
@@ -117,7 +118,7 @@ def answer_counts(table: pa.Table) -> pa.Table:
     return pa.table({"bucket": table.column("bucket"), "part": table.column("part"), "ranks": pa.array(out, pa.binary())})
 
 
-SETS = "rep long, key string, n long, grp long, prefix array<long>, pos array<int>, shared array<long>, parity array<long>"
+SETS = "rep long, key string, n long, alone long, g1 long, g2 long, prefix array<long>, pos array<int>, shared array<long>, parity array<long>"
 PARITY_BITS = 256
 
 
@@ -143,9 +144,12 @@ def order_sets(texts: pa.Table, answers: pa.Table, n: int, part_bits: int) -> pa
     ho, so = h[order], shared[order]
     pick = in_prefix & so
     pre_off = np.concatenate([[0], np.cumsum(pick)])[first]
-    mixed = tb.mix(tb.mix(ho) + place.astype(np.uint64))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(np.where(in_prefix, mixed, np.uint64(0)))])
-    grp = tb.mix(sums[first[1:]] - sums[first[:-1]] + size.astype(np.uint64))
+    alone = size - np.bincount(doc[shared], minlength=rows)
+    groups = []
+    for salt in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):  # two independent halves of the group key
+        mixed = tb.mix(tb.mix(ho + salt) * (salt | np.uint64(1)) + place.astype(np.uint64))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(np.where(pick, mixed, np.uint64(0)))])
+        groups.append(tb.mix(tb.mix(sums[first[1:]] - sums[first[:-1]] + size.astype(np.uint64)) + alone.astype(np.uint64) + salt))
     # a text that shares no prefix shingle takes no part: its shared shingles are not needed
     active = np.diff(pre_off) > 0
     use = shared & active[doc]
@@ -156,7 +160,9 @@ def order_sets(texts: pa.Table, answers: pa.Table, n: int, part_bits: int) -> pa
             "rep": texts.column("rep"),
             "key": texts.column("key"),
             "n": pa.array(size.astype(np.int64)),
-            "grp": pa.array(grp.view(np.int64)),
+            "alone": pa.array(alone.astype(np.int64)),
+            "g1": pa.array(groups[0].view(np.int64)),
+            "g2": pa.array(groups[1].view(np.int64)),
             "prefix": lists(pre_off, pa.array(ho[pick].view(np.int64))),
             "pos": lists(pre_off, pa.array(place[pick].astype(np.int32))),
             "shared": lists(shared_off, pa.array(h[use].view(np.int64))),
@@ -196,70 +202,145 @@ def rarity_sets(docs: DataFrame, n: int) -> DataFrame:
     return keep(by_bucket.cogroup(answers.groupBy("bucket")).applyInArrow(order, SETS), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def _verified(pairs: DataFrame, sets: DataFrame, *carried: str) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough, with the ``carried`` columns."""
     s = sets.select("rep", "n", "shared")
     both = pairs.join(s.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa")), "a").join(
         s.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb")), "b"
     )
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.where((NUM + DEN) * common >= NUM * (F.col("na") + F.col("nb"))).select("a", "b")
+    return both.where((NUM + DEN) * common >= NUM * (F.col("na") + F.col("nb"))).select("a", "b", *carried)
 
 
-def _possible(x: str, y: str) -> F.Column:
-    """Length, positional and difference bounds: can rows x and y, which share a shingle at these places, reach the likeness?"""
+def _close(*columns: Column) -> Column:
+    """Can sets of these two sizes be similar that differ in at least ``differ`` shingles? (nx, ny, differ)"""
+    nx, ny, differ = columns
+    return (NUM + DEN) * differ <= (DEN - NUM) * (nx + ny)
+
+
+def _possible(x: str, y: str) -> Column:
+    """Length, positional and difference bounds of two groups that share a shingle at these places."""
     nx, ny, px, py = (F.col(f"{t}.{c}") for c in ("n", "pos") for t in (x, y))
     most = F.least(px, py) + 1 + F.least(nx - px - 1, ny - py - 1)
+    bounds = (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((NUM + DEN) * most >= NUM * (nx + ny))
+    return bounds & _close(nx, ny, F.col(f"{x}.alone") + F.col(f"{y}.alone"))
+
+
+def _members_close(x: str, y: str) -> Column:
+    """The difference bound of two members, with their parity maps."""
     differ = F.col(f"{x}.alone") + F.col(f"{y}.alone")
     for w in range(PARITY_BITS // 64):
         differ = differ + F.bit_count(F.col(f"{x}.parity")[w].bitwiseXOR(F.col(f"{y}.parity")[w]))
-    return (
-        (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny))
-        & ((NUM + DEN) * most >= NUM * (nx + ny))
-        & ((NUM + DEN) * differ <= (DEN - NUM) * (nx + ny))
-    )
+    return _close(F.col(f"{x}.n"), F.col(f"{y}.n"), differ)
+
 
+def _same_group(x: str, y: str) -> Column:
+    return (F.col(f"{x}.g1") == F.col(f"{y}.g1")) & (F.col(f"{x}.g2") == F.col(f"{y}.g2"))
 
-def _merge(known: DataFrame | None, links: DataFrame) -> DataFrame:
-    edges = links if known is None else links.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    return keep(components(edges), "components")
 
+def group_table(active: DataFrame) -> DataFrame:
+    """One row per group: g1, g2, first (smallest rep), m (members), n, alone, and the prefix and parity map of the first."""
+    own = F.min_by(F.struct("prefix", "pos", "parity"), "rep")
+    rows = active.groupBy("g1", "g2", "n", "alone").agg(F.min("rep").alias("first"), F.count("*").alias("m"), own.alias("own"))
+    return keep(rows.select("g1", "g2", "first", "m", "n", "alone", "own.*"), "groups")
 
-def _label(lists: DataFrame, comp: DataFrame) -> DataFrame:
-    """Lists with each member's component; a list that lies in one component needs nothing more."""
-    own = lists.drop("comp").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    own = own.withColumn("comp", F.coalesce("component", "rep")).drop("component")
-    mixed = own.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    return keep(own.join(mixed, "token"), "lists")
 
+def group_lists(groups: DataFrame) -> DataFrame:
+    """One row per group and shared prefix shingle (token)."""
+    rows = groups.select("g1", "g2", "first", "n", "alone", "parity", F.explode(F.arrays_zip("prefix", "pos")).alias("e"))
+    return rows.select(F.col("e.prefix").alias("token"), F.col("e.pos").alias("pos"), "g1", "g2", "first", "n", "alone", "parity")
 
-def link_components(sets: DataFrame, hub_rounds: int = 2) -> DataFrame:
+
+def _inner_possible() -> Column:
+    """Groups with several members that can be similar to one another."""
+    return (F.col("m") > 1) & _close(F.col("n"), F.col("n"), 2 * F.col("alone"))
+
+
+def hub_links(groups: DataFrame, lists: DataFrame, active: DataFrame) -> DataFrame:
+    """Verified links of members to the hubs of their lists and to the first of their group."""
+    hub = F.struct("first", "g1", "g2", "n", "alone", "parity", "pos")
+    by_list = lists.groupBy("token").agg(
+        F.count("*").alias("long"),
+        F.min_by(hub, F.struct(F.col("alone") / F.col("n"), F.col("first"))).alias("h1"),
+        F.min_by(hub, F.struct(F.xxhash64("first"), F.col("first"))).alias("h2"),
+    )
+    hubs = by_list.where("long > 1").select("token", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h")).select("token", "h.*")
+    pairs = lists.alias("x").join(hubs.alias("y"), "token").where(~_same_group("x", "y") & _possible("x", "y"))
+    stars = pairs.select("x.g1", "x.g2", *(F.col(f"y.{c}") for c in ("first", "n", "alone", "parity")))
+    inner = groups.where(_inner_possible()).select("g1", "g2", "first", "n", "alone", "parity")
+    stars = stars.unionByName(inner).dropDuplicates(["g1", "g2", "first"])
+    members = active.select("rep", "g1", "g2", "n", "alone", "parity")
+    found = members.alias("x").join(stars.alias("y"), ["g1", "g2"]).where((F.col("rep") != F.col("first")) & _members_close("x", "y"))
+    return _verified(found.select(F.col("rep").alias("a"), F.col("first").alias("b")), active)
+
+
+def _dealt(rows: DataFrame, cell: list[str], mine: str, theirs: str, sizes: DataFrame) -> DataFrame:
+    """Rows of one side with the blocks (i, j) they meet: an own block, and all of the other side's."""
+    joined = rows.join(sizes, cell)
+    blocks = {s: F.ceil(F.col(f"n_{s}") / CELL).cast("int") for s in (mine, theirs)}
+    own = F.pmod(F.xxhash64("g1", "g2", *([F.col("rep")] if "rep" in rows.columns else [])), blocks[mine]).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks[theirs] - 1))
+    i, j = (own, other) if mine == "x" else (other, own)
+    return joined.withColumn("i", i).withColumn("j", j).drop("n_x", "n_y")
+
+
+def open_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of groups (g1, g2, h1, h2) that may hold links between different components, each pair once.
+
+    ``labels`` has the least and greatest component of each group. The shorter side (x) of a pair lies in its length
+    class, the longer one in its own class and the one below: sizes of similar sets are at most one class apart.
+    """
+    rows = lists.drop("parity").join(labels, ["g1", "g2"])
+    mixed = rows.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
+    rows = rows.join(mixed, "token").withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM))))
+    x = rows
+    y = rows.withColumn("cls", F.explode(F.array(F.col("cls"), F.col("cls") - 1)))
+    cell = ["token", "cls"]
+    sizes = x.groupBy(*cell).agg(F.count("*").alias("n_x")).join(y.groupBy(*cell).agg(F.count("*").alias("n_y")), cell)
+    x, y = _dealt(x, cell, "x", "y", sizes).alias("x"), _dealt(y, cell, "y", "x", sizes).alias("y")
+    order = F.struct("x.n", "x.g1", "x.g2") < F.struct("y.n", "y.g1", "y.g2")
+    apart = (F.least("x.low", "y.low") != F.greatest("x.high", "y.high")) & order & _possible("x", "y")
+    pairs = x.join(y, [*cell, "i", "j"]).where(apart)
+    return pairs.select("x.g1", "x.g2", F.col("y.g1").alias("h1"), F.col("y.g2").alias("h2")).distinct()
+
+
+def rest_links(pairs: DataFrame, members: DataFrame, active: DataFrame) -> DataFrame:
+    """Verified links (as pairs of components) of the members of the pairs' groups that lie in different components."""
+    cell = ["g1", "g2", "h1", "h2"]
+    sizes = members.groupBy("g1", "g2").agg(F.count("*").alias("m"))
+    cells = pairs.join(sizes.withColumnRenamed("m", "n_x"), ["g1", "g2"]).join(
+        sizes.select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), F.col("m").alias("n_y")), ["h1", "h2"]
+    )
+    cells = cells.withColumn("i", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_x") / CELL).cast("int") - 1)))
+    cells = cells.withColumn("j", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_y") / CELL).cast("int") - 1)))
+    blocked = members.join(sizes, ["g1", "g2"]).withColumn("b", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / CELL)).cast("int")).drop("m")
+    x = blocked.withColumnRenamed("b", "i").alias("x")
+    y = blocked.withColumnsRenamed({"g1": "h1", "g2": "h2", "b": "j"}).alias("y")
+    met = cells.select(*cell, "i", "j").join(x, ["g1", "g2", "i"]).join(y, ["h1", "h2", "j"])
+    one = (F.col("g1") == F.col("h1")) & (F.col("g2") == F.col("h2"))
+    ok = (F.col("x.comp") != F.col("y.comp")) & (~one | (F.col("x.rep") < F.col("y.rep"))) & _members_close("x", "y")
+    found = met.where(ok).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.comp").alias("ca"), F.col("y.comp").alias("cb"))
+    return _verified(found, active, "ca", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+
+def link_components(sets: DataFrame) -> DataFrame:
     """(node, component) of the distinct texts that have a link."""
     active = sets.where(F.size("prefix") > 0)
-    groups = active.groupBy("grp", "n").agg(F.min("rep").alias("b"), F.count("*").alias("members")).where("members > 1").drop("members")
-    inner = active.select("rep", "grp", "n").join(groups, ["grp", "n"]).where("rep <> b").select(F.col("rep").alias("a"), "b")
-    comp = _merge(None, _verified(inner, active))
-    alone = F.col("n") - F.size("shared")  # shingles that no other text has
-    members = active.select("rep", "n", alone.alias("alone"), "parity", F.explode(F.arrays_zip("prefix", "pos")).alias("e"))
-    lists = members.select(F.col("e.prefix").alias("token"), "rep", "n", "alone", "parity", F.col("e.pos").alias("pos"))
-    lists = _label(lists, comp)
-    for k in range(hub_rounds):
-        # the hub of a list: first the member with the smallest share of shingles of its own, later one that hashes lowest in that round
-        order = F.struct(F.col("alone") / F.col("n"), F.col("rep")) if not k else F.struct(F.xxhash64("rep", F.lit(k)), F.col("rep"))
-        hub = F.min_by(F.struct("rep", "n", "alone", "parity", "pos", "comp"), order)
-        hubs = lists.groupBy("token").agg(hub.alias("h")).select("token", "h.*")
-        pairs = lists.alias("x").join(hubs.alias("y"), "token").where((F.col("x.comp") != F.col("y.comp")) & _possible("x", "y"))
-        pairs = keep(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "pairs")
-        if pairs.isEmpty():
-            continue
-        comp = _merge(comp, _verified(pairs, active))
-        lists = _label(lists, comp)
-    x, y = lists.alias("x"), lists.alias("y")
-    rest = x.join(y, F.col("x.token") == F.col("y.token")).where(
-        (F.col("x.rep") < F.col("y.rep")) & (F.col("x.comp") != F.col("y.comp")) & _possible("x", "y")
-    )
-    rest = keep(rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "pairs")
-    return comp if rest.isEmpty() else _merge(comp, _verified(rest, active))
+    groups = group_table(active)
+    lists = group_lists(groups)
+    comp = components(hub_links(groups, lists, active))
+    label = active.select("rep", "g1", "g2", "n", "alone", "parity").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    members = keep(label.withColumn("comp", F.coalesce("component", "rep")).drop("component"), "members")
+    labels = members.groupBy("g1", "g2").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    inner = groups.where(_inner_possible()).join(labels.where("low <> high"), ["g1", "g2"])
+    pairs = open_pairs(lists, labels).unionByName(inner.select("g1", "g2", F.col("g1").alias("h1"), F.col("g2").alias("h2")))
+    links = keep(rest_links(pairs, members, active), "rest")
+    if links.isEmpty():
+        return comp
+    joined = components(links)  # between components
+    moved = comp.join(joined.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+    moved = moved.select("node", F.coalesce("to", "component").alias("component"))
+    return moved.unionByName(joined.join(comp.select("node"), "node", "left_anti"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5) -> DataFrame:

@@ -74,3 +74,53 @@ def test_edges(spark, make_docs):
 def test_codec():
     v = np.unique(np.random.default_rng(1).integers(0, 1 << 32, 1000, dtype=np.uint32))
     assert (j.unpack_sorted(j.pack_sorted(v)) == v).all()
+
+
+def clusters(seed):
+    """Variants of a base with and without the base itself, texts around one common line, copies with equal prefixes."""
+    rng = random.Random(seed)
+    vocab = [f"v{i}" for i in range(3000)]
+    line = rng.choices(vocab, k=8)
+    texts = []
+    for k, edits in enumerate((1, 2, 3, 5)):
+        base = rng.choices(vocab, k=110)
+        if k % 2:
+            texts.append(" ".join(base))
+        for _ in range(14):
+            copy = list(base)
+            for _ in range(edits):
+                copy[rng.randrange(len(copy))] = rng.choice(vocab)
+            texts.append(" ".join(copy))
+        for cut in range(1, 12):  # the same words, some cut off at either end
+            texts.append(" ".join(base[cut:] if cut % 2 else base[:-cut]))
+    texts += [" ".join(line + [rng.choice(vocab)]) for _ in range(25)] + [" ".join([rng.choice(vocab)] + line) for _ in range(10)] + [" ".join(line)]
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("cell", [512, 3])
+def test_clusters_in_blocks(make_docs, monkeypatch, cell):
+    monkeypatch.setattr(j, "CELL", cell)
+    docs = clusters(7)
+    want = brute(docs)
+    assert got(j.near_duplicates(make_docs(docs))) == want
+    assert len({c for _, c in want.values()}) > 12 and max(sum(c == x for _, c in want.values()) for _, x in want.values()) > 15
+
+
+def test_hubs_leave_little_and_the_rest_is_found(make_docs, monkeypatch):
+    """Without hubs, the comparison by blocks alone gives the same components."""
+    docs = clusters(8)
+    monkeypatch.setattr(j, "hub_links", lambda groups, lists, active: groups.select(groups["first"].alias("a"), groups["first"].alias("b")).where("false"))
+    monkeypatch.setattr(j, "CELL", 5)
+    assert got(j.near_duplicates(make_docs(docs))) == brute(docs)
+
+
+def test_groups_meet_not_texts(make_docs):
+    """Texts that differ behind their prefix only are one row in the lists."""
+    common = [f"c{i}" for i in range(60)]
+    texts = [" ".join(common[:40] + [f"c{i}" for i in range(40, 60)] + ["t"] * (5 + k % 3)) for k in range(30)]
+    rare = " ".join(f"r{i}" for i in range(9))
+    docs = [(i, rare + " " + t) for i, t in enumerate(texts)] + [(100 + i, t + " z") for i, t in enumerate(texts)]
+    sets = j.rarity_sets(make_docs(docs), 5)
+    active = sets.where("size(prefix) > 0")
+    assert j.group_table(active).count() < active.count() or active.count() == active.select("g1").distinct().count()
+    assert got(j.near_duplicates(make_docs(docs))) == brute(docs)
