@@ -10,10 +10,11 @@
    texts emit no row.
 4. Texts with equal size, as many shingles of their own and the same shared prefix at the same
    places form a group (128-bit key). Only groups are listed under prefix shingles, one row for each, and pairs
-   of groups pass length, positional and difference bounds; members appear when a pair has passed.
+   of groups pass length, positional and difference bounds (shingles of their own differ, and so do the bits in which
+   parity maps of 256 classes differ; a group's map holds the bits its members agree on). Members appear when a pair has passed.
 5. First every list's hubs (its least edited group, and one by hash) meet the list's groups, and the first of each
    group its members: a star of candidates, not all pairs. Links between members are verified on the whole
-   sets, after a bound from parity maps (the bits in which two maps differ are shingles in which the sets differ).
+   sets, after the difference bound of the two members.
 6. A list, or group, that lies in one component is done. What is left in different components is compared pair by
    pair: length classes and blocks of at most ``CELL`` groups (members) against blocks, dealt over tasks. New links join
    components, not texts. So every link between components is found, and the components are those of all links.
@@ -218,20 +219,30 @@ def _close(*columns: Column) -> Column:
     return (NUM + DEN) * differ <= (DEN - NUM) * (nx + ny)
 
 
+WORDS = range(PARITY_BITS // 64)
+
+
+def _differ(x: str, y: str, x_map: str, y_map: str, *masks: str) -> Column:
+    """Shingles in which two sets differ at least: their own ones, and the parity bits that differ (under the masks)."""
+    differ = F.col(f"{x}.alone") + F.col(f"{y}.alone")
+    for w in WORDS:
+        bits = F.col(f"{x}.{x_map}")[w].bitwiseXOR(F.col(f"{y}.{y_map}")[w])
+        for m in masks:
+            bits = bits.bitwiseAND(F.col(m)[w])
+        differ = differ + F.bit_count(bits)
+    return differ
+
+
 def _possible(x: str, y: str) -> Column:
-    """Length, positional and difference bounds of two groups that share a shingle at these places."""
+    """Length and positional bounds of two groups that share a shingle at these places."""
     nx, ny, px, py = (F.col(f"{t}.{c}") for c in ("n", "pos") for t in (x, y))
     most = F.least(px, py) + 1 + F.least(nx - px - 1, ny - py - 1)
-    bounds = (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((NUM + DEN) * most >= NUM * (nx + ny))
-    return bounds & _close(nx, ny, F.col(f"{x}.alone") + F.col(f"{y}.alone"))
+    return (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((NUM + DEN) * most >= NUM * (nx + ny))
 
 
 def _members_close(x: str, y: str) -> Column:
-    """The difference bound of two members, with their parity maps."""
-    differ = F.col(f"{x}.alone") + F.col(f"{y}.alone")
-    for w in range(PARITY_BITS // 64):
-        differ = differ + F.bit_count(F.col(f"{x}.parity")[w].bitwiseXOR(F.col(f"{y}.parity")[w]))
-    return _close(F.col(f"{x}.n"), F.col(f"{y}.n"), differ)
+    """The difference bound of two members."""
+    return _close(F.col(f"{x}.n"), F.col(f"{y}.n"), _differ(x, y, "parity", "parity"))
 
 
 def _same_group(x: str, y: str) -> Column:
@@ -239,16 +250,21 @@ def _same_group(x: str, y: str) -> Column:
 
 
 def group_table(active: DataFrame) -> DataFrame:
-    """One row per group: g1, g2, first (smallest rep), m (members), n, alone, and the prefix and parity map of the first."""
+    """One row per group: g1, g2, first (smallest rep), m (members), n, alone, the prefix and parity map of the first,
+    and the parity bits that all members agree on (``known``, with their values in ``agreed``)."""
     own = F.min_by(F.struct("prefix", "pos", "parity"), "rep")
-    rows = active.groupBy("g1", "g2", "n", "alone").agg(F.min("rep").alias("first"), F.count("*").alias("m"), own.alias("own"))
-    return keep(rows.select("g1", "g2", "first", "m", "n", "alone", "own.*"), "groups")
+    every = [f(F.col("parity")[w]).alias(f"{name}{w}") for w in WORDS for name, f in (("low", F.bit_and), ("high", F.bit_or))]
+    rows = active.groupBy("g1", "g2", "n", "alone").agg(F.min("rep").alias("first"), F.count("*").alias("m"), own.alias("own"), *every)
+    agreed = F.array(*[F.col(f"low{w}") for w in WORDS])
+    known = F.array(*[F.bitwise_not(F.col(f"low{w}").bitwiseXOR(F.col(f"high{w}"))) for w in WORDS])
+    return keep(rows.select("g1", "g2", "first", "m", "n", "alone", "own.*", agreed.alias("agreed"), known.alias("known")), "groups")
 
 
 def group_lists(groups: DataFrame) -> DataFrame:
     """One row per group and shared prefix shingle (token)."""
-    rows = groups.select("g1", "g2", "first", "n", "alone", "parity", F.explode(F.arrays_zip("prefix", "pos")).alias("e"))
-    return rows.select(F.col("e.prefix").alias("token"), F.col("e.pos").alias("pos"), "g1", "g2", "first", "n", "alone", "parity")
+    columns = ["g1", "g2", "first", "n", "alone", "parity", "agreed", "known"]
+    rows = groups.select(*columns, F.explode(F.arrays_zip("prefix", "pos")).alias("e"))
+    return rows.select(F.col("e.prefix").alias("token"), F.col("e.pos").alias("pos"), *columns)
 
 
 def _inner_possible() -> Column:
@@ -265,7 +281,8 @@ def hub_links(groups: DataFrame, lists: DataFrame, active: DataFrame) -> DataFra
         F.min_by(hub, F.struct(F.xxhash64("first"), F.col("first"))).alias("h2"),
     )
     hubs = by_list.where("long > 1").select("token", F.explode(F.array_distinct(F.array("h1", "h2"))).alias("h")).select("token", "h.*")
-    pairs = lists.alias("x").join(hubs.alias("y"), "token").where(~_same_group("x", "y") & _possible("x", "y"))
+    close = _close(F.col("x.n"), F.col("y.n"), _differ("x", "y", "agreed", "parity", "x.known"))
+    pairs = lists.alias("x").join(hubs.alias("y"), "token").where(~_same_group("x", "y") & _possible("x", "y") & close)
     stars = pairs.select("x.g1", "x.g2", *(F.col(f"y.{c}") for c in ("first", "n", "alone", "parity")))
     inner = groups.where(_inner_possible()).select("g1", "g2", "first", "n", "alone", "parity")
     stars = stars.unionByName(inner).dropDuplicates(["g1", "g2", "first"])
@@ -274,14 +291,20 @@ def hub_links(groups: DataFrame, lists: DataFrame, active: DataFrame) -> DataFra
     return _verified(found.select(F.col("rep").alias("a"), F.col("first").alias("b")), active)
 
 
-def _dealt(rows: DataFrame, cell: list[str], mine: str, theirs: str, sizes: DataFrame) -> DataFrame:
-    """Rows of one side with the blocks (i, j) they meet: an own block, and all of the other side's."""
-    joined = rows.join(sizes, cell)
-    blocks = {s: F.ceil(F.col(f"n_{s}") / CELL).cast("int") for s in (mine, theirs)}
-    own = F.pmod(F.xxhash64("g1", "g2", *([F.col("rep")] if "rep" in rows.columns else [])), blocks[mine]).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks[theirs] - 1))
+def _blocks(count: str) -> Column:
+    return F.coalesce(F.ceil(F.col(count) / CELL), F.lit(1)).cast("int")
+
+
+def _dealt(rows: DataFrame, cell: list[str], mine: str, large: DataFrame) -> DataFrame:
+    """Rows of one side with the blocks (i, j) they meet: an own block, and all of the other side's.
+
+    ``large`` has the cells of more than one block, which are few; the rows of all others are block (0, 0).
+    """
+    theirs = {"x": "y", "y": "x"}[mine]
+    own = F.pmod(F.xxhash64("g1", "g2"), _blocks(f"n_{mine}")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), _blocks(f"n_{theirs}") - 1))
     i, j = (own, other) if mine == "x" else (other, own)
-    return joined.withColumn("i", i).withColumn("j", j).drop("n_x", "n_y")
+    return rows.join(large, cell, "left").withColumn("i", i).withColumn("j", j).drop("n_x", "n_y")
 
 
 def open_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -297,10 +320,12 @@ def open_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
     y = rows.withColumn("cls", F.explode(F.array(F.col("cls"), F.col("cls") - 1)))
     cell = ["token", "cls"]
     sizes = x.groupBy(*cell).agg(F.count("*").alias("n_x")).join(y.groupBy(*cell).agg(F.count("*").alias("n_y")), cell)
-    x, y = _dealt(x, cell, "x", "y", sizes).alias("x"), _dealt(y, cell, "y", "x", sizes).alias("y")
+    large = sizes.where(F.greatest("n_x", "n_y") > CELL)
+    x, y = _dealt(x, cell, "x", large).alias("x"), _dealt(y, cell, "y", large).alias("y")
     order = F.struct("x.n", "x.g1", "x.g2") < F.struct("y.n", "y.g1", "y.g2")
     apart = (F.least("x.low", "y.low") != F.greatest("x.high", "y.high")) & order & _possible("x", "y")
-    pairs = x.join(y, [*cell, "i", "j"]).where(apart)
+    close = _close(F.col("x.n"), F.col("y.n"), _differ("x", "y", "agreed", "agreed", "x.known", "y.known"))
+    pairs = x.join(y, [*cell, "i", "j"]).where(apart & close)
     return pairs.select("x.g1", "x.g2", F.col("y.g1").alias("h1"), F.col("y.g2").alias("h2")).distinct()
 
 
@@ -311,9 +336,10 @@ def rest_links(pairs: DataFrame, members: DataFrame, active: DataFrame) -> DataF
     cells = pairs.join(sizes.withColumnRenamed("m", "n_x"), ["g1", "g2"]).join(
         sizes.select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), F.col("m").alias("n_y")), ["h1", "h2"]
     )
-    cells = cells.withColumn("i", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_x") / CELL).cast("int") - 1)))
-    cells = cells.withColumn("j", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_y") / CELL).cast("int") - 1)))
-    blocked = members.join(sizes, ["g1", "g2"]).withColumn("b", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / CELL)).cast("int")).drop("m")
+    for block, count in (("i", "n_x"), ("j", "n_y")):
+        cells = cells.withColumn(block, F.explode(F.sequence(F.lit(0), _blocks(count) - 1)))
+    large = sizes.where(F.col("m") > CELL)
+    blocked = members.join(large, ["g1", "g2"], "left").withColumn("b", F.pmod(F.xxhash64("rep"), _blocks("m")).cast("int")).drop("m")
     x = blocked.withColumnRenamed("b", "i").alias("x")
     y = blocked.withColumnsRenamed({"g1": "h1", "g2": "h2", "b": "j"}).alias("y")
     met = cells.select(*cell, "i", "j").join(x, ["g1", "g2", "i"]).join(y, ["h1", "h2", "j"])
