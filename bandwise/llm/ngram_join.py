@@ -234,10 +234,11 @@ def _differ(x: str, y: str, x_map: str, y_map: str, *masks: str) -> Column:
 
 
 def _possible(x: str, y: str) -> Column:
-    """Length and positional bounds of two groups that share a shingle at these places."""
+    """Length and positional bounds of two groups that share a shingle at these places, and that of their own shingles."""
     nx, ny, px, py = (F.col(f"{t}.{c}") for c in ("n", "pos") for t in (x, y))
     most = F.least(px, py) + 1 + F.least(nx - px - 1, ny - py - 1)
-    return (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((NUM + DEN) * most >= NUM * (nx + ny))
+    bounds = (DEN * F.least(nx, ny) >= NUM * F.greatest(nx, ny)) & ((NUM + DEN) * most >= NUM * (nx + ny))
+    return bounds & _close(nx, ny, F.col(f"{x}.alone") + F.col(f"{y}.alone"))
 
 
 def _members_close(x: str, y: str) -> Column:
@@ -307,20 +308,25 @@ def _dealt(rows: DataFrame, cell: list[str], mine: str, large: DataFrame) -> Dat
     return rows.join(large, cell, "left").withColumn("i", i).withColumn("j", j).drop("n_x", "n_y")
 
 
-def open_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of groups (g1, g2, h1, h2) that may hold links between different components, each pair once.
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several components, with the least (low) and greatest (high) one of each group (``labels``)."""
+    rows = keep(lists.drop("parity", "first").join(labels, ["g1", "g2"]), "lists")
+    mixed = rows.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
+    return keep(rows.join(mixed, "token", "left_semi"), "open")
+
+
+def open_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of groups (g1, g2, h1, h2) of ``open_lists`` that may hold links between different components, each pair once.
 
-    ``labels`` has the least and greatest component of each group. The shorter side (x) of a pair lies in its length
+    The shorter side (x) of a pair lies in its length
     class, the longer one in its own class and the one below: sizes of similar sets are at most one class apart.
     """
-    rows = lists.drop("parity").join(labels, ["g1", "g2"])
-    mixed = rows.groupBy("token").agg(F.min("low").alias("lo"), F.max("high").alias("hi")).where("lo <> hi").select("token")
-    rows = rows.join(mixed, "token").withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM))))
-    x = rows
-    y = rows.withColumn("cls", F.explode(F.array(F.col("cls"), F.col("cls") - 1)))
+    x = rows.withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM))))
+    y = x.withColumn("cls", F.explode(F.array(F.col("cls"), F.col("cls") - 1)))
     cell = ["token", "cls"]
-    sizes = x.groupBy(*cell).agg(F.count("*").alias("n_x")).join(y.groupBy(*cell).agg(F.count("*").alias("n_y")), cell)
-    large = sizes.where(F.greatest("n_x", "n_y") > CELL)
+    sides = x.select(*cell, F.lit(1).alias("x"), F.lit(0).alias("y")).unionByName(y.select(*cell, F.lit(0).alias("x"), F.lit(1).alias("y")))
+    sizes = sides.groupBy(*cell).agg(F.sum("x").alias("n_x"), F.sum("y").alias("n_y"))
+    large = sizes.where((F.greatest("n_x", "n_y") > CELL) & (F.least("n_x", "n_y") > 0))
     x, y = _dealt(x, cell, "x", large).alias("x"), _dealt(y, cell, "y", large).alias("y")
     order = F.struct("x.n", "x.g1", "x.g2") < F.struct("y.n", "y.g1", "y.g2")
     apart = (F.least("x.low", "y.low") != F.greatest("x.high", "y.high")) & order & _possible("x", "y")
@@ -359,7 +365,10 @@ def link_components(sets: DataFrame) -> DataFrame:
     members = keep(label.withColumn("comp", F.coalesce("component", "rep")).drop("component"), "members")
     labels = members.groupBy("g1", "g2").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     inner = groups.where(_inner_possible()).join(labels.where("low <> high"), ["g1", "g2"])
-    pairs = open_pairs(lists, labels).unionByName(inner.select("g1", "g2", F.col("g1").alias("h1"), F.col("g2").alias("h2")))
+    pairs = open_pairs(open_lists(lists, labels)).unionByName(inner.select("g1", "g2", F.col("g1").alias("h1"), F.col("g2").alias("h2")))
+    pairs = keep(pairs, "pairs")
+    if pairs.isEmpty():
+        return comp
     links = keep(rest_links(pairs, members, active), "rest")
     if links.isEmpty():
         return comp
