@@ -10,11 +10,13 @@ p-values, words and paths have tiny ones.
 
 False-discovery control is length-aware: distinct candidate strings (copies are
 no independent tests) are counted by (encoding, length class, p-value bin) over
-the whole corpus. In each class the share of truly random strings follows from
+the whole corpus. In each class the number of truly random strings follows from
 the p-values above 1/2, and the smallest p-value is taken at which the estimated
-share of other strings among those reported stays within ``q``. A class with
-fewer than ``LEAST`` strings above ``FIXED_P`` is too small for that estimate and
-reports what lies above ``FIXED_P``. That table has at most a few thousand rows.
+share of other strings among those reported stays within ``q``, but none so small that random strings would be
+expected there less than ``LOST`` times. The estimate is a share of the strings above ``PLAIN_P``; it is shrunk towards
+the share of the neighbouring length classes (half the weight for each step), and that one towards 1, as if by ``PRIOR`` more
+strings. So a class of one string follows its neighbours, and their say fades with every further string. That table has at
+most a few thousand rows.
 
 Positions count code points, end exclusive. Defined results: null text counts
 as empty; an empty text has no spans; repeated rows give repeated rows; extra
@@ -49,9 +51,9 @@ ALPHABETS = {
 CELLS = 5
 BLOCK = 256  # matches added up at once
 LOG_BINS = 48  # p-value bins, four for each power of ten
-FIXED_BIN = 7  # last bin above FIXED_P
-FIXED_P = 0.01  # one random string in a hundred has a smaller p-value
-LEAST = 5  # this many random strings have none above 1/2 with a chance of 1/32
+PRIOR = 100.0  # strings that the share of the neighbouring length classes counts for
+PLAIN_P, PLAIN_BINS = 0.01, 8  # strings above this p-value may be random; bins above it
+LOST = 0.01  # expected number of random strings below the smallest p-value reported
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -226,21 +228,32 @@ def thresholds(scanned: DataFrame, q: float) -> dict[tuple[str, int], int]:
         classes.setdefault((r.enc, r.len_class), {})[r.bin] = (r.n, r.upper)
     out = {}
     for key, bins in classes.items():
-        if sum(n for b, (n, _) in bins.items() if b <= FIXED_BIN) < LEAST:
-            out[key] = FIXED_BIN
-            continue
-        random = 2 * sum(u for _, u in bins.values())  # uniform: twice those above one half
+        random = random_strings(classes, key)
         reported, best = 0, None
         for b in range(LOG_BINS):
             reported += bins.get(b, (0, 0))[0]
             others = reported - random * (1 - 10 ** (-(b + 1) / 4))
-            if reported and random and others <= q * reported:
+            if reported and others <= q * reported and random * 10 ** (-b / 4) >= LOST:
                 best = b
         if best is not None:
             out[key] = best
     return out
 
 
+def random_strings(classes: dict, key: tuple[str, int]) -> float:
+    """Estimated number of random strings of a class: those above PLAIN_P, times the share of them that is random."""
+
+    def above(bins) -> tuple[float, float]:
+        """(twice those above one half, those above PLAIN_P scaled to all): equal if every one of them is random"""
+        return 2.0 * sum(u for _, u in bins.values()), sum(n for b, (n, _) in bins.items() if b < PLAIN_BINS) / (1 - PLAIN_P)
+
+    enc, length = key
+    near = [(2.0 ** -abs(c - length), above(bins)) for (e, c), bins in classes.items() if e == enc and c != length]
+    pool = (sum(w * u for w, (u, _) in near) + PRIOR) / (sum(w * n for w, (_, n) in near) + PRIOR)
+    upper, plain = above(classes[key])
+    return plain * (upper + PRIOR * pool) / (plain + PRIOR)
+
+
 def find_secrets(docs: DataFrame, q: float = 0.05, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """row (a struct of the carried columns) and spans (array<struct<start, end, kind>>, by start, then kind) of every row."""
     scanned = scan(docs, list(carried))

@@ -4,8 +4,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``. ``run`` writes every stage's result
 to the shared folder and reads it again as the next one's input.
 
-Rows without a doc_id cannot be judged: stages 1 to 4 pass them on (stage 4
-redacts them too), packing leaves them out. Extra columns travel along.
+Defined results: a document is a doc_id with a text. Rows that share a doc_id but not the text are judged
+apart; rows that share both are one document (stage 2 keeps one of them). Stage 1 drops null texts and texts without a
+letter; a corpus without usable labels teaches no language, and keeps all others. Rows without a doc_id cannot be
+judged: stages 2 and 3 pass them on, stage 4 redacts them too, packing leaves them out. Extra columns travel along
+under any name (rows are carried as one struct). Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -19,45 +22,55 @@ from bandwise.llm.common import keep, table
 ORACLE_SQL = None  # trained models, packing and p-values: tests/llm/test_pipeline.py checks the stages instead
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def _row(docs: DataFrame):
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    """row, sid, text and key of every row. ``sid`` names a document: its doc_id, or, where several texts share that, a hash of both."""
+    key = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    null = F.col("text").isNull().cast("string")  # a null text is no empty text
+    rows = docs.select(_row(docs), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.concat(key, null).alias("key"))
+    many = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("id", F.lit(True).alias("many"))
+    own = F.when(F.col("many"), F.xxhash64("id", "key")).otherwise(F.col("id"))
+    return rows.join(many, "id", "left").select("row", "id", own.alias("sid"), "text", "key")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told (null text, or no letter)."""
-    judged = langid.language_id(docs)
-    return _without(docs, judged.where(F.col("lang_pred") == langid.UNDETERMINED))
+    """Drop documents whose language cannot be told: null text, or no letter."""
+    return langid.language_rows(docs).where("has_letter").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of every group of near copies; of repeated rows one."""
-    groups = ngram_join.near_duplicates(docs, n=5)
-    rest = _without(docs, groups.where(F.col("component_id") != F.col("doc_id")))
-    return rest.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    rows = _documents(docs)
+    groups = ngram_join.near_duplicates(rows.select(F.col("sid").alias("doc_id"), "text"), n=5)
+    groups = groups.select(F.col("doc_id").alias("sid"), "component_id").distinct()
+    names = rows.where("sid IS NOT NULL").select("sid", "id", "key").distinct()
+    first = F.min(F.struct("id", "key", "sid")).alias("first")
+    stay = names.join(groups, "sid").groupBy("component_id").agg(first).select(F.col("first.sid").alias("sid"))
+    kept = rows.join(stay, "sid", "left_semi").dropDuplicates(["sid"])
+    return kept.select("row").unionByName(rows.where("sid IS NULL").select("row")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where(F.size("spans") > 0))
+    rows = _documents(docs)
+    found = decontaminate.contamination(rows.select(F.col("sid").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("sid")).distinct()
+    return rows.join(hit, "sid", "left_anti").select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; n_chars follows the text."""
-    found = secrets.find_secrets(docs, carried=tuple(docs.columns)).select("row.*", F.col("spans").alias("__spans"))
-    hit = F.size("__spans") > 0
-    clean = F.when(hit, secrets.redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
-    # a column of its own first: inside a lambda, "text" would mean the new column of the same select
-    found = found.withColumn("__clean", clean)
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(F.col("__clean").alias("text"))
-        elif c == "n_chars":
-            columns.append(F.when(hit, F.length("__clean")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(F.col(c))
-    return found.select(*columns)
+    found = secrets.find_secrets(docs.withColumn("text", F.col("text").cast("string")), carried=tuple(f"`{c}`" for c in docs.columns))
+    hit = F.size("spans") > 0
+    clean = F.when(hit, secrets.redacted(F.col("row.text"), F.col("spans"))).otherwise(F.col("row.text"))
+    found = found.select("row", hit.alias("hit"), clean.alias("clean"))
+    new = {"text": F.col("clean")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("hit"), F.length("clean")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
