@@ -1,7 +1,9 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance along directories.
 
 Every run of up to ``WINDOW`` consecutive lines with words is a header candidate (notices are
-wrapped), and the whole text a licence-file candidate. Templates are one-line notices, header
+wrapped), and the whole text a licence-file candidate. A full text inside other text may be of any length:
+for each template longer than ``LONG`` words the run of lines with the largest sum of (weight of the words that
+the template has - ``FOREIGN`` * weight of all others) is a candidate too. Templates are one-line notices, header
 notices and full licence texts (``license_texts/``). Words are lower-cased. A template word weighs
 log((1 + units) / (1 + units with it)) + 1, counted over the lines of all documents;
 other words count as seen in none, so long prose lines have a large norm and a
@@ -102,6 +104,9 @@ TEMPLATES: dict[str, list[str]] = {
 for _file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
     TEMPLATES[_file.stem].append(_file.read_text(encoding="utf-8"))
 WINDOW = 32  # lines of a header at most
+LONG = 300  # words of a template that is looked for in runs of any length
+FOREIGN = 2.0  # what a word that the template lacks costs in a run
+RUN_SHARE = 0.3  # share of the template's weight that a run must hold to be scored
 SLICE = 1 << 14  # lines whose windows are held at once
 SCORED = "doc_id long, path string, license string, score double, unit int, whole boolean"
 
@@ -237,6 +242,7 @@ def score_batches(batches, templates: dict[str, list[str]], idf: list[float], un
             first_line = np.searchsorted(line_doc, np.arange(n_docs))
             for a in range(0, len(head), SLICE):
                 _score_lines(scorer, w.hash, head, tail, line_doc, first_line, a, min(a + SLICE, len(head)), best, offer)
+            _score_runs(scorer, w.hash, line, head, tail, line_doc, first_line, offer)
             seen = np.bincount(doc, weights=vocabulary.index(w.hash) >= 0, minlength=n_docs) > 0
             pick = seen[doc]
             u, h, n = _term_counts(doc[pick], w.hash[pick])
@@ -311,6 +317,44 @@ def _score_lines(scorer: Scorer, hashes, head, tail, line_doc, first_line, a: in
         order = order[rank >= 4]
 
 
+def _score_runs(scorer: Scorer, hashes, line, head, tail, line_doc, first_line, offer) -> None:
+    """Offers, for every document and long template, the run of lines that belongs to the template most (the largest sum)."""
+    vocabulary = scorer.vocabulary
+    term = vocabulary.index(hashes)
+    weight = scorer.weight[term]
+    total = np.bincount(line, weights=weight, minlength=len(head))
+    seen = term >= 0
+    at, words, value = line[seen], term[seen], weight[seen]
+    turn = line_doc * 2 * (FOREIGN + 1) * (total.sum() + 1)  # keeps the running minimum within a document
+    starts, ends = [], []
+    for row in vocabulary.counts[vocabulary.size > LONG]:
+        own = np.bincount(at, weights=value * (row[words] > 0), minlength=len(head))
+        if own.max(initial=0.0) == 0:
+            continue
+        gain = np.cumsum(own - FOREIGN * (total - own))
+        before = np.concatenate([[0.0], gain[:-1]]) - turn  # the sum before each line
+        low = np.minimum.accumulate(before)
+        sums = gain - turn - low
+        order = np.lexsort((-sums, line_doc))
+        last = order[np.append(True, np.diff(line_doc[order]) > 0)]  # of each document the line where its best run ends
+        least = RUN_SHARE * float((np.minimum(row, 2) * scorer.weight[:-1]).sum())
+        last = last[sums[last] >= least]
+        new = np.flatnonzero(np.append(True, before[1:] < low[:-1]))  # lines that set a new minimum begin the runs
+        starts.append(new[np.searchsorted(new, last, side="right") - 1])
+        ends.append(last + 1)
+    if not starts:
+        return
+    starts, ends = np.concatenate(starts), np.concatenate(ends)
+    long = ends - starts > 1
+    starts, ends = starts[long], ends[long]
+    for i in range(0, len(starts), 256):
+        s, e = starts[i : i + 256], ends[i : i + 256]
+        owner, place = _ranges(head[s], tail[e - 1])
+        evidence, top, cosine = scorer.best(*scorer.dots(*_term_counts(owner, hashes[place]), len(s))[:3])
+        ok = evidence >= 0
+        offer(line_doc[s][ok], (s - first_line[line_doc[s]])[ok], evidence[ok], top[ok], cosine[ok])
+
+
 def scan(files: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = 0.8) -> DataFrame:
     """Own licence of every row (columns of SCORED); needs doc_id, path and text."""
     templates = templates or TEMPLATES

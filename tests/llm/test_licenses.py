@@ -113,12 +113,28 @@ def prose(n):
 
 def test_full_texts(spark):
     texts = {k: licenses.TEMPLATES[k][-1].replace("<year>", "2021").replace("<owner>", "Some Person").replace("<copyright holders>", "Some Person") for k in FULL}
-    assert len(texts) == 14
+    assert len(texts) == 12
     files = [(i, f"d{i}/LICENSE", "Copyright (c) 2021 Some Person\n\n" + texts[k]) for i, k in enumerate(FULL)] + prose(200)
     have = got(spark, files)
     assert {k: have[i][0] for i, k in enumerate(FULL)} == {k: k for k in FULL}
 
 
+@pytest.mark.parametrize("where", ["before", "inside", "after"])
+def test_full_texts_in_long_files(spark, where):
+    """A full text before, amid or behind thousands of lines of code gets its own licence, not a relative's."""
+    rng = random.Random(11)
+    names = ["".join(rng.choices("abcdefgh_", k=7)) for _ in range(400)]
+    code = [f"    {rng.choice(names)} = {rng.choice(names)}({rng.choice(names)}, {rng.randrange(99)})  # the {rng.choice(names)} of it" for _ in range(4000)]
+    cut = {"before": 0, "inside": 2000, "after": 4000}[where]
+    files = []
+    for i, k in enumerate(FULL):
+        text = licenses.TEMPLATES[k][-1].split("\n")
+        files.append((i, f"d{i}/x.py", "\n".join([*code[:cut], *(("# " + x) if i % 2 else x for x in text), *code[cut:]])))
+    have = got(spark, files + prose(100) + [(9000, "q/x.py", "\n".join(code))])
+    assert {k: have[i][0] for i, k in enumerate(FULL)} == {k: k for k in FULL}
+    assert have[9000][0] is None
+
+
 def test_wrapped_headers(spark):
     code = "\n".join(f"value_{i} = compute_{i}(argument_{i})" for i in range(60))
     wanted, files = {}, []
