@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -188,7 +189,8 @@ def _model(samples: dict[str, list[str]]) -> Model:
 def predict_batches(batches, samples: dict[str, list[str]]):
     model = _model(samples)
     for batch in batches:
-        row, texts = batch.column("row"), batch.column("text")
+        row = batch.column("row")
+        texts = batch.column("text") if "text" in batch.schema.names else pa.compute.struct_field(row, "text")
         lo = 0
         while lo < batch.num_rows:
             coded, used = [], 0
@@ -239,7 +241,8 @@ def learn(docs: DataFrame, rows_per_lang: int = 16, chars_per_row: int = 800) ->
 
 def predict(docs: DataFrame, samples: dict[str, list[str]], carried: list[str]) -> DataFrame:
     """row (a struct of the carried columns), lang_pred, score, phrases_per_symbol and has_letter of every row, from its whole text alone."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), F.col("text").cast("string").alias("text"))
+    apart = [] if "text" in carried else [F.col("text").cast("string").alias("text")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), *apart)
     result = T.StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double").add("phrases_per_symbol", "double").add("has_letter", "boolean")
     return rows.mapInArrow(shipped(__name__, "predict_batches", samples=samples), result)
 

@@ -27,13 +27,21 @@ def _row(docs: DataFrame):
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    """row, sid, text and key of every row. ``sid`` names a document: its doc_id, or, where several texts share that, a hash of both."""
+    """row, id, sid and key of every row. ``sid`` names a document: its doc_id, or, where several texts share that, a hash of both.
+
+    What is written here is small and its size then known, so rows move only where it is large.
+    """
     key = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     null = F.col("text").isNull().cast("string")  # a null text is no empty text
-    rows = docs.select(_row(docs), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.concat(key, null).alias("key"))
-    many = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("id", F.lit(True).alias("many"))
+    rows = docs.select(_row(docs), F.col("doc_id").cast("long").alias("id"), F.concat(key, null).alias("key"))
+    many = rows.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b")
+    many = keep(many.select("id", F.lit(True).alias("many")), "ids")
     own = F.when(F.col("many"), F.xxhash64("id", "key")).otherwise(F.col("id"))
-    return rows.join(many, "id", "left").select("row", "id", own.alias("sid"), "text", "key")
+    return rows.join(many, "id", "left").select("row", "id", own.alias("sid"), "key")
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("sid").alias("doc_id"), F.col("row.text").alias("text"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,20 +52,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of every group of near copies; of repeated rows one."""
     rows = _documents(docs)
-    groups = ngram_join.near_duplicates(rows.select(F.col("sid").alias("doc_id"), "text"), n=5)
-    groups = groups.select(F.col("doc_id").alias("sid"), "component_id").distinct()
-    names = rows.where("sid IS NOT NULL").select("sid", "id", "key").distinct()
-    first = F.min(F.struct("id", "key", "sid")).alias("first")
-    stay = names.join(groups, "sid").groupBy("component_id").agg(first).select(F.col("first.sid").alias("sid"))
-    kept = rows.join(stay, "sid", "left_semi").dropDuplicates(["sid"])
-    return kept.select("row").unionByName(rows.where("sid IS NULL").select("row")).select("row.*")
+    groups = ngram_join.near_duplicates(_texts(rows), n=5).select(F.col("doc_id").alias("sid"), "component_id").distinct()
+    named = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("id"), F.min("key").alias("key"), F.count("*").alias("n"))
+    first = F.min(F.struct("id", "key", "sid", "n")).alias("first")
+    stay = keep(named.join(groups, "sid").groupBy("component_id").agg(first).select("first.sid", "first.n"), "stay")
+    kept = rows.select("row", "sid").join(stay, "sid")
+    once = kept.where("n = 1").select("row").unionByName(kept.where("n > 1").dropDuplicates(["sid"]).select("row"))
+    return once.unionByName(rows.where("sid IS NULL").select("row")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
     rows = _documents(docs)
-    found = decontaminate.contamination(rows.select(F.col("sid").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("sid")).distinct()
+    found = decontaminate.contamination(_texts(rows), table(spark, sf_dir, "benchmark"))
+    hit = keep(found.where(F.size("spans") > 0).select(F.col("doc_id").alias("sid")).distinct(), "hits")
     return rows.join(hit, "sid", "left_anti").select("row.*")
 
 
