@@ -326,7 +326,7 @@ def open_pairs(rows: DataFrame) -> DataFrame:
     cell = ["token", "cls"]
     sides = x.select(*cell, F.lit(1).alias("x"), F.lit(0).alias("y")).unionByName(y.select(*cell, F.lit(0).alias("x"), F.lit(1).alias("y")))
     sizes = sides.groupBy(*cell).agg(F.sum("x").alias("n_x"), F.sum("y").alias("n_y"))
-    large = sizes.where((F.greatest("n_x", "n_y") > CELL) & (F.least("n_x", "n_y") > 0))
+    large = keep(sizes.where((F.greatest("n_x", "n_y") > CELL) & (F.least("n_x", "n_y") > 0)), "large")  # few: their size is known then
     x, y = _dealt(x, cell, "x", large).alias("x"), _dealt(y, cell, "y", large).alias("y")
     order = F.struct("x.n", "x.g1", "x.g2") < F.struct("y.n", "y.g1", "y.g2")
     apart = (F.least("x.low", "y.low") != F.greatest("x.high", "y.high")) & order & _possible("x", "y")
