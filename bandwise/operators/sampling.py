@@ -20,6 +20,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bandwise.session import written
+
 _HEX_DIGITS = 8
 
 
@@ -55,11 +57,17 @@ def stratified_split(
     join_on: Sequence[str] | str,
     seed: int = 42,
     exact: bool = False,
+    method: str = "hash",
 ) -> tuple[DataFrame, DataFrame]:
     """(sample, rest). ``frac`` is one fraction or a {label value: fraction} map.
 
     ``exact=True`` takes exactly ceil(frac * n) rows of every label instead of deciding each key by itself.
+    ``method="sampleBy"`` draws rows, not keys, with Spark's own stratified sampler (``sample_by``).
     """
+    if method not in ("hash", "sampleBy"):
+        raise ValueError(f"method: {method}")
+    if method == "sampleBy":
+        return sample_by(df, frac, label, seed)
     keys = [join_on] if isinstance(join_on, str) else list(join_on)
     if exact:
         return exact_split(df, frac, label, keys, seed)
@@ -74,6 +82,19 @@ def stratified_split(
     return sample, df.filter(~chosen | any_null_key)
 
 
+def sample_by(df: DataFrame, frac: float | Mapping, label: str, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(sample, rest) by ``df.stat.sampleBy``: every row is drawn by itself with its label's fraction.
+
+    The sampler's draws depend on partitions and row order. So the rows are written once, numbered, and so are the
+    numbers drawn: both halves read the same draw however often their tasks run, and share no row. Labels without a fraction, and NULL
+    labels, are in the rest.
+    """
+    rows = written(df.withColumn("__row", F.monotonically_increasing_id()), "sample_by")
+    fractions = frac if isinstance(frac, Mapping) else {r[0]: frac for r in rows.select(label).where(F.col(label).isNotNull()).distinct().collect()}
+    drawn = written(rows.stat.sampleBy(label, dict(fractions), seed).select("__row"), "drawn")
+    return rows.join(drawn, "__row", "left_semi").select(*df.columns), rows.join(drawn, "__row", "left_anti").select(*df.columns)
+
+
 _BUCKET_DIGITS = 3  # 4096 hash buckets for each label
 
 

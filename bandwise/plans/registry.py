@@ -25,6 +25,7 @@ from bandwise.operators import evaluate as ev
 from bandwise.operators import labels as lb
 from bandwise.operators import models as mo
 from bandwise.operators import profile as pr
+from bandwise.operators import profile_state as ps
 from bandwise.operators import quarantine as qu
 from bandwise.operators import report_state as rs
 from bandwise.operators import sampling as sa
@@ -967,6 +968,80 @@ def q_over_under_incremental(spark, sf):
     return _ou_round(rs.over_under_report_from(_report_state(spark, sf), "predict_qty"))
 
 
+_REPLAYED_MONTH = [dt.date(2018, 5, 9)]
+
+
+def _weekday_state(spark, sf):
+    """Weekday state of which one month was wrong and is replayed."""
+    s = _sales(spark, sf)
+    path = fresh_path(spark, "weekday_state")
+    wrong = F.when(F.trunc("SalDate", "month") == F.lit(_REPLAYED_MONTH[0].replace(day=1)), F.lit(77)).otherwise(F.col("TotalQtySale"))
+    ps.replay_weekdays(s.withColumn("TotalQtySale", wrong), path)
+    ps.replay_weekdays(s, path, _REPLAYED_MONTH)
+    return path
+
+
+_DOW_SQL = with_fixtures(
+    f"""SELECT BranchCode, MaterialCode, DoW_Num, Total_Bill_Dow, Total_SumQTY_Dow, {r6("AVG_SumQTY_Dow")} AS AVG_SumQTY_Dow,
+       {r6("MED_SumQTY_Dow")} AS MED_SumQTY_Dow, {r6("SD_SumQTY_Dow")} AS SD_SumQTY_Dow, NumWeekSale, MostSalesUnitFreq
+FROM dow_profile""",
+    "dow_profile",
+)
+
+
+@register("dow_profile_incremental", _DOW_SQL)
+def q_dow_profile_incremental(spark, sf):
+    df = ps.weekday_profile_from(spark, _weekday_state(spark, sf)).drop("n_values")
+    return round6(df, "AVG_SumQTY_Dow", "MED_SumQTY_Dow", "SD_SumQTY_Dow")
+
+
+@register(
+    "dow_profile_sketch",
+    with_fixtures(
+        """w AS (SELECT CAST(dayofweek(SalDate) + 1 AS INTEGER) AS DoW_Num, BranchCode, COUNT(*) AS n, COUNT(DISTINCT TotalQtySale) AS v FROM sales GROUP BY ALL)
+SELECT BranchCode, DoW_Num, CAST(n AS INTEGER) AS Total_Bill_Dow, CAST(v AS INTEGER) AS n_values, TRUE AS median_in_bounds FROM w""",
+        "sales",
+    ),
+)
+def q_dow_profile_sketch(spark, sf):
+    """Weekday profile per branch with sketched medians, each within the stated rank error of its quantities."""
+    s = _sales(spark, sf)
+    path = fresh_path(spark, "weekday_state")
+    ps.replay_weekdays(s, path, keys=["BranchCode"])
+    prof = ps.weekday_profile_from(spark, path, ["BranchCode"], exact_median=False)
+    rows = s.select("BranchCode", F.dayofweek("SalDate").alias("DoW_Num"), "TotalQtySale").join(prof, ["BranchCode", "DoW_Num"])
+    n, q, med = F.count(F.lit(1)), F.col("TotalQtySale"), F.col("MED_SumQTY_Dow")
+    below, upto = F.sum((q < med).cast("int")) / n, F.sum((q <= med).cast("int")) / n
+    ok = (below <= 0.5 + ps.RANK_ERROR + 1 / n) & (upto >= 0.5 - ps.RANK_ERROR - 1 / n)
+    return rows.groupBy("BranchCode", "DoW_Num", "Total_Bill_Dow", "n_values").agg(ok.alias("median_in_bounds"))
+
+
+@register("profile_columns_stored", _profile_sql())
+def q_profile_columns_stored(spark, sf):
+    """The column profile from stored months, one of them replayed."""
+    s = _sales(spark, sf)
+    path = fresh_path(spark, "column_state")
+    ps.replay_columns(s.withColumn("supPrice", F.lit(None).cast("double")), path)
+    for month in s.select(F.trunc("SalDate", "month").alias("m")).distinct().groupBy(F.year("m").alias("y")).agg(F.collect_list("m").alias("m")).collect():
+        ps.replay_columns(s, path, month["m"])  # year by year
+    return ps.column_profile_from(spark, path).drop("approx_distinct")
+
+
+@register(
+    "stratified_sample_by",
+    with_fixtures("SELECT label, COUNT(*) AS n_rows, TRUE AS whole, TRUE AS in_bounds FROM sales GROUP BY 1", "sales"),
+)
+def q_stratified_sample_by(spark, sf):
+    """Spark's stratified sampler: both halves make up the rows, and every label's share lies within six standard deviations."""
+    s = _sales(spark, sf)
+    sample, rest = sa.stratified_split(s, SPLIT_FRACTION, "label", KEY, seed=42, method="sampleBy")
+    halves = sample.withColumn("drawn", F.lit(1)).unionByName(rest.withColumn("drawn", F.lit(0)))
+    per_key = halves.groupBy("label", *KEY).agg(F.count(F.lit(1)).alias("n"), F.sum("drawn").alias("drawn"))
+    n, k = F.sum("n"), F.sum("drawn")
+    near = F.abs(k - SPLIT_FRACTION * n) <= 6 * F.sqrt(n * SPLIT_FRACTION * (1 - SPLIT_FRACTION)) + 1
+    return per_key.groupBy("label").agg(n.alias("n_rows"), (F.max("n") == 1).alias("whole"), near.alias("in_bounds"))
+
+
 # --------------------------------------------------------------------------- quarantine
 
 _RAW_COLS = ["SalDate", "BranchCode", "MaterialCode", "TotalQtySale", "avgPrice", "avgPriceDis", "totalNetSale", "supPrice", "DayofMonth", "label"]
