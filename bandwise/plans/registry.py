@@ -30,6 +30,7 @@ from bandwise.operators import quarantine as qu
 from bandwise.operators import report_state as rs
 from bandwise.operators import sampling as sa
 from bandwise.operators import weather as we
+from bandwise.operators import weather_state as ws
 from bandwise.plans import features as fe
 from bandwise.plans import oracle as o
 from bandwise.plans.oracle import r6, with_fixtures
@@ -875,6 +876,18 @@ def q_weather_partitioned(spark, sf):
     return we.weather_latest(stored, fx.stations(spark, sf), "TH", WEATHER_YEAR).drop("year")
 
 
+@register("weather_latest_state", with_fixtures("SELECT * FROM latest_weather", "latest_weather"))
+def q_weather_latest_state(spark, sf):
+    """Latest weather kept by station: the first days (some of them wrong), then the others in two merges."""
+    w = fx.weather(spark, sf)
+    path = fresh_path(spark, "weather_state")
+    day = F.dayofmonth("date")
+    ws.merge_days(w.where(day <= 20).withColumn("temp", F.lit(-1.0)), path)
+    ws.merge_days(w.where((day >= 15) & (day <= 25)), path)
+    ws.merge_days(w.where((day <= 14) | (day > 25)), path)
+    return ws.latest_from(spark, path, fx.stations(spark, sf), "TH", WEATHER_YEAR)
+
+
 @register(
     "nearest_station",
     with_fixtures(f"SELECT BranchCode, name, temp, {r6('dis_store')} AS dis_store FROM branch_weather", "branch_weather"),
