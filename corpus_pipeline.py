@@ -7,7 +7,7 @@ to the shared folder and reads it again as the next one's input.
 Defined results: a document is a doc_id with a text. Rows that share a doc_id but not the text are judged
 apart; rows that share both are one document (stage 2 keeps one of them). Stage 1 drops null texts and texts without a
 letter; a corpus without usable labels teaches no language, and keeps all others. Rows without a doc_id cannot be
-judged: stages 2 and 3 pass them on, stage 4 redacts them too, packing leaves them out. Extra columns travel along
+judged: stages 1 to 3 pass them on, stage 4 redacts them too, packing leaves them out. Extra columns travel along
 under any name (rows are carried as one struct). Empty tables give empty results.
 """
 
@@ -45,8 +45,12 @@ def _texts(rows: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told: null text, or no letter."""
-    return langid.language_rows(docs).where("has_letter").select("row.*")
+    """Drop documents whose language cannot be told: null text, or no letter. Only ids and texts go through Python."""
+    rows = _documents(docs)
+    texts = rows.select(F.col("sid").alias("doc_id"), F.col("row.text").cast("string").alias("text"))
+    judged = langid.predict(texts, langid.learn(langid.labelled(docs)), ["doc_id"])
+    reject = keep(judged.where("NOT has_letter").select(F.col("row.doc_id").alias("sid")).distinct(), "rejected")
+    return rows.join(reject, "sid", "left_anti").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
