@@ -29,7 +29,7 @@ from bandwise.llm.common import shipped
 
 PIECE = 512  # symbols parsed in a row; a phrase ends at a piece's end in every language alike
 BLOCK_ROWS = 4096
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 1 << 20
 DENSE = 1 << 23  # cells of a dense transition table, over all languages
 UNDETERMINED = "und"
 
@@ -108,13 +108,17 @@ class Model:
         state, symbol, to = (np.concatenate(x) for x in (state, symbol, to))
         self.dense = n_states * self.size <= DENSE
         if self.dense:
-            table = np.full((n_states, self.size), -1, np.int64)
+            # states x alphabet x 2 stays below 2**31
+            table = np.full((n_states, self.size), -1, np.int32)
             table[state, symbol] = to
-            ends = table < 0
             bounds = [*self.roots, n_states]
             for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                table[lo:hi] = np.where(ends[lo:hi], first[i][None, :], table[lo:hi])
-            self.table = (((table * self.size) << 1) | ends).astype(np.int32 if n_states * self.size < 1 << 30 else np.int64).ravel()
+                part = table[lo:hi]
+                ends = part < 0
+                np.copyto(part, first[i][None, :].astype(np.int32), where=ends)
+                part *= self.size * 2
+                part |= ends
+            self.table = table.ravel()
         else:
             key = state * self.size + symbol
             order = np.argsort(key)
