@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import importlib
 import os
 import sys
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwise.session import fresh_path
 
+LARGE_GROUP = 1 << 20  # bytes; memory is not returned after every small group
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -27,7 +30,10 @@ def shipped(module: str, function: str, **params):
     call = _late(module, function, params)
 
     def run(batches):
-        yield from call(batches)
+        try:
+            yield from call(batches)
+        finally:
+            give_back()
 
     return run
 
@@ -37,7 +43,11 @@ def shipped_group(module: str, function: str, **params):
     call = _late(module, function, params)
 
     def run(t):
-        return call(t)
+        try:
+            return call(t)
+        finally:
+            if t.nbytes > LARGE_GROUP:
+                give_back()
 
     return run
 
@@ -47,11 +57,27 @@ def shipped_cogroup(module: str, function: str, **params):
     call = _late(module, function, params)
 
     def run(left, right):
-        return call(left, right)
+        try:
+            return call(left, right)
+        finally:
+            if left.nbytes + right.nbytes > LARGE_GROUP:
+                give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Workers live through all stages of a job, and the allocators keep what the largest task so far needed:
+    that would lie idle beside what later stages need elsewhere on the executor.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def _late(module: str, function: str, params: dict):
     root = _ROOT
 
