@@ -29,6 +29,7 @@ from bandwise.operators import profile_state as ps
 from bandwise.operators import quarantine as qu
 from bandwise.operators import report_state as rs
 from bandwise.operators import sampling as sa
+from bandwise.operators import sphere as sp
 from bandwise.operators import weather as we
 from bandwise.operators import weather_state as ws
 from bandwise.plans import features as fe
@@ -956,6 +957,32 @@ def q_nearest_supplier(spark, sf):
     return round6(near.select("Customer", "rank", "dis_store"), "dis_store")
 
 
+def _on_globe(df, key, name, a, b):
+    """Places spread over the whole globe, by key; the date line and both polar regions are met."""
+    k = F.col(key)
+    return df.select(k.cast("int").alias(name), ((k * a % 17999) / F.lit(100.0) - 89.99).alias("lat"), ((k * b % 36000) / F.lit(100.0) - 180).alias("lng"))
+
+
+@register(
+    "nearest_supplier_sphere",
+    f"""WITH c AS (SELECT CAST(c_custkey AS INTEGER) AS Customer, (c_custkey * 4111 % 17999) / CAST(100 AS DOUBLE) - 89.99 AS lat,
+            (c_custkey * 7919 % 36000) / CAST(100 AS DOUBLE) - 180 AS lng FROM customer),
+s AS (SELECT CAST(s_suppkey AS INTEGER) AS Supplier, (s_suppkey * 6101 % 17999) / CAST(100 AS DOUBLE) - 89.99 AS lat,
+            (s_suppkey * 3571 % 36000) / CAST(100 AS DOUBLE) - 180 AS lng FROM supplier),
+h AS (SELECT c.Customer, s.Supplier, pow(sin(radians(c.lat - s.lat) / 2), 2)
+             + cos(radians(c.lat)) * cos(radians(s.lat)) * pow(sin(radians(c.lng - s.lng) / 2), 2) AS h FROM c, s),
+d AS (SELECT Customer, Supplier, {2 * sp.EARTH_KM} * asin(sqrt(least(h, CAST(1 AS DOUBLE)))) AS dis_km FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY Customer ORDER BY round(dis_km, 6), Supplier) AS rn FROM d)
+SELECT Customer, Supplier, CAST(rn AS INTEGER) AS rank, round(dis_km, 3) AS dis_km FROM r WHERE rn <= {_K_NEAREST}""",
+)
+def q_nearest_supplier_sphere(spark, sf):
+    """The three nearest suppliers of every customer by great-circle distance."""
+    customers = _on_globe(fx.table(spark, sf, "customer"), "c_custkey", "Customer", 4111, 7919)
+    suppliers = _on_globe(fx.table(spark, sf, "supplier"), "s_suppkey", "Supplier", 6101, 3571).withColumnRenamed("lng", "lon")
+    near = sp.nearest_on_sphere(customers, suppliers, k=_K_NEAREST, store_key="Customer", tie_break=("Supplier",))
+    return near.select("Customer", "Supplier", "rank", F.round("dis_km", 3).alias("dis_km"))
+
+
 # --------------------------------------------------------------------------- reports kept by day
 
 _REPLAYED = [dt.date(2019, 3, d) for d in range(1, 32)]
