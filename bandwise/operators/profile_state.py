@@ -2,7 +2,7 @@
 
 ``replay_weekdays`` stores, for each (keys, weekday, month), the count of every quantity, the weeks with a sale and a KLL
 quantile sketch; ``weekday_profile_from`` merges them. All exact columns of ``profile.dow_sales_profile`` follow from the
-merged counts (their number is that of the distinct quantities, not of rows); with ``exact_median=False``
+merged counts (their number is that of the distinct quantities, not of rows; weeks are told by their place in the month); with ``exact_median=False``
 the median comes from the sketches, whose rank error is at most ``RANK_ERROR`` (KLL with k = 200; 99 % of the time).
 
 ``replay_columns`` stores, for each month and column, row and non-null counts and an HLL sketch;
@@ -24,6 +24,8 @@ from bandwise.functions.calendar import as_date
 
 RANK_ERROR = 0.0165
 DISTINCT_ERROR = 1.04 / 64
+SLICES = 8  # of a month: groups are dealt to them by hash
+STRETCH = 4096  # copies of a quantity that one array holds
 _KEYS = ("BranchCode", "MaterialCode")
 
 
@@ -39,52 +41,92 @@ def _months(df: DataFrame, date_col: str, months: Sequence[dt.date] | None) -> D
 
 
 def _store(state: DataFrame, path: str) -> None:
-    state.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+
+
+def _weekday_parts(rows: DataFrame, keys: Sequence[str], d: Column, qty: str) -> DataFrame:
+    """The state's rows, from one pass over the source: counts and weeks merge map-side by quantity, the rest follows from them.
+
+    Each month is dealt in ``SLICES`` slices of whole groups, so that the last aggregate and the write share one shuffle.
+    """
+    group, q, c = [*keys, "DoW_Num", "month"], F.col("q"), F.col("c")
+    monday = F.date_trunc("week", "month").cast("date")  # of the week that holds the month's first day
+    week = (F.datediff(F.date_trunc("week", d).cast("date"), monday) / 7).cast("int")  # 0 to 5
+    rows = rows.select(*keys, F.dayofweek(d).alias("DoW_Num"), "month", F.col(qty).alias("q"), week.alias("week"))
+    sold = F.bit_or(F.when(q > 0, F.call_function("shiftleft", F.lit(1), F.col("week")))).alias("sold")
+    values = rows.groupBy(*group, "q").agg(F.count(F.lit(1)).alias("c"), sold)
+    values = values.withColumn("_slice", F.pmod(F.xxhash64(*keys, "DoW_Num"), F.lit(SLICES))).repartition("month", "_slice")
+    # the sketch takes every quantity as often as it was counted, in stretches of bounded length
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.when(q.isNull(), F.lit(0).cast("long")).otherwise(c - 1), F.lit(STRETCH).cast("long")))
+    place = F.explode(F.sequence("start", F.when(q.isNull(), F.col("start")).otherwise(F.least(F.col("start") + STRETCH, c) - 1)))
+    copies = values.select("*", start.alias("start")).select(*group, "_slice", "q", "c", "sold", place.alias("place"))
+    first = F.col("place") == 0
+    parts = copies.groupBy(*group, "_slice").agg(
+        F.sort_array(F.collect_list(F.when(first & q.isNotNull(), F.struct("q", "c")))).alias("counts"),
+        F.sum(F.when(q.isNull(), c).otherwise(0)).alias("no_quantity"),
+        F.bit_or("sold").alias("sold"),
+        F.kll_sketch_agg_double(q.cast("double")).alias("sketch"),
+    )
+    weeks = F.transform(F.filter(F.sequence(F.lit(0), F.lit(5)), lambda i: F.getbit("sold", i) == 1), lambda i: F.date_add(monday, i * 7))
+    return parts.select(*group, "counts", "no_quantity", weeks.alias("weeks"), "sketch")
 
 
 def replay_weekdays(
     sales: DataFrame, path: str, months: Sequence[dt.date] | None = None, keys: Sequence[str] = _KEYS, date_col: str = "SalDate", qty: str = "TotalQtySale"
 ) -> None:
     """Replace the months of the state at ``path`` (None: all that ``sales`` has) by what ``sales`` holds for them."""
-    rows = _months(sales, date_col, months)
-    d, group = as_date(sales, date_col), [*keys, "DoW_Num", "month"]
-    rows = rows.select(*keys, F.dayofweek(d).alias("DoW_Num"), "month", F.col(qty).alias("q"), F.date_trunc("week", d).cast("date").alias("week"))
-    sold = F.collect_set(F.when(F.col("q") > 0, F.col("week"))).alias("weeks")
-    values = rows.groupBy(*group, "q").agg(F.count(F.lit(1)).alias("c"), sold)  # merged map-side
-    counts = values.groupBy(*group).agg(
-        F.sort_array(F.collect_list(F.when(F.col("q").isNotNull(), F.struct("q", "c")))).alias("counts"),
-        F.sum(F.when(F.col("q").isNull(), F.col("c")).otherwise(0)).alias("no_quantity"),
-        F.array_distinct(F.flatten(F.collect_list("weeks"))).alias("weeks"),
-    )
-    sketches = rows.groupBy(*group).agg(F.kll_sketch_agg_double(F.col("q").cast("double")).alias("sketch"))
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group]  # a NULL key is a group too
-    joined = counts.alias("a").join(sketches.alias("b"), same)
-    _store(joined.select("a.*", "b.sketch"), path)
+    _store(_weekday_parts(_months(sales, date_col, months), keys, as_date(sales, date_col), qty), path)
 
 
 def weekday_profile_from(spark: SparkSession, path: str, keys: Sequence[str] = _KEYS, exact_median: bool = True) -> DataFrame:
-    """``profile.dow_sales_profile`` of all rows that the state has seen, and ``n_values`` (distinct quantities)."""
+    """``profile.dow_sales_profile`` of all rows that the state has seen, and ``n_values`` (distinct quantities).
+
+    The state has one row per group and month, so a group's rows are few: one shuffle brings them together.
+    """
     state, group = spark.read.parquet(path), [*keys, "DoW_Num"]
-    values = state.select(*group, F.explode("counts").alias("v")).groupBy(*group, "v.q").agg(F.sum("v.c").alias("c"))
-    merged = values.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("q", "c"))).alias("v"))
-    parts = state.groupBy(*group).agg(
-        F.sum("no_quantity").alias("no_quantity"), F.size(F.array_distinct(F.flatten(F.collect_list("weeks")))).alias("NumWeekSale"),
-        F.kll_merge_agg_double("sketch").alias("sketch"),
-    )
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group]
-    rows = parts.alias("a").join(merged.alias("b"), same, "left").select("a.*", F.coalesce("b.v", F.array().cast(merged.schema["v"].dataType)).alias("v"))
+    value, no_week = state.schema["counts"].dataType.elementType, F.lit(None).cast("date")
+    entry = f"struct<q:{value['q'].dataType.simpleString()},c:bigint,week:date>"
+
+    def part(q, c, week) -> Column:
+        return F.struct(q, c.cast("long"), week).cast(entry)
+
+    none = F.lit(None).cast(value["q"].dataType)
+    entries = F.concat(
+        F.transform("counts", lambda x: part(x["q"], x["c"], no_week)),
+        F.transform("weeks", lambda w: part(none, F.lit(0), w)),
+        F.when(F.col("no_quantity") > 0, F.array(part(none, F.col("no_quantity"), no_week))).otherwise(F.array().cast(f"array<{entry}>")),
+    )
+    rows = state.select(*group, "counts", "weeks", "no_quantity").repartition(*group).select(*group, F.explode(entries).alias("v"))
+    values = rows.groupBy(*group, "v.q", "v.week").agg(F.sum("v.c").alias("c"))
+    q, c = F.col("q"), F.col("c")
+    rows = values.groupBy(*group).agg(
+        F.sum(F.when(q.isNull(), c).otherwise(0)).alias("no_quantity"),
+        F.count("week").cast("int").alias("NumWeekSale"),
+        F.sort_array(F.collect_list(F.when(q.isNotNull(), F.struct("q", "c")))).alias("v"),
+    )
+    if not exact_median:
+        sketches = state.groupBy(*group).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+        same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in group]  # a NULL key is a group too
+        rows = rows.alias("a").join(sketches.alias("b"), same).select("a.*", "b.sketch")
     n = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x["c"])
     total = F.aggregate("v", F.lit(0.0), lambda s, x: s + x["q"] * x["c"])
     rows = rows.select("*", n.alias("n"), total.alias("total")).withColumn("mean", F.try_divide("total", "n"))
     m2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x["c"] * F.pow(x["q"] - F.col("mean"), 2))
-
-    def at(place: Column) -> Column:
-        """The quantity at a place (from 0) of the sorted rows."""
-        upto = F.transform("v", lambda x, i: F.struct(x["q"].alias("q"), F.aggregate(F.slice("v", 1, i + 1), F.lit(0).cast("long"), lambda s, y: s + y["c"]).alias("to")))
-        return F.get(F.filter(upto, lambda x: x["to"] > place), F.lit(0))["q"].cast("double")
+    lower, upper = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+
+    def passed(s, x) -> Column:
+        """The rows passed so far, and the quantities at the two middle places (from 0) of the sorted rows."""
+        upto = s["n"] + x["c"]
+        q = x["q"].cast("double")
+        return F.struct(
+            upto.alias("n"),
+            F.when((s["n"] <= lower) & (upto > lower), q).otherwise(s["a"]).alias("a"),
+            F.when((s["n"] <= upper) & (upto > upper), q).otherwise(s["b"]).alias("b"),
+        )
 
     if exact_median:
-        median = F.when(F.col("n") > 0, (at(F.floor((F.col("n") - 1) / 2)) + at(F.floor(F.col("n") / 2))) / 2)
+        unseen = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b"))
+        median = F.when(F.col("n") > 0, F.aggregate("v", unseen, passed, lambda s: (s["a"] + s["b"]) / 2))
     else:
         median = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)))
     most = F.array_max(F.transform("v", lambda x: F.struct(x["c"].alias("c"), (-x["q"]).alias("q"))))
@@ -111,7 +153,7 @@ def replay_columns(df: DataFrame, path: str, months: Sequence[dt.date] | None =
         aggs += [F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.hll_sketch_agg(F.col(f"`{c}`").cast("string")).alias(f"s{i}")]
     wide = rows.groupBy("month").agg(*aggs)
     cells = [F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"), F.col(f"n{i}").alias("non_null"), F.col(f"s{i}").alias("sketch")) for i, c in enumerate(names)]
-    _store(wide.select("month", "n_rows", F.explode(F.array(*cells)).alias("c")).select("month", "n_rows", "c.*"), path)
+    _store(wide.select("month", "n_rows", F.explode(F.array(*cells)).alias("c")).select("month", "n_rows", "c.*").repartition("month"), path)
 
 
 def column_profile_from(spark: SparkSession, path: str) -> DataFrame:

@@ -55,6 +55,33 @@ def test_sketched_medians_stay_within_the_rank_error(spark):
     assert below <= 0.5 + ps.RANK_ERROR and upto >= 0.5 - ps.RANK_ERROR
 
 
+def test_the_source_is_read_once_and_groups_meet_once(spark):
+    sales = spark.createDataFrame(make(4), COLS)
+    source, path = fresh_path(spark, "sales"), fresh_path(spark, "weekdays")
+    sales.write.parquet(source)
+    stored = spark.read.parquet(source)
+    plan = ps._weekday_parts(ps._months(stored, "SalDate", None), ps._KEYS, F.col("SalDate"), "TotalQtySale")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+    ps.replay_weekdays(stored, path)
+    plan = ps.weekday_profile_from(spark, path)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_many_copies_and_many_quantities(spark):
+    """Counts beyond one stretch, and thousands of distinct quantities, which the median passes once."""
+    day = dt.date(2020, 1, 6)
+    n = 2 * ps.STRETCH + 3
+    rows = spark.range(n + 4001).select(
+        F.lit(day).alias("SalDate"), F.lit(1).alias("BranchCode"), F.when(F.col("id") < n, 1).otherwise(2).alias("MaterialCode"),
+        F.when(F.col("id") < n, F.lit(7)).otherwise((F.col("id") - n).cast("int")).alias("TotalQtySale"),
+    )
+    path = fresh_path(spark, "weekdays")
+    ps.replay_weekdays(rows, path)
+    check(spark, path, rows)
+    state = spark.read.parquet(path).select("MaterialCode", F.kll_sketch_get_n_double("sketch").alias("n")).collect()
+    assert {r["MaterialCode"]: r["n"] for r in state} == {1: n, 2: 4001}
+
+
 def test_column_profile_unites_months(spark):
     path = fresh_path(spark, "columns")
     df = spark.range(30000).select(
