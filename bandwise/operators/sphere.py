@@ -23,6 +23,7 @@ from bandwise.session import checkpointed
 EARTH_KM = 6371.0088  # mean radius
 LEVELS = 24  # octree levels; the finest cell is under a metre wide
 STEP = 2  # levels refined in one round
+COARSE = 4  # cells up to this level are few (4,681 at most) whatever the input: only they are sent to every task
 LEAF_POINTS = 16  # a cell with at most this many distinct places is not refined further
 MARGIN = 1e-9  # of a chord (6 mm): rounding, and distances that count as ties
 _AXES = ("x", "y", "z")
@@ -92,6 +93,13 @@ def _prune(frontier: DataFrame, k: int) -> DataFrame:
     return tight.filter(_inner() <= _loose(F.col("_ub")))
 
 
+def _at_cells(stores: DataFrame, cells: DataFrame, on: list[str], level: str = "level") -> DataFrame:
+    """Equi-join on cells: the few coarse ones, which all stores share, go to every task; finer ones are merged, as they grow with the input."""
+    coarse = F.col(level) <= COARSE
+    near = stores.filter(coarse).join(F.broadcast(cells.filter(coarse)), on)
+    return near.unionByName(stores.filter(~coarse).join(cells.filter(~coarse).hint("merge"), on))
+
+
 _STORE = ["_sk", "_la", "_lo", "_sx", "_sy", "_sz"]
 
 
@@ -99,7 +107,7 @@ def _frontier(sto: DataFrame, cells: DataFrame, k: int, total: int) -> DataFrame
     """Every store with the cells that may hold one of its k nearest, before refinement."""
     points = sto.withColumns({a: F.col(f"_s{a}") for a in _AXES})
     rich = cells.filter(F.col("n") >= min(total, k))  # at least the root
-    bounds = _on_levels(points).drop(*_AXES).join(rich, _CELL).groupBy(*_STORE).agg(F.min(_outer()).alias("_ub"))
+    bounds = _at_cells(_on_levels(points).drop(*_AXES), rich, _CELL).groupBy(*_STORE).agg(F.min(_outer()).alias("_ub"))
     level = F.floor(F.log2(F.lit(2.0) / F.greatest(_loose(F.col("_ub")), F.lit(2.0**-LEVELS))))
     around = bounds.withColumn("level", F.least(F.greatest(level, F.lit(0)), F.lit(LEVELS)).cast("int"))
     wide = F.pow(F.lit(2.0), F.col("level"))
@@ -108,7 +116,7 @@ def _frontier(sto: DataFrame, cells: DataFrame, k: int, total: int) -> DataFrame
     for a in _AXES:
         own = F.least(F.floor((F.col(f"_s{a}") + 1) / 2 * wide), last)
         near = near.withColumn(f"c{a}", F.explode(F.sequence(own - 1, own + 1)))
-    return _prune(near.join(cells, _CELL).withColumn("_end", _outer()), k)
+    return _prune(_at_cells(near, cells, _CELL).withColumn("_end", _outer()), k)
 
 
 def _refined(frontier: DataFrame, cells: DataFrame, k: int) -> DataFrame:
@@ -118,7 +126,7 @@ def _refined(frontier: DataFrame, cells: DataFrame, k: int) -> DataFrame:
     parent = [F.floor(F.col(c) / wide).alias(f"p{c}") for c in _CELL[1:]]
     below = cells.filter(F.col("level") >= STEP).select("*", (F.col("level") - STEP).alias("plevel"), *parent)
     above = frontier.filter(big).select(*_STORE, "_ub", *[F.col(c).alias(f"p{c}") for c in _CELL])
-    children = above.join(below, [f"p{c}" for c in _CELL]).drop(*[f"p{c}" for c in _CELL]).withColumn("_end", _outer())
+    children = _at_cells(above, below, [f"p{c}" for c in _CELL], "plevel").drop(*[f"p{c}" for c in _CELL]).withColumn("_end", _outer())
     return _prune(frontier.filter(~big).unionByName(children), k)
 
 
@@ -159,9 +167,11 @@ def nearest_on_sphere(
             break
         frontier = checkpointed(_refined(frontier, cells, k))
     places = placed.select(*_CELL, F.col("_la").alias("_pa"), F.col("_lo").alias("_po"))
-    near = frontier.select("_sk", "_la", "_lo", *_CELL).join(places, _CELL).drop(*_CELL)
+    leaves = F.broadcast(cells.filter(~_big() & (F.col("level") <= COARSE)).select(*_CELL))  # of at most LEAF_POINTS places each
+    places = places.filter(F.col("level") > COARSE).unionByName(places.filter(F.col("level") <= COARSE).join(leaves, _CELL, "left_semi"))
+    near = _at_cells(frontier.select("_sk", "_la", "_lo", *_CELL), places, _CELL).drop(*_CELL)
     near = near.withColumn("dis_km", haversine_km(F.col("_la"), F.col("_lo"), F.col("_pa"), F.col("_po"))).drop("_la", "_lo")
-    shown = near.join(best.withColumnsRenamed({"_la": "_pa", "_lo": "_po"}), ["_pa", "_po"])
+    shown = near.join(best.withColumnsRenamed({"_la": "_pa", "_lo": "_po"}).hint("merge"), ["_pa", "_po"])
     order = Window.partitionBy("_sk").orderBy(F.round("dis_km", 6), *tie_break)
     shown = shown.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return shown.select(F.col("_sk").alias(store_key), *cols, "dis_km", "rank")

@@ -39,3 +39,25 @@ def test_empty_and_fewer_than_k(spark):
     assert [(r["BranchCode"], r["name"]) for r in sp.nearest_on_sphere(s, c, k=2).collect()] == [(1, "a")]
     none = sp.nearest_on_sphere(s, c.limit(0), k=2)
     assert none.columns == ["BranchCode", "name", "lat", "lon", "dis_km", "rank"] and none.isEmpty()
+
+
+def test_only_coarse_cells_are_sent_to_every_task(spark, monkeypatch):
+    """Without a hint the planner sends whole cell tables through the driver while it believes them small."""
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.checkpoint()
+
+    monkeypatch.setattr(sp, "checkpointed", noted)
+    rnd = random.Random(8)
+    places = [(i, rnd.uniform(-89, 89), rnd.uniform(-180, 180)) for i in range(400)]
+    found = sp.nearest_on_sphere(*_frames(spark, places[:50], [(f"w{i:03d}", a, o) for i, a, o in places]), k=2)
+    plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+    joins = [line for p in plans for line in p.splitlines() if " Join " in line or line.startswith("Join ") or "Join Inner" in line]
+    assert joins and all("strategy=merge" in j or "strategy=broadcast" in j for j in joins)
+    assert found.count() == 100
+    cells = spark.range(100).selectExpr("CAST(id % 10 AS INT) AS level", "id AS cx", "id AS cy", "id AS cz")
+    sent = sp._at_cells(cells, cells.withColumn("n", cells.cx), sp._CELL)
+    plan = sent._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1 and sent.count() == 100
